@@ -1,0 +1 @@
+"""Empty on purpose: every job is one bounded run, so there is no stream, watermark or state."""
