@@ -14,7 +14,9 @@ class Tables:
         self.folder = folder
 
     def __getattr__(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self.folder}/{name}.parquet")
+        table = self.spark.read.parquet(f"{self.folder}/{name}.parquet")
+        setattr(self, name, table)
+        return table
 
     def _records(self, unit: str, hours: int) -> DataFrame:
         key = F.col("o_orderkey")
@@ -128,22 +130,21 @@ class Tables:
             )])[F.col("c_mktsegment")],
             F.lit("X"),
         )
+        # Every fifth employee has a second, wider row, every sixth an exact copy of the first.
+        widths = F.array_compact(
+            F.array(F.lit(0), F.when(key % 5 == 0, 30), F.when(key % 6 == 0, 0))
+        )
         start = F.date_add(F.lit("1998-06-01").cast("date"), (key * 37 % 500).cast("int"))
-        base = self.customer.select(
+        end = F.date_add(start, (key * 13 % 300).cast("int"))
+        return self.customer.withColumn("width", F.explode(widths)).select(
             key.alias("payee"),
             (key % stores).alias("store"),
             role.alias("role"),
             F.when(key % 7 == 0, 0).otherwise(1).alias("status"),
-            start.alias("date_start"),
-            F.date_add(start, (key * 13 % 300).cast("int")).alias("date_end"),
+            F.date_sub(start, F.col("width")).alias("date_start"),
+            F.date_add(end, F.col("width")).alias("date_end"),
             F.when(key % 4 != 0, F.col("c_nationkey").cast("string")).alias("area"),
         )
-        wider = (
-            base.filter("payee % 5 = 0")
-            .withColumn("date_start", F.date_sub("date_start", 30))
-            .withColumn("date_end", F.date_add("date_end", 30))
-        )
-        return base.unionByName(wider).unionByName(base.filter("payee % 6 = 0"))
 
     def absences(self) -> DataFrame:
         return self.orders.select(

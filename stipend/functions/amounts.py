@@ -27,7 +27,7 @@ def money_text(c: Column) -> Column:
     """Two-decimal text of a number; null and NaN give null, infinities `inf` and `-inf`."""
     number = two_decimals(c)
     return (
-        F.when(F.isnan(number), F.lit(None).cast("string"))
+        F.when(number.isNull() | F.isnan(number), F.lit(None).cast("string"))
         .when(number == float("inf"), "inf")
         .when(number == float("-inf"), "-inf")
         .otherwise(F.format_string("%.2f", number))
@@ -35,5 +35,6 @@ def money_text(c: Column) -> Column:
 
 
 def int_trunc(c: Column) -> Column:
-    """Whole part of a number or numeric text; null stays null."""
-    return c.cast("double").cast("bigint")
+    """Whole part of a number or numeric text; null and NaN give null."""
+    number = c.cast("double")
+    return F.when(~F.isnan(number), number).cast("bigint")

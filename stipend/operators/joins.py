@@ -17,17 +17,36 @@ def month_join(
     left_date: str,
     right_date: str,
     months_back: int = 0,
+    hot_right: bool = False,
 ) -> DataFrame:
     """Left join on a key and a month: that of `left_date`, `months_back` months earlier.
 
     Both parts are equalities of computed columns, so rows are hashed on key and month together.
+    See `left_join` for `hot_right`.
     """
+    right = right.withColumn("_month_r", month_start(F.col(right_date))).drop(right_date)
     wanted = month_start(shift_months(F.col(left_date), -months_back))
-    return left.join(
-        right,
-        (F.col(left_key) == F.col(right_key)) & (wanted == month_start(F.col(right_date))),
-        "left",
-    ).drop(right_key, right_date)
+    on = (F.col(left_key) == F.col(right_key)) & (wanted == F.col("_month_r"))
+    return left_join(left, right, on, [right_key, "_month_r"], hot_right).drop(
+        right_key, "_month_r"
+    )
+
+
+def left_join(
+    left: DataFrame, right: DataFrame, on: Column, right_columns: list[str], hot_right: bool
+) -> DataFrame:
+    """Left join on a condition that uses the `right_columns` of the right side.
+
+    Spark can split a frequent key of a left join on the left side only. With `hot_right`, for
+    right sides where one key may hold a large part of all rows, the matches come from an inner
+    join, which is split on both sides, and the left rows without a match are found against the
+    distinct values of the `right_columns`.
+    """
+    if not hot_right:
+        return left.join(right, on, "left")
+    matched = left.join(right, on)
+    unmatched = left.join(right.select(*right_columns).distinct(), on, "left_anti")
+    return matched.unionByName(unmatched, allowMissingColumns=True)
 
 
 def interval_join(
@@ -43,7 +62,8 @@ def interval_join(
     """Inner join on a key and overlapping intervals, and on the condition `also` if given.
 
     With `salts` > 1 the rows of `right` that share a key are spread over that many tasks and
-    `left` is repeated for each of them: for a large `right` with a few very frequent keys.
+    `left` is repeated for each of them: for a large `right` with a few very frequent keys. Rows
+    are spread by their content, so that a repeated task spreads them alike: drop copies first.
     """
     left_ends, right_ends = map(F.col, left_interval), map(F.col, right_interval)
     on = (F.col(left_key) == F.col(right_key)) & overlaps(*left_ends, *right_ends)
@@ -67,14 +87,10 @@ def point_in_interval(
 ) -> DataFrame:
     """Left join of the right rows with the same key and a `point` inside the left interval.
 
-    A left join cannot split a key that is very frequent on its right side. So the matches come
-    from an inner join, which can, and the left rows without any match are found against the
-    distinct (key, point) pairs, which are few per key.
+    One key may have any number of points: see `left_join`.
     """
     on = (F.col(left_key) == F.col(right_key)) & F.col(point).between(*map(F.col, interval))
-    matched = left.join(right, on)
-    unmatched = left.join(right.select(right_key, point).distinct(), on, "left_anti")
-    return matched.unionByName(unmatched, allowMissingColumns=True).drop(right_key)
+    return left_join(left, right, on, [right_key, point], hot_right=True).drop(right_key)
 
 
 def keep_keys(df: DataFrame, key: str, keys: DataFrame, keys_col: str) -> DataFrame:

@@ -70,20 +70,16 @@ def latest_batch_by(
             .groupBy(category_col)
             .agg(F.max(F.struct(date_col, time_col)).alias("run"))
         )
-    runs, _ = stage(runs.select(category_col, "run.*"), "runs")
+    runs = stage(runs.select(category_col, "run.*"), "runs")
     oldest = runs.agg(F.min(date_col)).scalar()
     return open_rows.filter(F.col(date_col) >= oldest).join(
         runs, [category_col, date_col, time_col]
     ).select(*df.columns)
 
 
-def newest_per_family(
-    df: DataFrame, family_col: str, run_col: str
-) -> DataFrame:
+def newest_per_family(df: DataFrame, family_col: str, run_col: str) -> DataFrame:
     """All rows of the newest run of each family; rows without a run are never chosen."""
-    runs, _ = stage(
-        df.groupBy(family_col).agg(F.max(run_col).alias(run_col)), "family-runs"
-    )
+    runs = stage(df.groupBy(family_col).agg(F.max(run_col).alias(run_col)), "family-runs")
     oldest = runs.agg(F.min(run_col)).scalar()
     return df.filter(F.col(run_col) >= oldest).join(
         runs, [family_col, run_col]

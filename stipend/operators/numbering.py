@@ -45,22 +45,17 @@ def number_rows(df: DataFrame, keys: list[str], unique: bool = False) -> DataFra
         .withColumn("_place", F.monotonically_increasing_id())
         .drop("_copy")
     )
-    placed, _ = stage(ranged, "numbered")
+    placed = stage(ranged, "numbered")
     placed = placed.withColumn("_range", F.shiftright("_place", _POSITION_BITS))
 
-    # One row per shuffle partition: bounded by the partition count, whatever the data.
-    sizes = sorted(placed.groupBy("_range").count().collect())
-    before = accumulate((size for _, size in sizes), initial=0)
-    offsets = df.sparkSession.createDataFrame(
-        [(number, ahead) for (number, _), ahead in zip(sizes, before)],
-        "_range bigint, _before bigint",
-    )
+    # One number per shuffle partition: bounded by the partition count, whatever the data.
+    sizes = dict(placed.groupBy("_range").count().collect())
+    counts = [sizes.get(number, 0) for number in range(max(sizes, default=0) + 1)]
+    before = F.split(F.lit(",".join(map(str, accumulate(counts, initial=0)))), ",")
     position = F.col("_place").bitwiseAND((1 << _POSITION_BITS) - 1)
-    return (
-        placed.join(F.broadcast(offsets), "_range")
-        .withColumn("row_no", F.col("_before") + position + 1)
-        .drop("_range", "_place", "_before")
-    )
+    return placed.withColumn(
+        "row_no", before.cast("array<bigint>")[F.col("_range").cast("int")] + position + 1
+    ).drop("_range", "_place")
 
 
 def assign_batches(
@@ -68,8 +63,7 @@ def assign_batches(
 ) -> DataFrame:
     """Add `row_no` and `batch_no`; batch k holds rows (k-1)·size+1 … k·size."""
     numbered = number_rows(df, keys, unique)
-    batch = F.floor((F.col("row_no") - 1) / F.lit(size)).cast("bigint") + 1
-    return numbered.withColumn("batch_no", batch)
+    return numbered.withColumn("batch_no", F.expr(f"(row_no - 1) div {int(size)} + 1"))
 
 
 def batch_manifest(batched: DataFrame, keys: list[str], null_counts: tuple[str, ...] = ()):

@@ -18,7 +18,8 @@ from stipend import fixed_values as fixed
 from stipend.functions.amounts import default, growth
 from stipend.functions.codes import area_default, focus_code
 from stipend.functions.dates import (
-    clip_end, clip_start, days_in_month, days_inclusive, month_start, proration, shift_months,
+    clip_end, clip_start, days_in_month, days_inclusive, month_start, overlaps, proration,
+    shift_months,
 )
 from stipend.operators.joins import interval_join, month_join
 from stipend.operators.lookups import band_lookup, previous_month, tariff_lookup, value_as_of
@@ -34,6 +35,9 @@ STAGE_COLUMNS = [name for name, _ in fixed.PAYOUT_COLUMNS[:16]]
 _BROADCAST_PAIRS = 100_000
 _STORE_SALTS = 16
 
+# First and last date of something, both included.
+Span = tuple[Column, Column]
+
 _PERIOD = ["store", "side", "begda", "endda"]
 _EMPLOYEE = ["payee", "role", "date_start", "date_end", "area"]
 
@@ -41,10 +45,8 @@ _EMPLOYEE = ["payee", "role", "date_start", "date_end", "area"]
 def pair_growth(pairs: DataFrame, sales: DataFrame) -> DataFrame:
     """Pairs with the sales of store B in their month and a year before, and the growth.
 
-    Several sales rows of a store and month give several rows; see `duplicate_keys`.
+    `sales` are those with status 1. Several sales rows of a store and month give several rows; see `duplicate_keys`.
     """
-    sales = sales.filter(F.col("status") == 1)
-
     def named(name):
         return sales.select(
             F.col("store").alias("_store"), F.col("sale_date").alias("_date"),
@@ -72,27 +74,29 @@ def pair_focus(pairs: DataFrame, focus: DataFrame) -> DataFrame:
 
 
 def tariff_stage(
-    pairs: DataFrame, sales: DataFrame, focus: DataFrame, tariff: DataFrame, rate: Column
+    pairs: DataFrame, sales: DataFrame, focus: DataFrame, tariff: DataFrame, rate: Column,
+    months: Span | None = None,
 ) -> DataFrame:
     """The store side: valid pairs with growth, focus codes, band and pay rates.
 
     Equal rows count once in the payout, so copies are dropped from every input first: a store
-    and month with many equal sales or focus rows adds one row to a join, not many. Only sales and
-    focus of the months in question are read.
+    and month with many equal sales or focus rows adds one row to a join, not many. With `months`,
+    the first and last BEGDA of the pairs, only sales and focus of the months in question are read.
     """
-    pairs = pairs.filter(F.col("ids") == 1)
-    first, last = (pairs.agg(f("begda")).scalar() for f in (F.min, F.max))
-    pairs = pairs.filter(rate.isNotNull())
-    sales = sales.filter(
-        F.col("sale_date").cast("date").between(
-            month_start(shift_months(first, -12)), F.last_day(last))
-    )
+    pairs = pairs.filter((F.col("ids") == 1) & rate.isNotNull())
+    sales = sales.filter(F.col("status") == 1)
+    if months:
+        first, last = months
+        sales = sales.filter(F.col("sale_date").cast("date").between(
+            month_start(shift_months(first, -12)), F.last_day(last)
+        ))
+        focus = focus.filter(F.col("begda").cast("date").between(
+            month_start(shift_months(first, -1)), F.last_day(last)
+        ))
     sales = sales.select(
-        "store", month_start(F.col("sale_date")).alias("sale_date"), "amount", "status"
+        "store", month_start(F.col("sale_date")).alias("sale_date"), "amount"
     ).distinct()
-    focus = focus.filter(
-        F.col("begda").between(month_start(shift_months(first, -1)), F.last_day(last))
-    ).select("store", month_start(F.col("begda")).alias("begda"), "focus").distinct()
+    focus = focus.select("store", month_start(F.col("begda")).alias("begda"), "focus").distinct()
 
     staged = pair_focus(pair_growth(pairs, sales), focus)
     staged = band_lookup(staged, "growth", rate)
@@ -109,20 +113,23 @@ def by_side(staged: DataFrame) -> DataFrame:
     return staged.select("*", F.inline(sides))
 
 
-def employee_periods(sides: DataFrame, history: DataFrame, salts: int = 1) -> DataFrame:
+def employee_periods(
+    sides: DataFrame, history: DataFrame, span: Span | None = None, salts: int = 1
+) -> DataFrame:
     """Who worked in a store during a period: one row per store, side, period, employee, role tag
     and clipped interval, with the number of different history rows behind it (`copies`).
 
     Leaders (L) and managers (EA) count for store A, managers (EB) for store B. Copies in the
     history are dropped before the join; the count keeps rows whose raw intervals differ but are
-    equal once clipped to the period.
+    equal once clipped to the period. With `span`, the first and last day of all periods, only
+    history that overlaps it is read.
     """
     periods = sides.select(*_PERIOD).distinct()
-    first, last = periods.agg(F.min("begda")).scalar(), periods.agg(F.max("endda")).scalar()
+    if span:
+        history = history.filter(overlaps(F.col("date_start"), F.col("date_end"), *span))
     employed = (
         history.filter(F.col("status") == 1)
         .filter(F.col("role").startswith("L") | F.col("role").startswith("E"))
-        .filter((F.col("date_start") <= last) & (F.col("date_end") >= first))
         .select(
             F.col("store").alias("_store"), "payee", F.substring("role", 1, 1).alias("_kind"),
             F.col("date_start").alias("_from"), F.col("date_end").alias("_to"),
@@ -219,12 +226,15 @@ def incentive_payout(
     side and the final join read it and because its size decides how they are joined.
     """
     rate = value_as_of(inflation, previous_month() if as_of is None else as_of, "rate")
-    staged, _ = stage(tariff_stage(pairs, sales, focus, tariff, rate), "tariff-stage")
-    salts = 1 if staged.count() <= _BROADCAST_PAIRS else _STORE_SALTS
+    months = pairs.filter(F.col("ids") == 1).agg(F.min("begda"), F.max("begda")).first()
+    store_side = tariff_stage(pairs, sales, focus, tariff, rate, tuple(F.lit(day).cast("date") for day in months))
+    staged = stage(store_side, "tariff-stage")
+    count, *span = staged.agg(F.count("*"), F.min("begda"), F.max("endda")).first()
+    first, last = span = tuple(F.lit(day).cast("date") for day in span)
+    salts = 1 if count <= _BROADCAST_PAIRS else _STORE_SALTS
     sides = by_side(staged)
-    first, last = staged.agg(F.min("begda")).scalar(), staged.agg(F.max("endda")).scalar()
     absences = absences.filter(F.col("start_date").cast("date").between(first, last))
-    employees = with_absences(employee_periods(sides, history, salts), absences)
+    employees = with_absences(employee_periods(sides, history, span, salts), absences)
     detail = payout_columns(sides.join(employees, _PERIOD))
     return detail.select(*[name for name, _ in fixed.PAYOUT_COLUMNS])
 

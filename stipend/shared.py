@@ -1,7 +1,6 @@
 """Written stages in the folder the cluster shares."""
 
 import atexit
-import shutil
 import tempfile
 import uuid
 
@@ -18,26 +17,27 @@ def shared_folder(spark: SparkSession) -> str:
         return named.rstrip("/")
     if not spark.sparkContext.master.startswith("local"):
         raise RuntimeError("spark.checkpoint.dir must name a folder that all executors reach")
-    folder = tempfile.mkdtemp(prefix="stipend-")
-    atexit.register(shutil.rmtree, folder, ignore_errors=True)
-    spark.sparkContext.setCheckpointDir(folder)
+    spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="stipend-"))
     return spark.sparkContext.getCheckpointDir()
 
 
-def stage(df: DataFrame, label: str) -> tuple[DataFrame, str]:
+def stage(df: DataFrame, label: str) -> DataFrame:
     """Write `df` as a table in the shared folder and read it back.
 
     Values that depend on the partitioning are frozen, lost executors cost nothing upstream, and
     the planner sees the true size of the table: it broadcasts the table only if that is below
-    `spark.sql.autoBroadcastJoinThreshold`.
+    `spark.sql.autoBroadcastJoinThreshold`. The table is removed when the application ends.
     """
     spark = df.sparkSession
     path = f"{shared_folder(spark)}/{label}-{uuid.uuid4().hex}"
+    table = spark._jvm.org.apache.hadoop.fs.Path(path)
+    atexit.register(_remove, table.getFileSystem(spark._jsc.hadoopConfiguration()), table)
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path), path
+    return spark.read.schema(df.schema).parquet(path)
 
 
-def discard(spark: SparkSession, path: str) -> None:
-    """Remove a stage that is no longer read."""
-    target = spark._jvm.org.apache.hadoop.fs.Path(path)
-    target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
+def _remove(file_system, table) -> None:
+    try:
+        file_system.delete(table, True)
+    except Exception:  # the JVM may be gone before Python is
+        pass

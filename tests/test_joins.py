@@ -1,0 +1,95 @@
+import datetime as dt
+import random
+
+import pytest
+from pyspark.sql import functions as F
+
+from stipend.operators import joins
+
+
+def day(text):
+    return dt.date.fromisoformat(text)
+
+
+def key(row):
+    return [(v is None, str(v)) for v in row]
+
+
+@pytest.mark.parametrize("hot_right", [False, True])
+@pytest.mark.parametrize("back, expected", [
+    (0, [(1, "2024-03-15", 5), (1, "2024-03-15", 6), (2, "2024-03-31", None)]),
+    (1, [(1, "2024-03-15", 7), (2, "2024-03-31", 8)]),
+    (12, [(1, "2024-03-15", None), (2, "2024-03-31", 9)]),
+])
+def test_month_join(spark, back, expected, hot_right):
+    left = spark.createDataFrame(
+        [(1, day("2024-03-15")), (2, day("2024-03-31"))], "store int, d date")
+    right = spark.createDataFrame(
+        [(1, day("2024-03-01"), 5), (1, day("2024-03-31"), 6), (1, day("2024-02-29"), 7),
+         (2, day("2024-02-01"), 8), (2, day("2023-03-02"), 9), (None, day("2024-03-01"), 10)],
+        "s int, m date, v int")
+    got = joins.month_join(left, right, "store", "s", "d", "m", back, hot_right)
+    assert got.columns == ["store", "d", "v"]
+    assert sorted(((r.store, str(r.d), r.v) for r in got.collect()), key=key) == expected
+
+
+def intervals(rng, n, keys):
+    out = []
+    for i in range(n):
+        start = dt.date(2024, 1, 1) + dt.timedelta(days=rng.randrange(200))
+        out.append((rng.choice(keys), i, start, start + dt.timedelta(days=rng.randrange(60))))
+    return out
+
+
+@pytest.mark.parametrize("salts", [1, 5])
+def test_interval_join_equals_brute_force(spark, salts):
+    rng = random.Random(3)
+    left, right = intervals(rng, 60, [1, 2, None]), intervals(rng, 90, [1, 1, 1, 2, 3, None])
+    got = joins.interval_join(
+        spark.createDataFrame(left, "k int, i int, s date, e date"),
+        spark.createDataFrame(right, "k2 int, j int, s2 date, e2 date"),
+        "k", "k2", ("s", "e"), ("s2", "e2"), also=F.col("j") != 4, salts=salts,
+    )
+    expected = sorted(
+        (a[1], b[1]) for a in left for b in right
+        if a[0] is not None and a[0] == b[0] and a[2] <= b[3] and a[3] >= b[2] and b[1] != 4
+    )
+    assert sorted((r.i, r.j) for r in got.collect()) == expected and expected
+
+
+def test_point_in_interval_equals_brute_force(spark):
+    rng = random.Random(5)
+    left = intervals(rng, 50, [1, 2, 3, None])
+    points = [(rng.choice([1, 1, 2, None]), dt.date(2024, 1, 1) + dt.timedelta(days=rng.randrange(250)), i)
+              for i in range(80)]
+    got = joins.point_in_interval(
+        spark.createDataFrame(left, "k int, i int, s date, e date"),
+        spark.createDataFrame(points, "k2 int, p date, v int"), "k", "k2", ("s", "e"), "p")
+    expected = []
+    for a in left:
+        hits = [b[2] for b in points if a[0] is not None and a[0] == b[0] and a[2] <= b[1] <= a[3]]
+        expected += [(a[1], v) for v in (hits or [None])]
+    assert sorted(((r.i, r.v) for r in got.collect()), key=key) == sorted(expected, key=key)
+
+
+def test_overlap_has_no_cartesian_product(spark):
+    a = spark.range(10).select(F.col("id").alias("k"), F.current_date().alias("s"), F.current_date().alias("e"))
+    b = a.toDF("k2", "s2", "e2")
+    plan = joins.interval_join(a, b, "k", "k2", ("s", "e"), ("s2", "e2"))
+    text = plan._jdf.queryExecution().executedPlan().toString()
+    assert "Cartesian" not in text and "NestedLoop" not in text
+
+
+def test_stores_and_history(spark):
+    pairs = spark.createDataFrame([(1, 2), (2, 3), (None, 1)], "store_a int, store_b int")
+    history = spark.createDataFrame([(i, i % 6) for i in range(12)] + [(99, None)], "payee int, store int")
+    assert [r.store for r in joins.store_union(pairs).collect()] == [1, 2, 3]
+    assert sorted(r.payee for r in joins.history_for(pairs, history).collect()) == [1, 2, 3, 7, 8, 9]
+
+
+def test_active_only_and_duplicates(spark):
+    absences = spark.createDataFrame([(1, "a"), (2, "b"), (3, "c"), (4, None)], "payee int, type string")
+    types = spark.createDataFrame([("a", 1), ("a", 1), ("b", 0)], "type string, status int")
+    assert [r.payee for r in joins.active_only(absences, types).collect()] == [1]
+    repeated = joins.duplicate_keys(types, ["type"]).collect()
+    assert [(r.type, r.rows) for r in repeated] == [("a", 2)]
