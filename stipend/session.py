@@ -3,7 +3,9 @@
 from pyspark.sql import SparkSession
 
 
-def local_session(cores: int | str = "*", shuffle_partitions: int = 8) -> SparkSession:
+def local_session(
+    cores: int | str = "*", shuffle_partitions: int = 8, conf: dict[str, str] | None = None
+) -> SparkSession:
     return (
         SparkSession.builder.master(f"local[{cores}]")
         .appName("stipend")
@@ -11,5 +13,6 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8) -> SparkS
         .config("spark.driver.memory", "8g")
         .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
         .config("spark.sql.session.timeZone", "UTC")
+        .config(map=conf or {})
         .getOrCreate()
     )

@@ -10,12 +10,8 @@ from stipend.session import local_session  # noqa: E402
 
 @pytest.fixture(scope="session")
 def spark(tmp_path_factory):
-    from pyspark.sql import SparkSession
-
-    SparkSession.builder.config(
-        "spark.sql.warehouse.dir", str(tmp_path_factory.mktemp("warehouse"))
-    )
-    session = local_session("8", shuffle_partitions=8)
+    warehouse = {"spark.sql.warehouse.dir": str(tmp_path_factory.mktemp("warehouse"))}
+    session = local_session("8", shuffle_partitions=8, conf=warehouse)
     session.sparkContext.setLogLevel("ERROR")
     yield session
     session.stop()

@@ -101,7 +101,7 @@ def test_export_sizes_and_order(spark, tmp_path, count, sizes):
 
 
 def test_delimited_text_equals_pandas(spark, tmp_path):
-    rows = [("a;b", 'q"q', "  pad ", None, "#x"), ("", "é", "line\nbreak", "x,y", "'"), ("-", "\\", "\;", "1", "#")]
+    rows = [("a;b", 'q"q', "  pad ", None, "#x"), ("", "é", "line\nbreak", "x,y", "'"), ("-", "\\", "a\\", "1", "#")]
     df = spark.createDataFrame(rows, "a string, b string, c string, d string, e string").coalesce(1)
     delimited.write_delimited(df, str(tmp_path / "t"), ";")
     expected = pd.DataFrame(rows, columns=list("abcde")).to_csv(index=False, sep=";", lineterminator="\n")
