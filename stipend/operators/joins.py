@@ -57,24 +57,13 @@ def interval_join(
     left_interval: tuple[str, str],
     right_interval: tuple[str, str],
     also: Column | None = None,
-    salts: int = 1,
 ) -> DataFrame:
-    """Inner join on a key and overlapping intervals, and on the condition `also` if given.
-
-    With `salts` > 1 the rows of `right` that share a key are spread over that many tasks and
-    `left` is repeated for each of them: for a large `right` with a few very frequent keys. Rows
-    are spread by their content, so that a repeated task spreads them alike: drop copies first.
-    """
-    left_ends, right_ends = map(F.col, left_interval), map(F.col, right_interval)
-    on = (F.col(left_key) == F.col(right_key)) & overlaps(*left_ends, *right_ends)
-    if also is not None:
-        on = on & also
-    if salts > 1:
-        spread = F.pmod(F.xxhash64(*right.columns), F.lit(salts)).cast("int")
-        right = right.withColumn("_salt_r", spread)
-        left = left.withColumn("_salt_l", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
-        on = on & (F.col("_salt_l") == F.col("_salt_r"))
-    return left.join(right, on).drop("_salt_l", "_salt_r")
+    """Inner join on a key and overlapping intervals, and on the condition `also` if given."""
+    left_start, left_end = map(F.col, left_interval)
+    on = (F.col(left_key) == F.col(right_key)) & overlaps(
+        left_start, left_end, *map(F.col, right_interval)
+    )
+    return left.join(right, on if also is None else on & also)
 
 
 def point_in_interval(

@@ -30,11 +30,6 @@ from stipend.sources.tables import load_payout_inputs
 # Columns of the store side.
 STAGE_COLUMNS = [name for name, _ in fixed.PAYOUT_COLUMNS[:16]]
 
-# Beyond this many pairs the store side cannot be assumed to fit a broadcast, and the join with the
-# employment history spreads every store over several tasks.
-_BROADCAST_PAIRS = 100_000
-_STORE_SALTS = 16
-
 # First and last date of something, both included.
 Span = tuple[Column, Column]
 
@@ -114,15 +109,16 @@ def by_side(staged: DataFrame) -> DataFrame:
 
 
 def employee_periods(
-    sides: DataFrame, history: DataFrame, span: Span | None = None, salts: int = 1
+    sides: DataFrame, history: DataFrame, span: Span | None = None
 ) -> DataFrame:
-    """Who worked in a store during a period: one row per store, side, period, employee, role tag
-    and clipped interval, with the number of different history rows behind it (`copies`).
+    """Who worked in a store during a period: store, side, period, employee, role tag and interval
+    clipped to the period, one row per different history row.
 
     Leaders (L) and managers (EA) count for store A, managers (EB) for store B. Copies in the
-    history are dropped before the join; the count keeps rows whose raw intervals differ but are
-    equal once clipped to the period. With `span`, the first and last day of all periods, only
-    history that overlaps it is read.
+    history are dropped before the join; rows whose raw intervals differ are kept even if they are
+    equal once clipped. With `span`, the first and last day of all periods, only history that
+    overlaps it is read. Nothing after the join relies on its partitioning by store, so Spark may
+    split a store with very many employees over several tasks.
     """
     periods = sides.select(*_PERIOD).distinct()
     if span:
@@ -139,8 +135,7 @@ def employee_periods(
     )
     side_pays = (F.col("side") == "A") | (F.col("_kind") == "E")
     joined = interval_join(
-        periods, employed, "store", "_store", ("begda", "endda"), ("_from", "_to"),
-        also=side_pays, salts=salts,
+        periods, employed, "store", "_store", ("begda", "endda"), ("_from", "_to"), side_pays
     )
     tag = F.when(F.col("_kind") == "L", "L").otherwise(F.concat(F.lit("E"), F.col("side")))
     return (
@@ -148,14 +143,13 @@ def employee_periods(
         .withColumn("date_start", clip_start(F.col("begda"), F.col("_from")))
         .withColumn("date_end", clip_end(F.col("endda"), F.col("_to")))
         .withColumn("area", area_default(F.col("_area"), F.col("role")))
-        .groupBy(*_PERIOD, *_EMPLOYEE)
-        .agg(F.count("*").alias("copies"))
+        .select(*_PERIOD, *_EMPLOYEE)
     )
 
 
 def with_absences(periods: DataFrame, absences: DataFrame) -> DataFrame:
-    """Add `absence_days`: the days of the absences that start in the clipped interval, once per
-    history row behind it.
+    """Equal rows as one, with `absence_days`: the days of the absences that start in the clipped
+    interval, counted once for each of the equal rows.
 
     Absences are summed per employee and date first, and joined on employee and month: however
     many absences an employee has, a month holds at most one row per day.
@@ -179,10 +173,8 @@ def with_absences(periods: DataFrame, absences: DataFrame) -> DataFrame:
     return (
         periods.withColumn("_month", F.explode(months))
         .join(days, on, "left")
-        .groupBy(*_PERIOD, *_EMPLOYEE, "copies")
-        .agg(F.sum("_days").alias("_days"))
-        .withColumn("absence_days", F.col("copies") * default(F.col("_days"), 0.0))
-        .drop("copies", "_days")
+        .groupBy(*_PERIOD, *_EMPLOYEE)
+        .agg(default(F.sum("_days"), 0.0).alias("absence_days"))
     )
 
 
@@ -222,19 +214,18 @@ def incentive_payout(
     """The payout detail, 28 columns, one row per pair, employee, role tag and clipped interval.
 
     The inflation valid on `as_of` (default: one month ago) sets the growth bands; without one the
-    result is empty. The store side is written to the shared folder, because both the employee
-    side and the final join read it and because its size decides how they are joined.
+    result is empty. The store side is written to the shared folder: the employee side and the
+    final join both read it, and Spark broadcasts it if its size there allows it.
     """
     rate = value_as_of(inflation, previous_month() if as_of is None else as_of, "rate")
     months = pairs.filter(F.col("ids") == 1).agg(F.min("begda"), F.max("begda")).first()
     store_side = tariff_stage(pairs, sales, focus, tariff, rate, tuple(F.lit(day).cast("date") for day in months))
     staged = stage(store_side, "tariff-stage")
-    count, *span = staged.agg(F.count("*"), F.min("begda"), F.max("endda")).first()
+    span = staged.agg(F.min("begda"), F.max("endda")).first()
     first, last = span = tuple(F.lit(day).cast("date") for day in span)
-    salts = 1 if count <= _BROADCAST_PAIRS else _STORE_SALTS
     sides = by_side(staged)
     absences = absences.filter(F.col("start_date").cast("date").between(first, last))
-    employees = with_absences(employee_periods(sides, history, span, salts), absences)
+    employees = with_absences(employee_periods(sides, history, span), absences)
     detail = payout_columns(sides.join(employees, _PERIOD))
     return detail.select(*[name for name, _ in fixed.PAYOUT_COLUMNS])
 
