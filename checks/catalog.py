@@ -4,6 +4,7 @@ Dates are returned as ISO text and money as double, so that results compare acro
 """
 
 from collections.abc import Callable
+from dataclasses import replace
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -18,10 +19,16 @@ from stipend.functions.dates import (
 )
 from stipend.operators import joins, latest, lookups, numbering
 from stipend.operators.recode import recode
-from stipend.plans import incentive
+from stipend.plans import incentive, publish, recoding
+from stipend.shared import own_folder
+from stipend.sinks.delimited import export_batches, export_table
+from stipend.sources.tables import load_text_csv
 
 ITEM = ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_quantity", "l_extendedprice"]
 ITEM_KEY = ITEM[:4]
+SEGMENTS = [
+    ("MACHINERY", "MACHINES"), ("BUILDING", "HOUSES"), ("FURNITURE", "Furniture and fittings"),
+]
 ROUNDED = {"growth": 6, "share": 6, "pay": 4, "absence_pay": 4, "final_pay": 4}
 
 
@@ -141,10 +148,6 @@ def _absence_join(t: Tables) -> DataFrame:
     return joined.drop("clip_start", "clip_end")
 
 
-def _history_semi_join(t: Tables) -> DataFrame:
-    return joins.history_for(t.pairs().filter("ids = 0"), t.history())
-
-
 def _null_defaults(t: Tables) -> DataFrame:
     area = F.col("area")
     return t.history().select(
@@ -162,6 +165,30 @@ def _newest_snapshot(t: Tables) -> DataFrame:
     return latest.newest_per_family(runs, "event_type", "run")
 
 
+def _read_back(t: Tables, folder: str, sep: str) -> DataFrame:
+    """Rows of delimited files, as text, with the name of their file."""
+    return load_text_csv(t.spark, folder, sep).withColumn("file", F.col("_metadata.file_name"))
+
+
+def _exported_files(t: Tables) -> DataFrame:
+    out = own_folder(t.spark, "exported")
+    export_batches(numbering.assign_batches(t.closed_items(), ITEM_KEY, 8000), out, "items")
+    return _read_back(t, out, ";")
+
+
+def _published_files(t: Tables) -> DataFrame:
+    out = own_folder(t.spark, "published")
+    profile = replace(publish.PROFILES["it15"], rows_per_file=10)
+    publish.publish_latest_batch(t.spark, t.pay_records(), profile, out)
+    return _read_back(t, out, profile.sep)
+
+
+def _recoded_file(t: Tables) -> DataFrame:
+    source = f"{own_folder(t.spark, 'recoded')}/customer.csv"
+    export_table(t.customer.select("c_custkey", "c_name", "c_nationkey", "c_mktsegment"), source)
+    return load_text_csv(t.spark, recoding.recode_file(t.spark, source, pairs=SEGMENTS))
+
+
 _BUILDERS: dict[str, Callable[[Tables], DataFrame]] = {
     "project_17": lambda t: t.pay_records(),
     "filter_status": lambda t: t.pay_records().filter(F.col("ZSTAT") == "N"),
@@ -211,7 +238,7 @@ _BUILDERS: dict[str, Callable[[Tables], DataFrame]] = {
     "tariff_lookup": _tariff_stage,
     "null_defaults": _null_defaults,
     "store_union": lambda t: joins.store_union(t.pairs()),
-    "history_semi_join": _history_semi_join,
+    "history_semi_join": lambda t: joins.history_for(t.pairs(), t.history()),
     "role_prefix_filter": lambda t: t.history().filter(
         F.col("role").startswith("L") | F.col("role").startswith("E")
     ),
@@ -240,10 +267,11 @@ _BUILDERS: dict[str, Callable[[Tables], DataFrame]] = {
     "date_text": lambda t: t.orders.select(
         "o_orderkey", iso_date(F.col("o_orderdate")).alias("order_date")
     ),
+    "exported_files": _exported_files,
+    "published_files": _published_files,
+    "recoded_file": _recoded_file,
     "value_recode": lambda t: recode(
-        t.customer.select("c_custkey", "c_name", "c_nationkey", "c_mktsegment"),
-        [("MACHINERY", "MACHINES"), ("BUILDING", "HOUSES"),
-         ("FURNITURE", "Furniture and fittings")],
+        t.customer.select("c_custkey", "c_name", "c_nationkey", "c_mktsegment"), SEGMENTS
     ),
     "value_recode_parts": lambda t: recode(
         t.part.select("p_partkey", "p_name", "p_brand", "p_type"),

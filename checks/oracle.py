@@ -266,6 +266,19 @@ _NUMBER_TEXT = (
     "CAST(o_orderkey // 1000 AS VARCHAR) || '.' || lpad(CAST(o_orderkey % 1000 AS VARCHAR), 3, '0')"
 )
 
+_RECORD_IN_FILE = (
+    '"PERNR", "LGART", "BEGDA", printf(\'%.2f\', CAST("ANZHL" AS DOUBLE)) AS "ANZHL", "PTZEINH", '
+    '"BETRG", "WAERS", "ESTDT", "ZUORD", "DATUM", "ZUTIMER", "ZSTAT", nullif("ZFPROC", \'\') AS "ZFPROC", '
+    'nullif("ZUTIME", \'\') AS "ZUTIME", nullif("ZUPROC", \'\') AS "ZUPROC", '
+    'nullif("ZDESCST", \'\') AS "ZDESCST", "ZINFOTIPO"'
+)
+_RECODED = """
+SELECT CAST(c_custkey AS VARCHAR) AS c_custkey, c_name, CAST(c_nationkey AS VARCHAR) AS c_nationkey,
+  CASE c_mktsegment WHEN 'MACHINERY' THEN 'MACHINES' WHEN 'BUILDING' THEN 'HOUSES'
+    WHEN 'FURNITURE' THEN 'Furniture and fittings' ELSE c_mktsegment END AS c_mktsegment
+FROM customer
+""".strip()
+
 QUERIES = {
     "project_17": _with(f"SELECT {_RECORD} FROM pay_records", "pay_records"),
     "filter_status": _with(f"SELECT {_RECORD} FROM pay_records WHERE zstat = 'N'", "pay_records"),
@@ -348,8 +361,8 @@ FROM (SELECT *, strftime(date_start, '%Y-%m-%d') AS date_start_text FROM history
     "store_union": _with("SELECT store FROM stores ORDER BY store", "stores"),
     "history_semi_join": _with(f"""
 SELECT payee, store, role, status, {_iso("date_start", "date_end")}, area FROM history
-WHERE store IN (SELECT store_b FROM pairs WHERE ids = 0 UNION SELECT store_a FROM pairs WHERE ids = 0)
-""", "history", "pairs"),
+WHERE store IN (SELECT store FROM stores)
+""", "history", "stores"),
     "role_prefix_filter": _with(f"""
 SELECT payee, store, role, status, {_iso("date_start", "date_end")}, area FROM history
 WHERE role LIKE 'L%' OR role LIKE 'E%'
@@ -407,12 +420,18 @@ FROM (SELECT *, CASE WHEN o_orderkey % 10 = 0 THEN 'n/a' ELSE strftime(o_orderda
     "date_text": """
 SELECT o_orderkey, strftime(o_orderdate, '%Y-%m-%d') AS order_date FROM orders
 """.strip(),
-    "value_recode": """
-SELECT CAST(c_custkey AS VARCHAR) AS c_custkey, c_name, CAST(c_nationkey AS VARCHAR) AS c_nationkey,
-  CASE c_mktsegment WHEN 'MACHINERY' THEN 'MACHINES' WHEN 'BUILDING' THEN 'HOUSES'
-    WHEN 'FURNITURE' THEN 'Furniture and fittings' ELSE c_mktsegment END AS c_mktsegment
-FROM customer
-""".strip(),
+    "exported_files": _with(f"""
+SELECT {", ".join(f"CAST({c} AS VARCHAR) AS {c}" for c in _ITEM.split(", "))},
+  'items-' || CAST((row_no - 1) // 8000 + 1 AS VARCHAR) || '.txt' AS file
+FROM numbered_items
+""", "numbered_items"),
+    "published_files": _with(f"""
+SELECT {_RECORD_IN_FILE}, 'ReplicaICMEP-' || CAST((row_no - 1) // 10 + 1 AS VARCHAR) || '.csv' AS file
+FROM (SELECT *, row_number() OVER (ORDER BY "PERNR", "LGART", "BEGDA", "ANZHL", "PTZEINH", "BETRG",
+  "WAERS", "ESTDT", "ZUORD") AS row_no FROM ({_latest("pay_records", None, True)}))
+"""),
+    "recoded_file": _RECODED,
+    "value_recode": _RECODED,
     "value_recode_parts": """
 SELECT CAST(p_partkey AS VARCHAR) AS p_partkey, p_name,
   CASE p_brand WHEN 'Brand#1' THEN 'Brand#One' ELSE p_brand END AS p_brand,

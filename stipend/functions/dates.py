@@ -10,7 +10,8 @@ def as_date(c: Column) -> Column:
 
 
 def iso_date(c: Column) -> Column:
-    return F.date_format(c, "yyyy-MM-dd")
+    """`yyyy-MM-dd` text of a date or timestamp."""
+    return c.cast("date").cast("string")
 
 
 def month_start(c: Column) -> Column:

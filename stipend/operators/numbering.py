@@ -10,8 +10,9 @@ from stipend.shared import stage
 # monotonically_increasing_id: partition number above these bits, position in the partition below.
 _POSITION_BITS = 33
 
-# A page that ends within this many rows is taken from the top of the order directly.
-_TOP_ROWS = 200_000
+# A page that ends within this many rows is taken from the top of the order directly: one task then
+# merges up to this many rows of every other task.
+_TOP_ROWS = 1_000
 
 
 def _order(df: DataFrame, keys: list[str]):
@@ -89,8 +90,8 @@ def page(
 ) -> DataFrame:
     """Rows offset+1 … offset+size in the order of `keys`.
 
-    Near the top each task keeps only its own first rows. Further down that would gather the whole
-    skipped part in one task, so the rows are numbered instead.
+    Near the top each task keeps only its own first rows. Further down that would gather too many
+    rows in one task, so the rows are numbered instead.
     """
     if offset + size <= _TOP_ROWS:
         return df.orderBy(*_order(df, keys)).offset(offset).limit(size)

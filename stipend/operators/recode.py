@@ -20,10 +20,16 @@ def recode(
 ) -> DataFrame:
     """All columns as text, with each cell that equals a source value replaced by its target.
 
-    Cells are compared as a whole and by case. Nulls stay null unless `null_text` is given.
+    Cells are compared as a whole and by case. Nulls stay null unless `null_text` is given. Each
+    cell is one lookup in a constant map, however many pairs there are.
     """
     mapping = one_pass(pairs)
-    text = df.select(*[F.col(f"`{c}`").cast("string").alias(c) for c in df.columns])
-    if null_text is not None:
-        text = text.fillna(null_text)
-    return text.replace(mapping) if mapping else text
+    targets = F.create_map(*[F.lit(text) for pair in mapping.items() for text in pair])
+
+    def recoded(name):
+        cell = F.col(f"`{name}`").cast("string")
+        if null_text is not None:
+            cell = F.coalesce(cell, F.lit(null_text))
+        return (F.coalesce(targets[cell], cell) if mapping else cell).alias(name)
+
+    return df.select(*[recoded(name) for name in df.columns])

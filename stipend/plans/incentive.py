@@ -201,6 +201,37 @@ def payout_columns(df: DataFrame) -> DataFrame:
     )
 
 
+def staged_pairs(
+    pairs: DataFrame, sales: DataFrame, focus: DataFrame, tariff: DataFrame,
+    inflation: DataFrame, as_of: Column | None = None,
+) -> DataFrame:
+    """The store side, written to the shared folder: the employee side and the final join both
+    read it, and Spark broadcasts it if its size there allows it.
+
+    The inflation valid on `as_of` (default: one month ago) sets the growth bands; without one
+    there is no row.
+    """
+    rate = value_as_of(inflation, previous_month() if as_of is None else as_of, "rate")
+    months = _span(pairs.filter(F.col("ids") == 1), "begda", "begda")
+    return stage(tariff_stage(pairs, sales, focus, tariff, rate, months), "tariff-stage")
+
+
+def payout_detail(staged: DataFrame, history: DataFrame, absences: DataFrame) -> DataFrame:
+    """The payout detail of a store side, 28 columns, one row per pair, employee, role tag and
+    clipped interval."""
+    first, last = span = _span(staged, "begda", "endda")
+    absences = absences.filter(F.col("start_date").cast("date").between(first, last))
+    sides = by_side(staged)
+    employees = with_absences(employee_periods(sides, history, span), absences)
+    detail = payout_columns(sides.join(employees, _PERIOD))
+    return detail.select(*[name for name, _ in fixed.PAYOUT_COLUMNS])
+
+
+def _span(df: DataFrame, start: str, end: str) -> Span:
+    """Least start and greatest end, as constants, so that they reach the scans of other tables."""
+    return tuple(F.lit(day).cast("date") for day in df.agg(F.min(start), F.max(end)).first())
+
+
 def incentive_payout(
     pairs: DataFrame,
     sales: DataFrame,
@@ -211,23 +242,9 @@ def incentive_payout(
     inflation: DataFrame,
     as_of: Column | None = None,
 ) -> DataFrame:
-    """The payout detail, 28 columns, one row per pair, employee, role tag and clipped interval.
-
-    The inflation valid on `as_of` (default: one month ago) sets the growth bands; without one the
-    result is empty. The store side is written to the shared folder: the employee side and the
-    final join both read it, and Spark broadcasts it if its size there allows it.
-    """
-    rate = value_as_of(inflation, previous_month() if as_of is None else as_of, "rate")
-    months = pairs.filter(F.col("ids") == 1).agg(F.min("begda"), F.max("begda")).first()
-    store_side = tariff_stage(pairs, sales, focus, tariff, rate, tuple(F.lit(day).cast("date") for day in months))
-    staged = stage(store_side, "tariff-stage")
-    span = staged.agg(F.min("begda"), F.max("endda")).first()
-    first, last = span = tuple(F.lit(day).cast("date") for day in span)
-    sides = by_side(staged)
-    absences = absences.filter(F.col("start_date").cast("date").between(first, last))
-    employees = with_absences(employee_periods(sides, history, span), absences)
-    detail = payout_columns(sides.join(employees, _PERIOD))
-    return detail.select(*[name for name, _ in fixed.PAYOUT_COLUMNS])
+    """Both sides of the payout in one call; see `staged_pairs` and `payout_detail`."""
+    staged = staged_pairs(pairs, sales, focus, tariff, inflation, as_of)
+    return payout_detail(staged, history, absences)
 
 
 def payout_summary(detail: DataFrame) -> DataFrame:
@@ -236,12 +253,18 @@ def payout_summary(detail: DataFrame) -> DataFrame:
 
 
 def run_payout(
-    spark: SparkSession, folder: str, out: str, as_of: Column | None = None
+    spark: SparkSession, folder: str, out: str, as_of: Column | None = None,
+    stage_out: str | None = None,
 ) -> DataFrame:
-    """Load the interchange files of `folder`, write the payout detail to `out`."""
+    """Load the interchange files of `folder`, write the payout detail to `out` and, if asked for,
+    the store side to `stage_out` for review."""
     inputs = load_payout_inputs(spark, folder)
+    history, absences = inputs.pop("history"), inputs.pop("absences")
     inputs.pop("absence_types")
-    detail = incentive_payout(**inputs, as_of=as_of)
+    staged = staged_pairs(**inputs, as_of=as_of)
+    if stage_out:
+        export_table(staged, stage_out)
+    detail = payout_detail(staged, history, absences)
     published = detail.select(*[F.col(n).alias(p) for n, p in fixed.PAYOUT_COLUMNS])
     export_table(published, f"{out.rstrip('/')}/{fixed.PAYOUT_FILE}")
     return detail

@@ -1,4 +1,4 @@
-"""Written stages in the folder the cluster shares."""
+"""Written stages, and other working folders, in the folder the cluster shares."""
 
 import atexit
 import tempfile
@@ -21,23 +21,28 @@ def shared_folder(spark: SparkSession) -> str:
     return spark.sparkContext.getCheckpointDir()
 
 
+def own_folder(spark: SparkSession, label: str) -> str:
+    """A new path in the shared folder, removed when the application ends."""
+    path = f"{shared_folder(spark)}/{label}-{uuid.uuid4().hex}"
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    atexit.register(_remove, folder.getFileSystem(spark._jsc.hadoopConfiguration()), folder)
+    return path
+
+
 def stage(df: DataFrame, label: str) -> DataFrame:
     """Write `df` as a table in the shared folder and read it back.
 
     Values that depend on the partitioning are frozen, lost executors cost nothing upstream, and
     the planner sees the true size of the table: it broadcasts the table only if that is below
-    `spark.sql.autoBroadcastJoinThreshold`. The table is removed when the application ends.
+    `spark.sql.autoBroadcastJoinThreshold`.
     """
-    spark = df.sparkSession
-    path = f"{shared_folder(spark)}/{label}-{uuid.uuid4().hex}"
-    table = spark._jvm.org.apache.hadoop.fs.Path(path)
-    atexit.register(_remove, table.getFileSystem(spark._jsc.hadoopConfiguration()), table)
+    path = own_folder(df.sparkSession, label)
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def _remove(file_system, table) -> None:
+def _remove(file_system, folder) -> None:
     try:
-        file_system.delete(table, True)
+        file_system.delete(folder, True)
     except Exception:  # the JVM may be gone before Python is
         pass

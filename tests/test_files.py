@@ -199,7 +199,9 @@ def test_run_payout_from_files(spark, tmp_path):
     for file, columns in fixed.PAYOUT_FILES.values():
         header = ",".join(name for name, _, _ in columns)
         (source / file).write_text(f"{header}\n{values[file]}\n")
-    detail = incentive.run_payout(spark, str(source), str(tmp_path / "out"), F.lit("2024-04-15").cast("date"))
+    detail = incentive.run_payout(
+        spark, str(source), str(tmp_path / "out"), F.lit("2024-04-15").cast("date"), str(tmp_path / "stage"))
+    assert content(tmp_path / "stage").decode().startswith("store_a,store_b,begda,")
     (row,) = detail.collect()
     assert (row.pay, row.final_pay, row.sales) == (165.0, 154.0, Decimal("150.00"))
     header, line = content(tmp_path / "out" / fixed.PAYOUT_FILE).decode().splitlines()
