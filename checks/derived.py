@@ -79,15 +79,13 @@ class Tables:
     def store_focus(self) -> DataFrame:
         key = F.col("s_suppkey")
         begda = F.add_months(F.lit("1998-12-01").cast("date"), F.col("step"))
-        month = F.month(begda)
+        letter = F.substring(F.lit("EICDX"), ((key + F.month(begda)) % 5 + 1).cast("int"), F.lit(1))
         return (
-            self.supplier.filter(key % 11 != 3)
-            .withColumn("step", F.explode(F.sequence(F.lit(0), F.lit(11))))
+            self.supplier.withColumn("step", F.explode(F.sequence(F.lit(0), F.lit(11))))
             .select(
                 key.alias("store"),
                 begda.alias("begda"),
-                F.substring(F.lit("EICDX"), ((key + month) % 5 + 1).cast("int"), F.lit(1))
-                .alias("focus"),
+                F.when(key % 11 != 3, letter).alias("focus"),
             )
         )
 

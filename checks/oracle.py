@@ -38,10 +38,10 @@ FROM lineitem GROUP BY l_suppkey, date_trunc('month', l_shipdate)
 """),
     "store_focus": ([], """
 SELECT s_suppkey AS store, begda,
-  substr('EICDX', CAST((s_suppkey + month(begda)) % 5 + 1 AS INTEGER), 1) AS focus
+  CASE WHEN s_suppkey % 11 <> 3
+    THEN substr('EICDX', CAST((s_suppkey + month(begda)) % 5 + 1 AS INTEGER), 1) END AS focus
 FROM supplier,
   (SELECT CAST(DATE '1998-12-01' + to_months(CAST(unnest(range(0, 12)) AS INTEGER)) AS DATE) AS begda)
-WHERE s_suppkey % 11 <> 3
 """),
     "tariff": ([], """
 SELECT c AS case_id, f AS focus, b AS band,
@@ -149,11 +149,9 @@ FROM tariff_stage t JOIN history h ON h.store = t.store_{side} AND h.role LIKE '
         f"{low}_paid": ([f"{low}_staff"], f"""
 WITH clipped AS (
   SELECT * EXCLUDE (raw_start, raw_end, raw_area), '{tag}' AS role,
-    abs(datediff('day', CASE WHEN endda > raw_end THEN raw_end ELSE endda END,
-      CASE WHEN begda > raw_start THEN begda ELSE raw_start END)) + 1 AS days,
+    datediff('day', greatest(begda, raw_start), least(endda, raw_end)) + 1 AS days,
     CAST(day(last_day(begda)) AS DECIMAL(16,2)) AS month_days,
-    CASE WHEN raw_start < begda THEN begda ELSE raw_start END AS date_start,
-    CASE WHEN raw_end > endda THEN endda ELSE raw_end END AS date_end,
+    greatest(begda, raw_start) AS date_start, least(endda, raw_end) AS date_end,
     coalesce(raw_area, '{area}') AS area
   FROM {low}_staff),
 shared AS (SELECT *, CAST(days AS DOUBLE) / CAST(month_days AS DOUBLE) AS share FROM clipped)
@@ -374,9 +372,9 @@ SELECT DISTINCT {_WORKED_TEXT.replace("role, ", "")} FROM ({_WORKED} AND h.role
     "proration": _with(f"""
 SELECT {_WORKED_TEXT}, strftime(clip_start, '%Y-%m-%d') AS clip_start,
   strftime(clip_end, '%Y-%m-%d') AS clip_end,
-  CAST(abs(datediff('day', clip_end, clip_start)) + 1 AS BIGINT) AS days,
+  CAST(datediff('day', clip_start, clip_end) + 1 AS BIGINT) AS days,
   CAST(day(last_day(begda)) AS BIGINT) AS month_days,
-  round(CAST(abs(datediff('day', clip_end, clip_start)) + 1 AS DOUBLE)
+  round(CAST(datediff('day', clip_start, clip_end) + 1 AS DOUBLE)
     / CAST(day(last_day(begda)) AS DOUBLE), 6) AS share
 FROM (SELECT *, {_CLIP} FROM ({_WORKED}))
 """, "pairs", "history"),

@@ -11,6 +11,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from stipend import fixed_values as fixed
+from stipend.__main__ import main
+from stipend.functions.amounts import money_text
 from stipend.operators.numbering import assign_batches
 from stipend.plans import incentive, publish, recoding, snapshots
 from stipend.sinks import delimited, tables as table_sinks
@@ -215,6 +217,18 @@ def test_money_text_equals_pandas_on_many_values(spark):
                               rng.integers(-99999, 99999, 2000) / 1000])
     text = [repr(float(x)) for x in numbers]
     df = spark.createDataFrame(list(enumerate(text)), "i int, v string")
-    from stipend.functions.amounts import money_text
     got = [r[1] for r in df.select("i", money_text(F.col("v"))).orderBy("i").collect()]
     assert got == [f"{x:.2f}" for x in pd.Series(text).astype(float).round(2)]
+
+
+def test_jobs_from_the_command_line(spark, tmp_path, capsys):
+    records(spark, [record(i) for i in range(3)]).write.parquet(str(tmp_path / "records"))
+    main(["publish", "--profile", "categoria", "--records", str(tmp_path / "records"), "--out", str(tmp_path / "o")])
+    assert files(tmp_path / "o") == ["ReplicaICMVS-Categoria-1.txt"]
+    assert "ReplicaICMVS-Categoria-1.txt" in capsys.readouterr().out
+    (tmp_path / "a.csv").write_text("p\n10GTO Leon\n")
+    main(["recode", "--file", str(tmp_path / "a.csv")])
+    assert content(tmp_path / "a_LIMPIO.csv") == b"p\n10GTO Leon Norte\n"
+    dated(tmp_path / "XXICMCOMISIONES-1.txt", b"x", 1_000)
+    main(["snapshots", "--folder", str(tmp_path), "--out", str(tmp_path / "s")])
+    assert files(tmp_path / "s") == ["OK.txt", "XXICMCOMISIONES.csv"]

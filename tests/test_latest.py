@@ -80,6 +80,13 @@ def test_dates_reach_the_scan(spark, records, tmp_path):
     assert "Join" not in plan
 
 
+def test_partitioned_by_date(spark, records, tmp_path):
+    records.write.partitionBy("DATUM").parquet(str(tmp_path / "r"))
+    stored = spark.read.parquet(str(tmp_path / "r"))
+    assert ids(latest.latest_batch(stored, "A")) == [3, 4]
+    assert ids(latest.latest_batch_by(stored)) == [3, 4, 9]
+
+
 def test_newest_per_family(spark):
     rows = [("a", 1, 10), ("a", 2, 11), ("a", 2, 12), ("b", 1, 13), ("c", None, 14)]
     df = spark.createDataFrame(rows, "family string, run int, id int")
