@@ -209,7 +209,7 @@ _BUILDERS: dict[str, Callable[[Tables], DataFrame]] = {
     ),
     "batch_count": lambda t: latest.row_count(t.closed_items()),
     "batch_manifest": lambda t: numbering.batch_manifest(
-        numbering.assign_batches(t.closed_items(), ITEM_KEY, 8000), ITEM[:2]
+        numbering.assign_batches(t.closed_items(), ITEM_KEY, 8000), ITEM[:2], 8000
     ),
     "export_batches": lambda t: numbering.assign_batches(t.closed_items(), ITEM_KEY, 8000),
     "sales_same_month": lambda t: _pair_sales(t, "sales", 0),

@@ -48,44 +48,40 @@ def latest_batch_by(
 ) -> DataFrame:
     """`latest_batch` of every category at once.
 
-    One pass finds the newest run per category, combined in each task before the shuffle, so a
-    category that holds most rows costs no more than another. The runs, one row per category, are
-    written to the shared folder: the planner then knows their size and broadcasts them if they
-    are small. The second pass reads only dates from the oldest of these runs on.
+    The newest dates come from one pass, combined in each task before the shuffle, so a category
+    that holds most rows costs no more than another. The newest times, and then the records, are
+    looked for only from the oldest of these dates on. Dates and runs, one row per category each,
+    are written to the shared folder: the planner then knows their size and broadcasts them if
+    they are small.
     """
-    is_open = F.col(status_col) == open_status
-    open_rows = df.filter(is_open & F.col(date_col).isNotNull())
-    if strict:
-        runs = open_rows.groupBy(category_col).agg(
-            F.max(F.struct(date_col, time_col)).alias("run")
-        )
-    else:
-        per_date = (
-            df.filter(F.col(date_col).isNotNull())
-            .groupBy(category_col, date_col)
-            .agg(F.max(time_col).alias(time_col), F.bool_or(is_open).alias("has_open"))
-        )
-        runs = (
-            per_date.filter("has_open")
-            .groupBy(category_col)
-            .agg(F.max(F.struct(date_col, time_col)).alias("run"))
-        )
-    runs = stage(runs.select(category_col, "run.*"), "runs")
-    oldest = runs.agg(F.min(date_col)).scalar()
-    return open_rows.filter(F.col(date_col) >= oldest).join(
+    open_rows = df.filter(F.col(status_col) == open_status)
+    dates = stage(open_rows.groupBy(category_col).agg(F.max(date_col).alias(date_col)), "dates")
+    recent = F.col(date_col) >= dates.agg(F.min(date_col)).scalar()
+    on_date = (open_rows if strict else df).filter(recent).join(dates, [category_col, date_col])
+    runs = _newest(on_date, [category_col, date_col], time_col)
+    return open_rows.filter(recent).join(
         runs, [category_col, date_col, time_col]
     ).select(*df.columns)
 
 
 def newest_per_family(df: DataFrame, family_col: str, run_col: str) -> DataFrame:
     """All rows of the newest run of each family; rows without a run are never chosen."""
-    runs = stage(df.groupBy(family_col).agg(F.max(run_col).alias(run_col)), "family-runs")
+    runs = _newest(df, [family_col], run_col)
     oldest = runs.agg(F.min(run_col)).scalar()
     return df.filter(F.col(run_col) >= oldest).join(
         runs, [family_col, run_col]
     ).select(*df.columns)
 
 
+def _newest(df: DataFrame, keys: list[str], run_col: str) -> DataFrame:
+    """The greatest run per key, as a table in the shared folder.
+
+    A maximum of texts is found by sorting; the distinct runs, found by hashing, are few.
+    """
+    runs = df.select(*keys, run_col).distinct()
+    return stage(runs.groupBy(*keys).agg(F.max(run_col).alias(run_col)), "runs")
+
+
 def row_count(df: DataFrame) -> DataFrame:
     """Number of rows, as one row with the column `row_count`."""
     return df.agg(F.count("*").alias("row_count"))

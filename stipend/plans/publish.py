@@ -44,10 +44,9 @@ def publish_latest_batch(
     counts and contents cannot differ. Without any row no file is written.
     """
     newest = latest_batch(records, profile.category, profile.strict)
-    batched = assign_batches(
-        newest.select(*fixed.RECORD_COLUMNS), ["PERNR"], profile.rows_per_file
-    )
-    manifest = batch_manifest(batched, ["PERNR"], tuple(fixed.INTEGER_COLUMNS))
+    size = profile.rows_per_file
+    batched = assign_batches(newest.select(*fixed.RECORD_COLUMNS), ["PERNR"], size)
+    manifest = batch_manifest(batched, ["PERNR"], size, tuple(fixed.INTEGER_COLUMNS))
     export_batches(
         format_records(batched) if profile.formatted else batched,
         out, profile.prefix, profile.ext, profile.sep,

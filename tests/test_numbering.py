@@ -57,7 +57,7 @@ def test_copies_are_spread_over_ranges(spark):
 def test_batch_sizes(spark, count, sizes):
     df = spark.range(count).withColumnRenamed("id", "k")
     batched = numbering.assign_batches(df, ["k"], 100, unique=True)
-    manifest = numbering.batch_manifest(batched, ["k"]).orderBy("batch_no").collect()
+    manifest = numbering.batch_manifest(batched, ["k"], 100).orderBy("batch_no").collect()
     assert [r.rows for r in manifest] == sizes
     assert [r.first_k for r in manifest] == [100 * i for i in range(len(sizes))]
     assert [r.last_k for r in manifest] == [100 * i + n - 1 for i, n in enumerate(sizes)]
@@ -65,8 +65,9 @@ def test_batch_sizes(spark, count, sizes):
 
 def test_manifest_counts_nulls(spark):
     df = spark.createDataFrame([(1, None), (2, "x"), (3, None)], "k int, z string")
-    row = numbering.batch_manifest(numbering.assign_batches(df, ["k"], 10), ["k"], ("z",)).collect()[0]
-    assert (row.rows, row.z_nulls) == (3, 2)
+    batched = numbering.assign_batches(df, ["k"], 10)
+    (row,) = numbering.batch_manifest(batched, ["k"], 10, ("z",)).collect()
+    assert (row.rows, row.first_k, row.last_k, row.z_nulls) == (3, 1, 3, 2)
 
 
 def test_batches_need_no_window(frame):
