@@ -29,22 +29,22 @@ def number_rows(df: DataFrame, keys: list[str], unique: bool = False) -> DataFra
     rows before each of them; no task sees more than one range, and no window over all rows is
     needed. The written positions cannot move when an executor is lost.
 
-    Ranges are also split inside a group of exact copies: copies are interchangeable, and their
-    position in their sorted input partition comes last in the range key. `unique=True` says that
-    `keys` tell all rows apart and saves that step.
+    Ranges are also split inside a group of exact copies: copies are interchangeable, and the
+    input partition they come from is last in the range key. So no more copies stay together than
+    one input partition holds. `unique=True` says that `keys` tell all rows apart.
     """
     order = _order(df, keys)
     by_range = order
     if unique:
         by_range = order[: len(keys)]
     else:
-        df = df.sortWithinPartitions(*order).withColumn("_copy", F.monotonically_increasing_id())
-        by_range = [*order, F.col("_copy").asc()]
+        df = df.withColumn("_from", F.spark_partition_id())
+        by_range = [*order, F.col("_from").asc()]
     ranged = (
         df.repartitionByRange(*by_range)
         .sortWithinPartitions(*by_range)
         .withColumn("_place", F.monotonically_increasing_id())
-        .drop("_copy")
+        .drop("_from")
     )
     placed = stage(ranged, "numbered")
     placed = placed.withColumn("_range", F.shiftright("_place", _POSITION_BITS))
