@@ -94,7 +94,8 @@ def store_union(pairs: DataFrame) -> DataFrame:
 
 
 def history_for(pairs: DataFrame, history: DataFrame) -> DataFrame:
-    """Employment history of the stores named on either side of the pairs.
+    """Employment history, or any other rows with a `store`, of the stores named on either side of
+    the pairs.
 
     The semi-join needs no distinct keys, and the keys never leave the cluster.
     """

@@ -21,7 +21,7 @@ from stipend.functions.dates import (
     clip_end, clip_start, days_in_month, days_inclusive, month_start, overlaps, proration,
     shift_months,
 )
-from stipend.operators.joins import interval_join, month_join
+from stipend.operators.joins import history_for, interval_join, month_join
 from stipend.operators.lookups import band_lookup, previous_month, tariff_lookup, value_as_of
 from stipend.shared import stage
 from stipend.sinks.delimited import export_table
@@ -30,6 +30,10 @@ from stipend.sources.tables import load_payout_inputs
 # Columns of the store side.
 STAGE_COLUMNS = [name for name, _ in fixed.PAYOUT_COLUMNS[:16]]
 
+# Up to this many pairs their stores are few, and tables are first cut down to them by a semi-join
+# with a broadcast. Beyond it, that would only shuffle those tables once more.
+_FEW_PAIRS = 100_000
+
 # First and last date of something, both included.
 Span = tuple[Column, Column]
 
@@ -40,7 +44,8 @@ _EMPLOYEE = ["payee", "role", "date_start", "date_end", "area"]
 def pair_growth(pairs: DataFrame, sales: DataFrame) -> DataFrame:
     """Pairs with the sales of store B in their month and a year before, and the growth.
 
-    `sales` are those with status 1. Several sales rows of a store and month give several rows; see `duplicate_keys`.
+    `sales` are those with status 1. Several sales rows of a store and month give several rows; see
+    `duplicate_keys`.
     """
     def named(name):
         return sales.select(
@@ -161,10 +166,9 @@ def with_absences(periods: DataFrame, absences: DataFrame) -> DataFrame:
         .agg(F.sum(default(F.col("days"), 0).cast("double")).alias("_days"))
         .withColumn("_day_month", month_start(F.col("_day")))
     )
-    months = F.sequence(
-        month_start(F.col("date_start")), month_start(F.col("date_end")),
-        F.expr("interval 1 month"),
-    )
+    # An interval that ends before it starts holds no day, but is kept like any other.
+    first, last = month_start(F.col("date_start")), month_start(F.col("date_end"))
+    months = F.sequence(first, F.greatest(first, last), F.expr("interval 1 month"))
     on = (
         (F.col("payee") == F.col("_payee"))
         & (F.col("_month") == F.col("_day_month"))
@@ -212,24 +216,31 @@ def staged_pairs(
     there is no row.
     """
     rate = value_as_of(inflation, previous_month() if as_of is None else as_of, "rate")
-    months = _span(pairs.filter(F.col("ids") == 1), "begda", "begda")
+    valid = pairs.filter(F.col("ids") == 1)
+    count, months = _extent(valid, "begda", "begda")
+    if count <= _FEW_PAIRS:
+        sales, focus = history_for(valid, sales), history_for(valid, focus)
     return stage(tariff_stage(pairs, sales, focus, tariff, rate, months), "tariff-stage")
 
 
 def payout_detail(staged: DataFrame, history: DataFrame, absences: DataFrame) -> DataFrame:
     """The payout detail of a store side, 28 columns, one row per pair, employee, role tag and
     clipped interval."""
-    first, last = span = _span(staged, "begda", "endda")
-    absences = absences.filter(F.col("start_date").cast("date").between(first, last))
+    count, span = _extent(staged, "begda", "endda")
+    if count <= _FEW_PAIRS:
+        history = history_for(staged, history)
+    absences = absences.filter(F.col("start_date").cast("date").between(*span))
     sides = by_side(staged)
     employees = with_absences(employee_periods(sides, history, span), absences)
     detail = payout_columns(sides.join(employees, _PERIOD))
     return detail.select(*[name for name, _ in fixed.PAYOUT_COLUMNS])
 
 
-def _span(df: DataFrame, start: str, end: str) -> Span:
-    """Least start and greatest end, as constants, so that they reach the scans of other tables."""
-    return tuple(F.lit(day).cast("date") for day in df.agg(F.min(start), F.max(end)).first())
+def _extent(df: DataFrame, start: str, end: str) -> tuple[int, Span]:
+    """Number of rows, and least start and greatest end as constants that reach the scans of other
+    tables."""
+    count, *days = df.agg(F.count("*"), F.min(start), F.max(end)).first()
+    return count, tuple(F.lit(day).cast("date") for day in days)
 
 
 def incentive_payout(

@@ -143,8 +143,10 @@ def test_a_period_of_two_months_divides_by_the_first(spark):
 
 
 @pytest.fixture(params=["small", "large"])
-def join_settings(request, spark):
+def join_settings(request, spark, monkeypatch):
     """`large`: as with inputs too large to broadcast, and every larger partition split."""
+    if request.param == "large":
+        monkeypatch.setattr(incentive, "_FEW_PAIRS", 0)
     settings = {} if request.param == "small" else {
         "spark.sql.autoBroadcastJoinThreshold": "-1",
         "spark.sql.adaptive.advisoryPartitionSizeInBytes": "2k",
@@ -159,6 +161,15 @@ def join_settings(request, spark):
         spark.conf.unset(name)
 
 
+def test_an_interval_that_ends_before_it_starts(spark):
+    rows = example()
+    rows["pairs"] = [(1, 2, day("2024-04-01"), day("2024-05-31"), "W", 1, 1)]
+    rows["history"] = [employee(1, 1, "E", "2024-05-20", "2024-04-10")]
+    rows["absences"] = [(1, day("2024-05-01"), 2)]
+    (row,) = payout(spark, rows)
+    assert (row.days, row.absence_days) == (41, 0.0)
+
+
 def brute_force(rows, rate):
     """The payout as nested loops over the rows, in the order of the business rules."""
     def month(d, back=0):
