@@ -37,7 +37,7 @@ _FEW_PAIRS = 100_000
 # First and last date of something, both included.
 Span = tuple[Column, Column]
 
-_PERIOD = ["store", "side", "begda", "endda"]
+_PERIOD = ["store", "begda", "endda"]
 _EMPLOYEE = ["payee", "role", "date_start", "date_end", "area"]
 
 
@@ -116,8 +116,8 @@ def by_side(staged: DataFrame) -> DataFrame:
 def employee_periods(
     sides: DataFrame, history: DataFrame, span: Span | None = None
 ) -> DataFrame:
-    """Who worked in a store during a period: store, side, period, employee, role tag and interval
-    clipped to the period, one row per different history row.
+    """Who worked in a store during a period: store, period, employee, role tag and interval clipped
+    to the period, one row per different history row.
 
     Leaders (L) and managers (EA) count for store A, managers (EB) for store B. Copies in the
     history are dropped before the join; rows whose raw intervals differ are kept even if they are
@@ -125,7 +125,7 @@ def employee_periods(
     overlaps it is read. Nothing after the join relies on its partitioning by store, so Spark may
     split a store with very many employees over several tasks.
     """
-    periods = sides.select(*_PERIOD).distinct()
+    periods = sides.select(*_PERIOD, "side").distinct()
     if span:
         history = history.filter(overlaps(F.col("date_start"), F.col("date_end"), *span))
     employed = (
@@ -168,7 +168,9 @@ def with_absences(periods: DataFrame, absences: DataFrame) -> DataFrame:
     )
     # An interval that ends before it starts holds no day, but is kept like any other.
     first, last = month_start(F.col("date_start")), month_start(F.col("date_end"))
-    months = F.sequence(first, F.greatest(first, last), F.expr("interval 1 month"))
+    months = F.when(last <= first, F.array(first)).otherwise(
+        F.sequence(first, F.greatest(first, last), F.expr("interval 1 month"))
+    )
     on = (
         (F.col("payee") == F.col("_payee"))
         & (F.col("_month") == F.col("_day_month"))
@@ -232,7 +234,8 @@ def payout_detail(staged: DataFrame, history: DataFrame, absences: DataFrame) ->
     absences = absences.filter(F.col("start_date").cast("date").between(*span))
     sides = by_side(staged)
     employees = with_absences(employee_periods(sides, history, span), absences)
-    detail = payout_columns(sides.join(employees, _PERIOD))
+    employees = employees.withColumn("side", F.when(F.col("role") == "EB", "B").otherwise("A"))
+    detail = payout_columns(sides.join(employees, [*_PERIOD, "side"]))
     return detail.select(*[name for name, _ in fixed.PAYOUT_COLUMNS])
 
 
