@@ -24,7 +24,8 @@ def month_join(
     Both parts are equalities of computed columns, so rows are hashed on key and month together.
     See `left_join` for `hot_right`.
     """
-    right = right.withColumn("_month_r", month_start(F.col(right_date))).drop(right_date)
+    kept = [c for c in right.columns if c != right_date]
+    right = right.select(*kept, month_start(F.col(right_date)).alias("_month_r"))
     wanted = month_start(shift_months(F.col(left_date), -months_back))
     on = (F.col(left_key) == F.col(right_key)) & (wanted == F.col("_month_r"))
     return left_join(left, right, on, [right_key, "_month_r"], hot_right).drop(

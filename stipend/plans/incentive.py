@@ -65,11 +65,8 @@ def pair_focus(pairs: DataFrame, focus: DataFrame) -> DataFrame:
             F.col("store").alias("_store"), F.col("begda").alias("_date"),
             F.col("focus").alias("_letter"),
         )
-        pairs = (
-            month_join(pairs, letters, f"store_{side}", "_store", "begda", "_date", 1)
-            .withColumn(f"focus_{side}", focus_code(F.col("_letter")))
-            .drop("_letter")
-        )
+        pairs = month_join(pairs, letters, f"store_{side}", "_store", "begda", "_date", 1)
+        pairs = pairs.withColumn(f"focus_{side}", focus_code(F.col("_letter"))).drop("_letter")
     return pairs
 
 
@@ -143,12 +140,11 @@ def employee_periods(
         periods, employed, "store", "_store", ("begda", "endda"), ("_from", "_to"), side_pays
     )
     tag = F.when(F.col("_kind") == "L", "L").otherwise(F.concat(F.lit("E"), F.col("side")))
-    return (
-        joined.withColumn("role", tag)
-        .withColumn("date_start", clip_start(F.col("begda"), F.col("_from")))
-        .withColumn("date_end", clip_end(F.col("endda"), F.col("_to")))
-        .withColumn("area", area_default(F.col("_area"), F.col("role")))
-        .select(*_PERIOD, *_EMPLOYEE)
+    return joined.select(
+        *_PERIOD, "payee", tag.alias("role"),
+        clip_start(F.col("begda"), F.col("_from")).alias("date_start"),
+        clip_end(F.col("endda"), F.col("_to")).alias("date_end"),
+        area_default(F.col("_area"), tag).alias("area"),
     )
 
 
@@ -197,14 +193,15 @@ def payout_columns(df: DataFrame) -> DataFrame:
         )
 
     start, end, begda = F.col("date_start"), F.col("date_end"), F.col("begda")
-    return (
-        df.withColumn("days", days_inclusive(start, end))
-        .withColumn("month_days", days_in_month(begda).cast("decimal(16,2)"))
-        .withColumn("share", proration(start, end, begda))
-        .withColumn("pay", paid(F.col("share")))
-        .withColumn("absence_pay", paid(F.col("absence_days") / F.col("month_days").cast("double")))
-        .withColumn("final_pay", F.col("pay") - F.col("absence_pay"))
-    )
+    share, month_days = proration(start, end, begda), days_in_month(begda)
+    paid_columns = df.withColumns({
+        "days": days_inclusive(start, end),
+        "month_days": month_days.cast("decimal(16,2)"),
+        "share": share,
+        "pay": paid(share),
+        "absence_pay": paid(F.col("absence_days") / month_days.cast("double")),
+    })
+    return paid_columns.withColumn("final_pay", F.col("pay") - F.col("absence_pay"))
 
 
 def staged_pairs(
