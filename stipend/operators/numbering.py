@@ -18,7 +18,7 @@ _TOP_ROWS = 1_000
 def _order(df: DataFrame, keys: list[str]):
     """`keys`, then every other column, so that only exact copies stay tied. Nulls come last."""
     rest = [c for c in df.columns if c not in keys]
-    return [F.col(c).asc_nulls_last() for c in [*keys, *rest]]
+    return [F.col(f"`{c}`").asc_nulls_last() for c in [*keys, *rest]]
 
 
 def number_rows(df: DataFrame, keys: list[str], unique: bool = False) -> DataFrame:

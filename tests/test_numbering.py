@@ -89,3 +89,9 @@ def test_page_past_the_end(frame):
     rows, df = frame
     assert numbering.page(df, ["k"], len(rows) + 5, 10).count() == 0
     assert numbering.page(df, ["k"], len(rows) - 3, 10).count() == 3
+
+
+def test_column_names_with_dots(spark):
+    df = spark.createDataFrame([(2, "b"), (1, "a")], "k int, `x.y` string")
+    assert [tuple(r) for r in numbering.number_rows(df, ["k"]).orderBy("row_no").collect()] == [
+        (1, "a", 1), (2, "b", 2)]
