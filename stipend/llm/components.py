@@ -46,7 +46,7 @@ def _large_star(stars: DataFrame) -> DataFrame:
     least = least.withColumn("_least", F.least("node", "_least"))
     return both.where(F.col("component") > F.col("node")).join(least, "node").select(
         F.col("component").alias("node"), F.col("_least").alias("component")
-    ).distinct()
+    )
 
 
 def _small_star(stars: DataFrame) -> DataFrame:

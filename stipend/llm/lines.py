@@ -25,10 +25,9 @@ ROWS = 3
 #: Rows of narrow tables (ids, line numbers) that may be broadcast: some tens of MB.
 BROADCAST_ROWS = 1_000_000
 
-_WORD_START = (
-    r"(?s)(?=((?:(?<!\S)\S|[฀-๿぀-ヿ㐀-鿿가-힯]).{0,%d}))"
-    % (ANCHORED - 1)
-)
+# Scripts that write no spaces between words: there every character starts a word.
+_ALONE = "\u0e00-\u0e7f\u3040-\u30ff\u3400-\u9fff\uac00-\ud7af"
+_WORD_START = rf"(?s)(?=((?:(?<!\S)\S|[{_ALONE}]).{{0,{ANCHORED - 1}}}))"
 _EVERY = r"(?s)(?=(.{%d}))" % SHINGLE
 _MASKS = [random.Random(n).getrandbits(32) for n in range(BANDS * ROWS)]
 
@@ -104,11 +103,12 @@ def duplicate_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     smallest id, null ids first, then of the first row and line.
     """
     rows = docs.select("_llm_row", F.col(f"`{id_col}`").alias("_id"), F.col(f"`{text_col}`").alias("_text"))
-    lines = _lines(rows)
+    # Cut and lower-cased once; the steps below each read the columns they need.
+    lines = stage(_lines(rows), "lines")
     signatures = stage(_signatures(lines), "signatures")
     pairs = stage(_candidates(signatures), "pairs")
     labels = components(_links(pairs, lines)).withColumnRenamed("node", "id")
-    places = stage(lines.select("id", "_id", "_llm_row", "line_no"), "places")
+    places = lines.select("id", "_id", "_llm_row", "line_no")
     classed = places.join(broadcast_up_to(labels, BROADCAST_ROWS), "id", "left").select(
         F.coalesce("component", "id").alias("class"), F.struct("_id", "_llm_row", "line_no").alias("place"))
     firsts = stage(
@@ -126,7 +126,7 @@ def drop_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
 
     Rows of `docs` must come in the same order whenever it is read, as from files. Null texts stay
     null, empty and blank ones as they are; repeated rows count as separate documents, so the later
-    ones lose their lines. Every stage between is a narrow table in the shared folder.
+    ones lose their lines. Every step in between reads written tables.
     """
     numbered = docs.withColumn("_llm_row", F.monotonically_increasing_id())
     dropped = stage(duplicate_lines(numbered, id_col, text_col), "dropped")
