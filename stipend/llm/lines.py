@@ -61,19 +61,20 @@ def _signatures(lines: DataFrame) -> DataFrame:
 
 
 def _candidates(signatures: DataFrame) -> DataFrame:
-    """Distinct pairs `a`, `b` of a line and the least or greatest line of one of its buckets.
+    """Distinct pairs `a`, `b` of a line and the pivot of one of its buckets.
 
-    A bucket of n lines gives 2n pairs and not n²; lines that are near to neither end of one bucket
+    A bucket of n lines gives n - 1 pairs and not n². Its key decides which line is the pivot, so a
+    group of near lines has another pivot in each bucket, and lines that are not near to one pivot
     meet others in their other buckets.
     """
     members = signatures.select("id", F.explode("keys").alias("key"))
+    mixed = F.col("id").bitwiseXOR(F.col("key"))
     buckets = members.groupBy("key").agg(
-        F.count("*").alias("n"), F.min("id").alias("low"), F.max("id").alias("high")
-    ).where("n > 1").select("key", "low", "high")
+        F.count("*").alias("n"), F.min(mixed).alias("least")
+    ).where("n > 1").select("key", F.col("least").bitwiseXOR(F.col("key")).alias("pivot"))
     buckets = broadcast_up_to(stage(buckets, "buckets"), BROADCAST_ROWS)
-    ends = members.join(buckets, "key").select("id", F.explode(F.array("low", "high")).alias("end"))
-    return ends.where(F.col("id") != F.col("end")).select(
-        F.greatest("id", "end").alias("a"), F.least("id", "end").alias("b")).distinct()
+    return members.join(buckets, "key").where(F.col("id") != F.col("pivot")).select(
+        F.greatest("id", "pivot").alias("a"), F.least("id", "pivot").alias("b")).distinct()
 
 
 def _links(pairs: DataFrame, lines: DataFrame) -> DataFrame:
