@@ -7,8 +7,9 @@ from stipend.shared import stage
 
 
 def components(edges: DataFrame) -> DataFrame:
-    """Smallest reachable node of every node that has an edge, as `node`, `component`.
+    """Smallest reachable node of every node that has a smaller one, as `node`, `component`.
 
+    Nodes that are absent are the smallest of their component.
     `edges` has two columns of one orderable type, in any order and with repeats. Alternating large
     and small stars: each round is a few joins and grouped minima, combined in the task first, and
     its result is written to the shared folder, so neither lineage nor memory grows with the rounds,

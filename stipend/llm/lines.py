@@ -97,7 +97,7 @@ def _links(pairs: DataFrame, lines: DataFrame) -> DataFrame:
 
 
 def duplicate_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """Lines to remove, as `_llm_row` and the `dropped` line numbers of the row.
+    """Lines to remove, as `_llm_row` and the `_dropped` line numbers of the row.
 
     `docs` numbers its rows in the column `_llm_row`. Lines are split at line feeds; equal lines and
     lines linked through any chain of near ones form a class, of which the first line stays: of the
@@ -118,12 +118,12 @@ def duplicate_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     return classed.join(broadcast_up_to(firsts, BROADCAST_ROWS), "class").where(
         F.col("place") != F.col("first")
     ).groupBy(F.col("place._llm_row").alias("_llm_row")).agg(
-        F.collect_list("place.line_no").alias("dropped"))
+        F.collect_list("place.line_no").alias("_dropped"))
 
 
 def drop_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """`docs` with the duplicate lines taken out of its texts, and `n_lines`, `n_dropped` and
-    `emptied`: had a line that is not blank, and has none left.
+    `emptied`: had a line that is not blank, and has none left. Columns of these names are replaced.
 
     Rows of `docs` must come in the same order whenever it is read, as from files. Null texts stay
     null, empty and blank ones as they are; repeated rows count as separate documents, so the later
@@ -134,15 +134,16 @@ def drop_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     joined = numbered.join(broadcast_up_to(dropped, BROADCAST_ROWS), "_llm_row", "left")
     lines = F.split(F.col(f"`{text_col}`"), "\n")
     left = F.transform(
-        F.array_except(F.sequence(F.lit(0), F.size("_lines") - 1), F.col("dropped")),
+        F.array_except(F.sequence(F.lit(0), F.size("_lines") - 1), F.col("_dropped")),
         lambda n: F.get(F.col("_lines"), n))
-    text = F.when(F.col("dropped").isNull(), F.col(f"`{text_col}`")).otherwise(F.array_join(left, "\n"))
+    text = F.when(F.col("_dropped").isNull(), F.col(f"`{text_col}`")).otherwise(F.array_join(left, "\n"))
     blank = F.translate("_new", " \t\n\x0b\x0c\r", "") == ""
-    return joined.withColumn("_lines", F.when(F.col("dropped").isNotNull(), lines)).withColumn(
+    return joined.withColumn("_lines", F.when(F.col("_dropped").isNotNull(), lines)).withColumn(
         "_new", text
     ).select(
-        *[F.col("_new").alias(c) if c == text_col else F.col(f"`{c}`") for c in docs.columns],
+        *[F.col("_new").alias(c) if c == text_col else F.col(f"`{c}`") for c in docs.columns
+          if c not in ("n_lines", "n_dropped", "emptied")],
         F.coalesce(F.size(lines), F.lit(0)).alias("n_lines"),
-        F.coalesce(F.size("dropped"), F.lit(0)).alias("n_dropped"),
-        F.coalesce(F.col("dropped").isNotNull() & blank, F.lit(False)).alias("emptied"),
+        F.coalesce(F.size("_dropped"), F.lit(0)).alias("n_dropped"),
+        F.coalesce(F.col("_dropped").isNotNull() & blank, F.lit(False)).alias("emptied"),
     )

@@ -220,7 +220,8 @@ def classify(
     docs: DataFrame, labels: DataFrame, cut: float = CUT, id_col: str = "doc_id",
     text_col: str = "text", host_col: str = "source", path_col: str = "lang",
 ) -> DataFrame:
-    """`docs` with `p_bad`, the posterior chance of a bad document, and `kept` (at most `cut`).
+    """`docs` with `p_bad`, the posterior chance of a bad document, and `kept` (at most `cut`);
+    columns of these names are replaced.
 
     The log-odds are those of the document's site (its path, else its host, else all sites) plus
     what its text adds. Texts are read where they lie, whole, in Arrow batches, and joined only with
@@ -252,4 +253,4 @@ def classify(
     known = bool(model.weights is not None)
     return joined.withColumn("p_bad", chance if known else F.lit(p)).withColumn(
         "kept", F.col("p_bad") <= cut if known else F.lit(True)
-    ).select(*[f"`{c}`" for c in docs.columns], "p_bad", "kept")
+    ).select(*[f"`{c}`" for c in docs.columns if c not in ("p_bad", "kept")], "p_bad", "kept")

@@ -37,7 +37,7 @@ def _digest(host: Column, folder: Column) -> Column:
 
 
 def url_verdicts(pages: DataFrame, rules: DataFrame, url_col: str = "url") -> DataFrame:
-    """`pages` next to `host`, `path`, `rule` and `verdict`.
+    """`pages` next to `host`, `path`, `rule` and `verdict`; columns of these names are replaced.
 
     `rules` has `rule` (host and path as one text, split at the first slash) and `verdict`. A rule
     fits its host and all subdomains if the path starts with the rule's; the longest wins, of two
@@ -87,7 +87,7 @@ def url_verdicts(pages: DataFrame, rules: DataFrame, url_col: str = "url") -> Da
     best = hits.groupBy("_url").agg(F.max_by(
         F.struct("rule", "verdict"), F.struct(order, F.col("verdict") == "allow")).alias("_best"))
     return pages.join(best, pages[url_col] == best["_url"], "left").select(
-        *[pages[c] for c in pages.columns],
+        *[pages[c] for c in pages.columns if c not in ("host", "path", "rule", "verdict")],
         host_of(pages[url_col]).alias("host"), path_of(pages[url_col]).alias("path"),
         F.col("_best.rule").alias("rule"),
         F.coalesce(F.col("_best.verdict"), F.lit("allow")).alias("verdict"),
