@@ -284,7 +284,10 @@ QUERIES = {
 SELECT {_ITEM}, row_no, (row_no - 1) // 10000 + 1 AS page_no FROM (
   SELECT {_ITEM}, row_number() OVER (ORDER BY {_ITEM}) AS row_no FROM lineitem)
 """.strip(),
-    "page_at_offset": f"SELECT {_ITEM} FROM lineitem ORDER BY {_ITEM} LIMIT 2500 OFFSET 3000",
+    "page_at_offset": f"""
+SELECT {_ITEM}, row_number() OVER (ORDER BY {_ITEM}) AS row_no FROM lineitem
+ORDER BY row_no LIMIT 2500 OFFSET 3000
+""".strip(),
     "latest_batch_strict": _latest("pay_records", "5-LOW", True),
     "latest_batch_loose": _latest("pay_records_fine", "1-URGENT", False),
     "latest_batch_all": _latest("pay_records", None, True),

@@ -2,7 +2,7 @@
 
     publish    --profile fijo --records <table folder> --out <folder>
     payout     --inputs <folder> --out <folder> [--as-of 2024-04-15] [--stage-out <folder>]
-    recode     --file <csv> [--out <folder>] [--null-text nan]
+    recode     --file <csv> [--out <folder>] [--null-text nan] [--multiline]
     snapshots  --folder <folder> --out <folder>
 """
 
@@ -28,7 +28,8 @@ def _payout(spark, args):
 
 
 def _recode(spark, args):
-    print(recoding.recode_file(spark, args.file, args.out, null_text=args.null_text))
+    print(recoding.recode_file(
+        spark, args.file, args.out, null_text=args.null_text, multiline=args.multiline))
 
 
 def _snapshots(spark, args):
@@ -55,6 +56,7 @@ def _parser() -> argparse.ArgumentParser:
     job.add_argument("--stage-out")
 
     job = jobs.add_parser("recode")
+    job.add_argument("--multiline", action="store_true")
     job.set_defaults(run=_recode)
     job.add_argument("--file", required=True)
     job.add_argument("--out")

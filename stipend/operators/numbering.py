@@ -10,10 +10,6 @@ from stipend.shared import stage
 # monotonically_increasing_id: partition number above these bits, position in the partition below.
 _POSITION_BITS = 33
 
-# A page that ends within this many rows is taken from the top of the order directly: one task then
-# merges up to this many rows of every other task.
-_TOP_ROWS = 1_000
-
 
 def _order(df: DataFrame, keys: list[str]):
     """`keys`, then every other column, so that only exact copies stay tied. Nulls come last."""
@@ -95,12 +91,6 @@ def batch_manifest(
 def page(
     df: DataFrame, keys: list[str], offset: int, size: int, unique: bool = False
 ) -> DataFrame:
-    """Rows offset+1 … offset+size in the order of `keys`.
-
-    Near the top each task keeps only its own first rows. Further down that would gather too many
-    rows in one task, so the rows are numbered instead.
-    """
-    if offset + size <= _TOP_ROWS:
-        return df.orderBy(*_order(df, keys)).offset(offset).limit(size)
+    """Rows offset+1 … offset+size in the order of `keys`, in that order, with their `row_no`."""
     numbered = number_rows(df, keys, unique)
-    return numbered.filter(F.col("row_no").between(offset + 1, offset + size)).drop("row_no")
+    return numbered.filter(F.col("row_no").between(offset + 1, offset + size)).orderBy("row_no")

@@ -30,10 +30,6 @@ from stipend.sources.tables import load_payout_inputs
 # Columns of the store side.
 STAGE_COLUMNS = [name for name, _ in fixed.PAYOUT_COLUMNS[:16]]
 
-# Up to this many pairs their stores are few, and tables are first cut down to them by a semi-join
-# with a broadcast. Beyond it, that would only shuffle those tables once more.
-_FEW_PAIRS = 100_000
-
 # First and last date of something, both included.
 Span = tuple[Column, Column]
 
@@ -216,18 +212,16 @@ def staged_pairs(
     """
     rate = value_as_of(inflation, previous_month() if as_of is None else as_of, "rate")
     valid = pairs.filter(F.col("ids") == 1)
-    count, months = _extent(valid, "begda", "begda")
-    if count <= _FEW_PAIRS:
-        sales, focus = history_for(valid, sales), history_for(valid, focus)
+    months = _extent(valid, "begda", "begda")
+    sales, focus = history_for(valid, sales), history_for(valid, focus)
     return stage(tariff_stage(pairs, sales, focus, tariff, rate, months), "tariff-stage")
 
 
 def payout_detail(staged: DataFrame, history: DataFrame, absences: DataFrame) -> DataFrame:
     """The payout detail of a store side, 28 columns, one row per pair, employee, role tag and
     clipped interval."""
-    count, span = _extent(staged, "begda", "endda")
-    if count <= _FEW_PAIRS:
-        history = history_for(staged, history)
+    span = _extent(staged, "begda", "endda")
+    history = history_for(staged, history)
     absences = absences.filter(F.col("start_date").cast("date").between(*span))
     sides = by_side(staged)
     employees = with_absences(employee_periods(sides, history, span), absences)
@@ -236,11 +230,9 @@ def payout_detail(staged: DataFrame, history: DataFrame, absences: DataFrame) ->
     return detail.select(*[name for name, _ in fixed.PAYOUT_COLUMNS])
 
 
-def _extent(df: DataFrame, start: str, end: str) -> tuple[int, Span]:
-    """Number of rows, and least start and greatest end as constants that reach the scans of other
-    tables."""
-    count, *days = df.agg(F.count("*"), F.min(start), F.max(end)).first()
-    return count, tuple(F.lit(day).cast("date") for day in days)
+def _extent(df: DataFrame, start: str, end: str) -> Span:
+    """Least start and greatest end, as constants that reach the scans of other tables."""
+    return tuple(F.lit(day).cast("date") for day in df.agg(F.min(start), F.max(end)).first())
 
 
 def incentive_payout(

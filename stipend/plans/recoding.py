@@ -14,10 +14,13 @@ def recoded_name(path: str) -> str:
 
 def recode_file(
     spark: SparkSession, path: str, out: str | None = None, pairs=None,
-    null_text: str | None = None,
+    null_text: str | None = None, multiline: bool = False,
 ) -> str:
-    """Copy a comma-separated file with its place and division names brought up to date."""
+    """Copy a comma-separated file with its place and division names brought up to date.
+
+    `multiline` reads line breaks inside quoted cells; such a file is read by one task.
+    """
     pairs = fixed.PLACE_NAMES + fixed.DIVISION_NAMES if pairs is None else pairs
     out = out or recoded_name(path)
-    export_table(recode(load_text_csv(spark, path), pairs, null_text), out)
+    export_table(recode(load_text_csv(spark, path, multiline=multiline), pairs, null_text), out)
     return out

@@ -26,7 +26,8 @@ def load_csv(
     spark: SparkSession, path: str, schema: StructType | str, sep: str = ",",
     header: bool = True, multiline: bool = False,
 ) -> DataFrame:
-    """Delimited text as typed columns, by position; a row that does not fit is an error.
+    """Delimited text as typed columns, by position; a row that does not fit is an error, also in
+    columns that are not selected: all are parsed.
 
     `multiline` allows line breaks inside quoted cells; such a file cannot be read in parts, so
     leave it off for large files.
@@ -34,15 +35,20 @@ def load_csv(
     return (
         spark.read.schema(schema)
         .options(header=header, sep=sep, escape='"', mode="FAILFAST", multiLine=multiline,
-                 enforceSchema=True)
+                 enforceSchema=True, columnPruning=False)
         .csv(path)
     )
 
 
 def load_text_csv(spark: SparkSession, path: str, sep: str = ",", multiline: bool = False):
-    """Delimited UTF-8 text with a header, with or without byte order mark, all cells as text."""
+    """Delimited UTF-8 text with a header, with or without byte order mark, all cells as text.
+
+    A row with more or fewer cells than the header is an error, and so is a line break inside a
+    quoted cell unless `multiline` is set.
+    """
     return spark.read.options(
-        header=True, sep=sep, escape='"', inferSchema=False, multiLine=multiline
+        header=True, sep=sep, escape='"', inferSchema=False, multiLine=multiline,
+        mode="FAILFAST", columnPruning=False,
     ).csv(path)
 
 

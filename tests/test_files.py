@@ -232,3 +232,23 @@ def test_jobs_from_the_command_line(spark, tmp_path, capsys):
     dated(tmp_path / "XXICMCOMISIONES-1.txt", b"x", 1_000)
     main(["snapshots", "--folder", str(tmp_path), "--out", str(tmp_path / "s")])
     assert files(tmp_path / "s") == ["OK.txt", "XXICMCOMISIONES.csv"]
+
+
+def test_text_rows_that_do_not_fit_are_errors(spark, tmp_path):
+    for name, body in (("long", "a,b\n1,2,3\n"), ("short", "a,b\n1\n"), ("broken", 'a,b\n"x\ny",2\n')):
+        file = tmp_path / f"{name}.csv"
+        file.write_text(body)
+        with pytest.raises(Exception, match="MALFORMED"):
+            tables.load_text_csv(spark, str(file)).select("a").collect()
+        with pytest.raises(Exception, match="MALFORMED"):
+            tables.load_csv(spark, str(file), "a string, b string").select("a").collect()
+    rows = tables.load_text_csv(spark, str(tmp_path / "broken.csv"), multiline=True).collect()
+    assert [tuple(r) for r in rows] == [("x\ny", "2")]
+
+
+def test_empty_and_hidden_files_can_be_newest(spark, tmp_path):
+    for n, (name, body) in enumerate((("DD-old.txt", "x"), ("DD-new.txt", ""), ("EE-1.txt", "x"), ("_EE.txt", "y"))):
+        (tmp_path / name).write_text(body)
+        os.utime(tmp_path / name, (1_700_000_000 + n, 1_700_000_000 + n))
+    got = snapshot_source.newest_snapshot(spark, str(tmp_path), ["DD", "EE", "FF"]).collect()
+    assert {r.family: r.path.rsplit("/", 1)[1] for r in got} == {"DD": "DD-new.txt", "EE": "_EE.txt"}
