@@ -4,7 +4,6 @@ Dates are returned as ISO text and money as double, so that results compare acro
 """
 
 from collections.abc import Callable
-from dataclasses import replace
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -19,16 +18,19 @@ from stipend.functions.dates import (
 )
 from stipend.operators import joins, latest, lookups, numbering
 from stipend.operators.recode import recode
-from stipend.plans import incentive, publish, recoding
+from stipend.plans import incentive, publish, recoding, snapshots
 from stipend.shared import own_folder
 from stipend.sinks.delimited import export_batches, export_table
-from stipend.sources.tables import load_text_csv
+from stipend.sinks.tables import refresh_tables
+from stipend.sources.tables import load_csv, load_text_csv
 
 ITEM = ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_quantity", "l_extendedprice"]
 ITEM_KEY = ITEM[:4]
 SEGMENTS = [
     ("MACHINERY", "MACHINES"), ("BUILDING", "HOUSES"), ("FURNITURE", "Furniture and fittings"),
 ]
+#: One wage type of the shipped profiles for each order priority.
+WAGE_TYPES = ["115K", "118A", "110F", "118B", "116W"]
 ROUNDED = {"growth": 6, "share": 6, "pay": 4, "absence_pay": 4, "final_pay": 4}
 
 
@@ -172,23 +174,56 @@ def _read_back(t: Tables, folder: str, sep: str) -> DataFrame:
 
 def _exported_files(t: Tables) -> DataFrame:
     out = own_folder(t.spark, "exported")
-    export_batches(numbering.assign_batches(t.closed_items(), ITEM_KEY, 8000), out, "items")
+    export_batches(numbering.assign_batches(t.items(), ITEM_KEY, 8000), out, "items")
     return _read_back(t, out, ";")
 
 
 def _published_files(t: Tables) -> DataFrame:
     out = own_folder(t.spark, "published")
-    profile = replace(publish.PROFILES["it15"], rows_per_file=10)
+    profile = publish.PROFILES["it15"]
     publish.publish_latest_batch(t.spark, t.pay_records(), profile, out)
     return _read_back(t, out, profile.sep)
 
 
 def _recoded_file(t: Tables) -> DataFrame:
     source = f"{own_folder(t.spark, 'recoded')}/customer.csv"
-    export_table(t.customer.select("c_custkey", "c_name", "c_nationkey", "c_mktsegment"), source)
+    export_table(t.customer, source)
     return load_text_csv(t.spark, recoding.recode_file(t.spark, source, pairs=SEGMENTS))
 
 
+def _published_profiles(t: Tables) -> DataFrame:
+    """The shipped profiles, unchanged, over records whose priorities stand for wage types."""
+    wage_type = F.get(F.array(*map(F.lit, WAGE_TYPES)), F.substring("LGART", 1, 1).cast("int") - 1)
+    records = t.pay_records().withColumn("LGART", wage_type)
+    out = own_folder(t.spark, "profiles")
+    manifests = publish.publish_profiles(t.spark, records, publish.PROFILES.values(), out)
+    return manifests.select("profile", "batch_no", "rows", "first_PERNR", "last_PERNR", "file")
+
+
+def _typed_csv(t: Tables) -> DataFrame:
+    out = own_folder(t.spark, "typed")
+    export_table(t.orders, out)
+    return load_csv(t.spark, out, t.orders.schema).withColumn("o_orderdate", F.col("o_orderdate").cast("date"))
+
+
+def _refreshed_tables(t: Tables) -> DataFrame:
+    out = own_folder(t.spark, "refreshed")
+    refresh_tables({"customer": t.region}, out)
+    refresh_tables({"customer": t.customer}, out)
+    return t.spark.read.parquet(f"{out}/customer")
+
+
+def _published_snapshot(t: Tables) -> DataFrame:
+    """Counts of the orders, published as the newest file of a family that also has an older one."""
+    source, out = own_folder(t.spark, "families"), own_folder(t.spark, "snapshots")
+    total = t.orders.groupBy("o_orderpriority", "o_orderstatus").agg(F.count("*").alias("orders"))
+    for part, rows in (("orders-first", t.region), ("orders-second", total)):
+        whole = rows.withColumns({"row_no": F.lit(1), "batch_no": F.lit(1)})
+        export_batches(whole, source, part)
+    snapshots.publish_newest(t.spark, source, out, ["orders", "absent"])
+    return load_text_csv(t.spark, f"{out}/orders.csv", ";")
+
+
 _BUILDERS: dict[str, Callable[[Tables], DataFrame]] = {
     "project_17": lambda t: t.pay_records(),
     "filter_status": lambda t: t.pay_records().filter(F.col("ZSTAT") == "N"),
@@ -207,11 +242,11 @@ _BUILDERS: dict[str, Callable[[Tables], DataFrame]] = {
     "latest_batch_by_category_loose": lambda t: latest.latest_batch_by(
         t.pay_records_fine(), strict=False
     ),
-    "batch_count": lambda t: latest.row_count(t.closed_items()),
+    "batch_count": lambda t: latest.row_count(t.items()),
     "batch_manifest": lambda t: numbering.batch_manifest(
-        numbering.assign_batches(t.closed_items(), ITEM_KEY, 8000), ITEM[:2], 8000
+        numbering.assign_batches(t.items(), ITEM_KEY, 8000), ITEM[:2], 8000
     ),
-    "export_batches": lambda t: numbering.assign_batches(t.closed_items(), ITEM_KEY, 8000),
+    "export_batches": lambda t: numbering.assign_batches(t.items(), ITEM_KEY, 8000),
     "sales_same_month": lambda t: _pair_sales(t, "sales", 0),
     "sales_prior_year": lambda t: _pair_sales(t, "prior_sales", 12),
     "sales_growth": lambda t: incentive.pair_growth(t.pairs(), t.store_sales()).select(
@@ -271,13 +306,17 @@ _BUILDERS: dict[str, Callable[[Tables], DataFrame]] = {
     "published_files": _published_files,
     "recoded_file": _recoded_file,
     "value_recode": lambda t: recode(
-        t.customer.select("c_custkey", "c_name", "c_nationkey", "c_mktsegment"), SEGMENTS
+        t.customer, SEGMENTS
     ),
     "value_recode_parts": lambda t: recode(
-        t.part.select("p_partkey", "p_name", "p_brand", "p_type"),
+        t.part,
         [("Brand#1", "Brand#One"), ("PROMO", "ECONOMY"), ("ECONOMY", "BASIC")],
     ),
     "newest_snapshot": _newest_snapshot,
+    "published_profiles": _published_profiles,
+    "typed_csv": _typed_csv,
+    "refreshed_tables": _refreshed_tables,
+    "published_snapshot": _published_snapshot,
 }
 
 

@@ -157,8 +157,8 @@ class Tables:
             "status", F.when(F.col("type").startswith("5"), 0).otherwise(1)
         )
 
-    def closed_items(self) -> DataFrame:
-        """The rows the export queries number: items whose line is finished."""
-        return self.lineitem.filter(F.col("l_linestatus") == "F").select(
+    def items(self) -> DataFrame:
+        """The rows the export queries number."""
+        return self.lineitem.select(
             "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_quantity", "l_extendedprice"
         )

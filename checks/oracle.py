@@ -1,5 +1,7 @@
 """The registered queries as SQL for DuckDB, written stage by stage and apart from the jobs."""
 
+from stipend import fixed_values as fixed
+
 _RECORDS = """
 SELECT CAST(o_custkey AS VARCHAR) AS pernr, o_orderpriority AS lgart,
   CAST(o_orderdate AS DATE) AS begda, CAST(o_orderkey % 31 AS VARCHAR) AS anzhl, 'H' AS ptzeinh,
@@ -15,14 +17,18 @@ FROM orders
 # Derived inputs and payout stages: name -> (inputs it reads, SQL).
 _TABLES = {
     "pay_records": ([], _RECORDS.format(unit="year", hours=24)),
+    "wage_records": (["pay_records"], """
+SELECT * REPLACE (['115K', '118A', '110F', '118B', '116W'][CAST(substr(lgart, 1, 1) AS INTEGER)] AS lgart)
+FROM pay_records
+"""),
     "pay_records_fine": ([], _RECORDS.format(unit="month", hours=12)),
-    "closed_items": ([], """
+    "items": ([], """
 SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, l_quantity, l_extendedprice
-FROM lineitem WHERE l_linestatus = 'F'
+FROM lineitem
 """),
-    "numbered_items": (["closed_items"], """
+    "numbered_items": (["items"], """
 SELECT *, row_number() OVER (ORDER BY l_orderkey, l_linenumber, l_partkey, l_suppkey, l_quantity,
-  l_extendedprice) AS row_no FROM closed_items
+  l_extendedprice) AS row_no FROM items
 """),
     "pairs": ([], """
 SELECT s_suppkey AS store_a, (s_suppkey + 1) % (SELECT count(*) FROM supplier) AS store_b,
@@ -272,11 +278,19 @@ _RECORD_IN_FILE = (
 )
 _RECODED = """
 SELECT CAST(c_custkey AS VARCHAR) AS c_custkey, c_name, CAST(c_nationkey AS VARCHAR) AS c_nationkey,
+  CAST(c_acctbal AS VARCHAR) AS c_acctbal,
   CASE c_mktsegment WHEN 'MACHINERY' THEN 'MACHINES' WHEN 'BUILDING' THEN 'HOUSES'
     WHEN 'FURNITURE' THEN 'Furniture and fittings' ELSE c_mktsegment END AS c_mktsegment
 FROM customer
 """.strip()
 
+_PROFILE = """
+SELECT '{name}' AS profile, (row_no - 1) // {size} + 1 AS batch_no, count(*) AS rows,
+  arg_min("PERNR", row_no) AS "first_PERNR", arg_max("PERNR", row_no) AS "last_PERNR",
+  any_value('{prefix}-' || CAST((row_no - 1) // {size} + 1 AS VARCHAR) || '.{ext}') AS file
+FROM (SELECT *, row_number() OVER (ORDER BY "PERNR") AS row_no FROM ({newest})) GROUP BY 2
+"""
+
 QUERIES = {
     "project_17": _with(f"SELECT {_RECORD} FROM pay_records", "pay_records"),
     "filter_status": _with(f"SELECT {_RECORD} FROM pay_records WHERE zstat = 'N'", "pay_records"),
@@ -293,7 +307,7 @@ ORDER BY row_no LIMIT 2500 OFFSET 3000
     "latest_batch_all": _latest("pay_records", None, True),
     "latest_batch_by_category": _latest_by("pay_records", True),
     "latest_batch_by_category_loose": _latest_by("pay_records_fine", False),
-    "batch_count": _with("SELECT count(*) AS row_count FROM closed_items", "closed_items"),
+    "batch_count": _with("SELECT count(*) AS row_count FROM items", "items"),
     "batch_manifest": _with("""
 SELECT (row_no - 1) // 8000 + 1 AS batch_no, count(*) AS rows,
   arg_min(l_orderkey, row_no) AS first_l_orderkey, arg_min(l_linenumber, row_no) AS first_l_linenumber,
@@ -427,7 +441,7 @@ SELECT {", ".join(f"CAST({c} AS VARCHAR) AS {c}" for c in _ITEM.split(", "))},
 FROM numbered_items
 """, "numbered_items"),
     "published_files": _with(f"""
-SELECT {_RECORD_IN_FILE}, 'ReplicaICMEP-' || CAST((row_no - 1) // 10 + 1 AS VARCHAR) || '.csv' AS file
+SELECT {_RECORD_IN_FILE}, 'ReplicaICMEP-' || CAST((row_no - 1) // 8000 + 1 AS VARCHAR) || '.csv' AS file
 FROM (SELECT *, row_number() OVER (ORDER BY "PERNR", "LGART", "BEGDA", "ANZHL", "PTZEINH", "BETRG",
   "WAERS", "ESTDT", "ZUORD") AS row_no FROM ({_latest("pay_records", None, True)}))
 """),
@@ -436,12 +450,25 @@ FROM (SELECT *, row_number() OVER (ORDER BY "PERNR", "LGART", "BEGDA", "ANZHL",
     "value_recode_parts": """
 SELECT CAST(p_partkey AS VARCHAR) AS p_partkey, p_name,
   CASE p_brand WHEN 'Brand#1' THEN 'Brand#One' ELSE p_brand END AS p_brand,
-  CASE p_type WHEN 'ECONOMY' THEN 'BASIC' WHEN 'PROMO' THEN 'BASIC' ELSE p_type END AS p_type
+  CASE p_type WHEN 'ECONOMY' THEN 'BASIC' WHEN 'PROMO' THEN 'BASIC' ELSE p_type END AS p_type,
+  CAST(p_size AS VARCHAR) AS p_size, CAST(p_retailprice AS VARCHAR) AS p_retailprice
 FROM part
 """.strip(),
     "newest_snapshot": """
 SELECT event_id, event_type, user_id, value, strftime(ts, '%Y-%m-%d %H') AS run FROM events e
 WHERE strftime(ts, '%Y-%m-%d %H') = (SELECT max(strftime(n.ts, '%Y-%m-%d %H')) FROM events n
   WHERE n.event_type = e.event_type)
+""".strip(),
+    "published_profiles": "UNION ALL".join(
+        _PROFILE.format(name=name, size=size, prefix=prefix, ext=ext,
+                        newest=_latest("wage_records", category, strict))
+        for name, category, strict, size, _, _, prefix, ext in fixed.PROFILES),
+    "typed_csv": f"""
+SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice, {_iso("o_orderdate")}, o_orderpriority
+FROM orders
+""".strip(),
+    "refreshed_tables": "SELECT * FROM customer",
+    "published_snapshot": """
+SELECT o_orderpriority, o_orderstatus, CAST(count(*) AS VARCHAR) AS orders FROM orders GROUP BY ALL
 """.strip(),
 }

@@ -260,14 +260,18 @@ def run_payout(
     stage_out: str | None = None,
 ) -> DataFrame:
     """Load the interchange files of `folder`, write the payout detail to `out` and, if asked for,
-    the store side to `stage_out` for review."""
-    inputs = load_payout_inputs(spark, folder)
+    the store side to `stage_out` for review. Returns the detail as written.
+
+    The files are parsed once, into tables of the shared folder: their statistics let the date
+    limits skip row groups, which text cannot.
+    """
+    inputs = {name: stage(rows, name) for name, rows in load_payout_inputs(spark, folder).items()}
     history, absences = inputs.pop("history"), inputs.pop("absences")
     inputs.pop("absence_types")
     staged = staged_pairs(**inputs, as_of=as_of)
     if stage_out:
         export_table(staged, stage_out)
-    detail = payout_detail(staged, history, absences)
+    detail = stage(payout_detail(staged, history, absences), "payout-detail")
     published = detail.select(*[F.col(n).alias(p) for n, p in fixed.PAYOUT_COLUMNS])
     export_table(published, f"{out.rstrip('/')}/{fixed.PAYOUT_FILE}")
     return detail

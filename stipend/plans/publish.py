@@ -1,14 +1,17 @@
 """Publication of the newest batch as numbered files."""
 
+from collections.abc import Iterable
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from stipend import fixed_values as fixed
 from stipend.functions.amounts import int_trunc, money_text
-from stipend.operators.latest import latest_batch
+from stipend.operators.latest import latest_batch, latest_batch_by
 from stipend.operators.numbering import assign_batches, batch_manifest
+from stipend.shared import stage
 from stipend.sinks.delimited import export_batches
 
 
@@ -43,7 +46,36 @@ def publish_latest_batch(
     The rows are numbered once, and both the files and the manifest come from that numbering, so
     counts and contents cannot differ. Without any row no file is written.
     """
-    newest = latest_batch(records, profile.category, profile.strict)
+    return _publish(latest_batch(records, profile.category, profile.strict), profile, out)
+
+
+def publish_profiles(
+    spark: SparkSession, records: DataFrame, profiles: Iterable[Profile], out: str
+) -> DataFrame:
+    """Write the newest batches of several profiles, each below `<out>/<profile name>`; return
+    their manifests as one, with the column `profile`.
+
+    The newest batches of all wage types are found together and written once to the shared folder,
+    one pass for each of the two readings of the newest time, however many profiles there are.
+    """
+    profiles = list(profiles)
+    newest = {}
+    for strict in {p.strict for p in profiles if p.category is not None}:
+        named = [p.category for p in profiles if p.strict == strict and p.category is not None]
+        scope = records.filter(F.col("LGART").isin(named))
+        newest[strict] = stage(latest_batch_by(scope, strict=strict), "newest")
+    manifests = []
+    for profile in profiles:
+        if profile.category is None:
+            rows = latest_batch(records, None, profile.strict)
+        else:
+            rows = newest[profile.strict].filter(F.col("LGART") == profile.category)
+        manifest = _publish(rows, profile, f"{out.rstrip('/')}/{profile.name}")
+        manifests.append(manifest.select(F.lit(profile.name).alias("profile"), "*"))
+    return reduce(DataFrame.unionByName, manifests)
+
+
+def _publish(newest: DataFrame, profile: Profile, out: str) -> DataFrame:
     size = profile.rows_per_file
     batched = assign_batches(newest.select(*fixed.RECORD_COLUMNS), ["PERNR"], size)
     manifest = batch_manifest(batched, ["PERNR"], size, tuple(fixed.INTEGER_COLUMNS))

@@ -15,9 +15,17 @@ def publish_newest(
 ) -> dict[str, str]:
     """Publish the newest file of each family as `<family>.csv`; families without one are skipped.
 
-    Returns the published path per family: one short row per family named by the caller.
+    Returns the published path per family: one short row per family named by the caller. A family
+    that fails does not stop the others; its error is raised when all have had their turn.
     """
     newest = {row.family: row.path for row in newest_snapshot(spark, folder, families).collect()}
+    errors = []
     for family, path in newest.items():
-        publish_copy(spark, path, out, family)
+        try:
+            publish_copy(spark, path, out, family)
+        except Exception as error:
+            error.add_note(f"while publishing {family} from {path}")
+            errors.append(error)
+    if errors:
+        raise ExceptionGroup("not all families were published", errors)
     return newest

@@ -1,6 +1,7 @@
 """Delimited text with a header: quotes only where needed, doubled inside, null as empty."""
 
 import re
+import uuid
 from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession
@@ -35,7 +36,8 @@ def export_batches(
 
     `batched` comes from `assign_batches`; its two numbering columns are not written. A batch is
     bounded, so each is written whole by one task, and many by many tasks. Files of an earlier run
-    with the same prefix are replaced, also those beyond the new number of batches.
+    with the same prefix are replaced, also those beyond the new number of batches; they are put
+    aside first and come back if any of the new files cannot be put in place.
     """
     spark = batched.sparkSession
     columns = [c for c in batched.columns if c not in ("batch_no", "row_no")]
@@ -52,27 +54,46 @@ def export_batches(
     )
 
     own = re.compile(re.escape(prefix) + r"-\d+\." + re.escape(ext))
-    for status in fs.listStatus(root):
-        if status.isFile() and own.fullmatch(status.getPath().getName()):
-            fs.delete(status.getPath(), False)
+    old = [
+        s.getPath() for s in fs.listStatus(root) if s.isFile() and own.fullmatch(s.getPath().getName())
+    ]
+    batches = [s.getPath() for s in fs.listStatus(parts) if s.isDirectory()]
+    aside = root.suffix(f"/_{prefix}-replaced-{uuid.uuid4().hex}")
+    fs.mkdirs(aside)
+    done = []
+
+    def put_aside(path):
+        _rename(fs, path, aside.suffix(f"/{path.getName()}"), done)
 
-    def move(batch_dir):
+    def put_in_place(batch_dir):
         number = batch_dir.getName().partition("=")[2]
         (part,) = [
             s.getPath() for s in fs.listStatus(batch_dir)
             if s.getPath().getName().startswith("part-")
         ]
-        target = root.suffix(f"/{prefix}-{number}.{ext}")
-        if not fs.rename(part, target):
-            raise OSError(f"cannot rename {part} to {target}")
+        _rename(fs, part, root.suffix(f"/{prefix}-{number}.{ext}"), done)
 
-    batches = [s.getPath() for s in fs.listStatus(parts) if s.isDirectory()]
-    with ThreadPoolExecutor(_RENAMES_AT_ONCE) as pool:
-        list(pool.map(move, batches))
+    try:
+        with ThreadPoolExecutor(_RENAMES_AT_ONCE) as pool:
+            list(pool.map(put_aside, old))
+        with ThreadPoolExecutor(_RENAMES_AT_ONCE) as pool:
+            list(pool.map(put_in_place, batches))
+    except Exception:
+        # Back to the files of the earlier run; what cannot be moved back stays aside.
+        if all([fs.rename(target, source) for source, target in reversed(done)]):
+            fs.delete(aside, True)
+        raise
     fs.delete(parts, True)
+    fs.delete(aside, True)
     return len(batches)
 
 
+def _rename(fs, source, target, done: list) -> None:
+    if not fs.rename(source, target):
+        raise OSError(f"cannot rename {source} to {target}")
+    done.append((source, target))
+
+
 def _file_system(spark: SparkSession, folder: str):
     root = spark._jvm.org.apache.hadoop.fs.Path(folder.rstrip("/"))
     fs = root.getFileSystem(spark._jsc.hadoopConfiguration())

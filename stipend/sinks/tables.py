@@ -1,10 +1,13 @@
 """Full refresh of tables, and publication of snapshots under a fixed name."""
 
+import re
 from collections.abc import Mapping
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from stipend import fixed_values as fixed
+from stipend.shared import own_folder
 
 
 def refresh_tables(tables: Mapping[str, DataFrame], folder: str | None = None) -> None:
@@ -21,12 +24,35 @@ def publish_copy(spark: SparkSession, path: str, out: str, family: str) -> None:
     """Publish the text file `path` as `<out>/<family>.csv`, line by line, and mark the folder.
 
     The copy is a folder of parts in file order, so that a large file is copied by many tasks.
-    Lines keep their bytes, carriage returns included.
+    Lines keep their bytes, carriage returns and a byte order mark included. The path is a name and
+    no pattern. Spark passes over files whose name begins with `_` or `.`: such a file is first
+    copied as a stream, in small buffers, to a plain name in the shared folder.
     """
     out = out.rstrip("/")
-    lines = spark.read.option("lineSep", "\n").text(path)
+    hadoop, conf = spark._jvm.org.apache.hadoop.fs, spark._jsc.hadoopConfiguration()
+    source = hadoop.Path(path)
+    fs = source.getFileSystem(conf)
+    if source.getName()[0] in "_.":
+        plain = hadoop.Path(f"{own_folder(spark, 'snapshot')}/{family}.txt")
+        hadoop.FileUtil.copy(fs, source, plain.getFileSystem(conf), plain, False, conf)
+        source, fs = plain, plain.getFileSystem(conf)
+    name = re.sub(r"([\\*?\[\]{}])", r"\\\1", source.toString())
+    lines = spark.read.option("lineSep", "\n").text(name)
+    if _marked(fs, source):
+        # The reader takes the mark away; the first row of the only file gets it back.
+        first = F.monotonically_increasing_id() == 0
+        lines = lines.select(F.when(first, F.concat(F.lit("\ufeff"), "value")).otherwise(F.col("value")))
     lines.write.mode("overwrite").option("lineSep", "\n").text(f"{out}/{family}.csv")
-    marker = spark._jvm.org.apache.hadoop.fs.Path(f"{out}/{fixed.SNAPSHOT_MARKER}")
-    fs = marker.getFileSystem(spark._jsc.hadoopConfiguration())
+    marker = hadoop.Path(f"{out}/{fixed.SNAPSHOT_MARKER}")
+    fs = marker.getFileSystem(conf)
     if not fs.exists(marker):
         fs.create(marker).close()
+
+
+def _marked(fs, path) -> bool:
+    """Whether the file begins with a UTF-8 byte order mark."""
+    opened = fs.open(path)
+    try:
+        return [opened.read() for _ in range(3)] == [0xEF, 0xBB, 0xBF]
+    finally:
+        opened.close()

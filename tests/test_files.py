@@ -252,3 +252,78 @@ def test_empty_and_hidden_files_can_be_newest(spark, tmp_path):
         os.utime(tmp_path / name, (1_700_000_000 + n, 1_700_000_000 + n))
     got = snapshot_source.newest_snapshot(spark, str(tmp_path), ["DD", "EE", "FF"]).collect()
     assert {r.family: r.path.rsplit("/", 1)[1] for r in got} == {"DD": "DD-new.txt", "EE": "_EE.txt"}
+    out = tmp_path / "out"
+    snapshots.publish_newest(spark, str(tmp_path), str(out), ["DD", "EE"])
+    assert content(out / "DD.csv") == b"" and content(out / "EE.csv") == b"y\n"
+
+
+def test_published_names_are_no_patterns_and_byte_order_marks_stay(spark, tmp_path):
+    bodies = {"BB[1].txt": b"1\n", "CC{a,b}*.txt": b"2\n", "FF.txt": b"\xef\xbb\xbfa|b\n\xff|2\n", "_GG?.txt": b"3\n"}
+    for name, body in bodies.items():
+        (tmp_path / name).write_bytes(body)
+    (tmp_path / "BB1.csv").write_bytes(b"other")
+    out = tmp_path / "out"
+    snapshots.publish_newest(spark, str(tmp_path), str(out), ["BB", "CC", "FF", "GG"])
+    for family, body in zip(("BB", "CC", "FF", "GG"), bodies.values()):
+        assert content(out / f"{family}.csv") == body
+
+
+def test_a_family_that_fails_does_not_stop_the_others(spark, tmp_path, monkeypatch):
+    for name in ("AA.txt", "BB.txt", "CC.txt"):
+        (tmp_path / name).write_text(name)
+
+    def copy(spark, path, out, family):
+        if family == "BB":
+            raise OSError("no such disk")
+        table_sinks.publish_copy(spark, path, out, family)
+
+    monkeypatch.setattr(snapshots, "publish_copy", copy)
+    out = tmp_path / "out"
+    with pytest.raises(ExceptionGroup) as caught:
+        snapshots.publish_newest(spark, str(tmp_path), str(out), ["AA", "BB", "CC"])
+    assert [str(e) for e in caught.value.exceptions] == ["no such disk"]
+    assert files(out) == ["AA.csv", "CC.csv", "OK.txt"]
+
+
+@pytest.mark.parametrize("fails_at", [2, 5])
+def test_a_failed_rename_leaves_the_earlier_files(spark, tmp_path, monkeypatch, fails_at):
+    def export(rows):
+        return delimited.export_batches(assign_batches(spark.range(rows), ["id"], 10), str(tmp_path), "x")
+
+    export(30)
+    before = {f: (tmp_path / f).read_bytes() for f in files(tmp_path)}
+    plain, calls = delimited._rename, []
+
+    def rename(*args):
+        calls.append(args)
+        if len(calls) == fails_at:
+            raise OSError("no such disk")
+        plain(*args)
+
+    monkeypatch.setattr(delimited, "_rename", rename)
+    with pytest.raises(OSError, match="no such disk"):
+        export(50)
+    left = [f for f in files(tmp_path) if f.endswith(".txt")]
+    assert {f: (tmp_path / f).read_bytes() for f in left} == before
+    monkeypatch.undo()
+    assert export(20) == 2
+    assert files(tmp_path) == ["x-1.txt", "x-2.txt"]
+
+
+def test_profiles_published_together_equal_single_runs(spark, tmp_path):
+    days = ["2024-05-30", "2024-05-31"]
+    categories = ["115K", "118A", "110F", "118B", "1766", None]
+    rows = [record(i, categories[i % 6], DATUM=days[i % 7 == 0], ZUTIMER=f"{10 + i % 3}:00:00",
+                   ZSTAT="P" if i % 5 == 0 else "N") for i in range(200)]
+    records = spark.createDataFrame(rows, ", ".join(f"{c} string" for c in fixed.RECORD_COLUMNS))
+    profiles = publish.PROFILES.values()
+    together = publish.publish_profiles(spark, records, profiles, str(tmp_path / "all"))
+    singles = set()
+    for profile in profiles:
+        out = tmp_path / "one" / profile.name
+        manifest = publish.publish_latest_batch(spark, records, profile, str(out))
+        singles |= {(profile.name, *row) for row in manifest.collect()}
+        assert {f: (out / f).read_bytes() for f in files(out)} == {
+            f: (tmp_path / "all" / profile.name / f).read_bytes()
+            for f in files(tmp_path / "all" / profile.name)}
+    assert {tuple(row) for row in together.collect()} == singles and len(singles) > 3
