@@ -44,6 +44,9 @@ def intervals(rng, n, keys):
 def test_interval_join_equals_brute_force(spark):
     rng = random.Random(3)
     left, right = intervals(rng, 60, [1, 2, None]), intervals(rng, 90, [1, 1, 1, 2, 3, None])
+    # Open intervals, and such as end before they start.
+    right += [(1, 90, day("1900-01-01"), day("9999-12-31")), (2, 91, day("2024-05-20"), day("2024-03-02"))]
+    left += [(1, 60, day("2024-12-20"), day("2024-02-03")), (2, 61, day("2024-01-01"), day("2024-12-31"))]
     got = joins.interval_join(
         spark.createDataFrame(left, "k int, i int, s date, e date"),
         spark.createDataFrame(right, "k2 int, j int, s2 date, e2 date"),
@@ -54,6 +57,10 @@ def test_interval_join_equals_brute_force(spark):
         if a[0] is not None and a[0] == b[0] and a[2] <= b[3] and a[3] >= b[2] and b[1] != 4
     )
     assert sorted((r.i, r.j) for r in got.collect()) == expected and expected
+    assert got.columns == ["k", "i", "s", "e", "k2", "j", "s2", "e2"]
+    nothing = spark.createDataFrame([], "k int, i int, s date, e date")
+    right_side = got.select("k2", "j", "s2", "e2")
+    assert joins.interval_join(nothing, right_side, "k", "k2", ("s", "e"), ("s2", "e2")).isEmpty()
 
 
 def test_point_in_interval_equals_brute_force(spark):
