@@ -29,9 +29,6 @@ PROFILES = [
     ("it15", None, True, 8000, ";", True, "ReplicaICMEP", "csv"),
 ]
 
-# Rows per page of a paged read.
-PAGE_ROWS = 100_000
-
 # Growth bands over an inflation rate: first band ends one unit below the rate, five bands of one
 # step follow, the last one is open up to the ceiling.
 BAND_UNIT = "0.0001"
