@@ -2,6 +2,7 @@
 
     publish    --profile fijo --records <table folder> --out <folder>
     payout     --inputs <folder> --out <folder> [--as-of 2024-04-15] [--stage-out <folder>]
+               [--infinite-growth]
     recode     --file <csv> [--out <folder>] [--null-text nan] [--multiline]
     snapshots  --folder <folder> --out <folder>
 """
@@ -24,7 +25,8 @@ def _publish(spark, args):
 
 def _payout(spark, args):
     as_of = F.lit(args.as_of).cast("date") if args.as_of else None
-    incentive.run_payout(spark, args.inputs, args.out, as_of, args.stage_out)
+    incentive.run_payout(
+        spark, args.inputs, args.out, as_of, args.stage_out, not args.infinite_growth)
 
 
 def _recode(spark, args):
@@ -54,6 +56,7 @@ def _parser() -> argparse.ArgumentParser:
     job.add_argument("--out", required=True)
     job.add_argument("--as-of")
     job.add_argument("--stage-out")
+    job.add_argument("--infinite-growth", action="store_true", help="over prior sales of zero")
 
     job = jobs.add_parser("recode")
     job.add_argument("--multiline", action="store_true")

@@ -12,9 +12,20 @@ def default(c: Column, value) -> Column:
     return F.coalesce(c, F.lit(value))
 
 
-def growth(current: Column, prior: Column) -> Column:
-    """Relative growth. A missing or zero prior value, or a missing current one, gives -1."""
-    ratio = F.try_divide(current.cast("double"), prior.cast("double"))
+def growth(current: Column, prior: Column, zero_as_missing: bool = True) -> Column:
+    """Relative growth. A missing prior or current value gives -1, and so does a prior value of zero.
+
+    With `zero_as_missing=False` a zero divides as a floating-point number does: the growth is
+    infinite, or NaN if the current value is zero too, and lies in no band unless it is negative.
+    """
+    current, prior = current.cast("double"), prior.cast("double")
+    ratio = F.try_divide(current, prior)
+    if not zero_as_missing:
+        infinite = (
+            F.when(current > 0, float("inf")).when(current < 0, float("-inf"))
+            .when(current == 0, float("nan"))
+        )
+        ratio = F.when(prior == 0, infinite).otherwise(ratio)
     return F.coalesce(ratio, F.lit(0.0)) - 1.0
 
 

@@ -1,11 +1,12 @@
 """Row numbers over a total order, and the bounded batches and pages cut from them."""
 
+from bisect import bisect_right
 from itertools import accumulate
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from stipend.shared import stage
+from stipend.shared import own_folder, released, stage, write_stage
 
 # monotonically_increasing_id: partition number above these bits, position in the partition below.
 _POSITION_BITS = 33
@@ -28,7 +29,17 @@ def number_rows(df: DataFrame, keys: list[str], unique: bool = False) -> DataFra
     Ranges are also split inside a group of exact copies: copies are interchangeable, and the
     input partition they come from is last in the range key. So no more copies stay together than
     one input partition holds. `unique=True` says that `keys` tell all rows apart.
+
+    The metadata of `row_no` carry the number of `rows`.
     """
+    placed, before = _placed(df, keys, unique)
+    numbered = placed.withColumn("row_no", _row_no(before)).drop("_place")
+    return numbered.withMetadata("row_no", {"rows": before[-1]})
+
+
+def _placed(df: DataFrame, keys: list[str], unique: bool) -> tuple[DataFrame, list[int]]:
+    """The written rows with `_place`, which rises with the row number, and the number of rows
+    before each range, then of all."""
     order = _order(df, keys)
     by_range = order
     if unique:
@@ -43,16 +54,17 @@ def number_rows(df: DataFrame, keys: list[str], unique: bool = False) -> DataFra
         .drop("_from")
     )
     placed = stage(ranged, "numbered")
-    placed = placed.withColumn("_range", F.shiftright("_place", _POSITION_BITS))
-
     # One number per shuffle partition: bounded by the partition count, whatever the data.
-    sizes = dict(placed.groupBy("_range").count().collect())
+    sizes = dict(placed.groupBy(F.shiftright("_place", _POSITION_BITS)).count().collect())
     counts = [sizes.get(number, 0) for number in range(max(sizes, default=0) + 1)]
-    before = F.split(F.lit(",".join(map(str, accumulate(counts, initial=0)))), ",")
-    position = F.col("_place").bitwiseAND((1 << _POSITION_BITS) - 1)
-    return placed.withColumn(
-        "row_no", before.cast("array<bigint>")[F.col("_range").cast("int")] + position + 1
-    ).drop("_range", "_place")
+    return placed, list(accumulate(counts, initial=0))
+
+
+def _row_no(before: list[int]) -> Column:
+    # A split text and not an array of literals, which would be an expression per range.
+    starts = F.split(F.lit(",".join(map(str, before))), ",").cast("array<bigint>")
+    of_range = starts[F.shiftright("_place", _POSITION_BITS).cast("int")]
+    return of_range + F.col("_place").bitwiseAND((1 << _POSITION_BITS) - 1) + 1
 
 
 def assign_batches(
@@ -66,31 +78,51 @@ def assign_batches(
 def batch_manifest(
     batched: DataFrame, keys: list[str], size: int, null_counts: tuple[str, ...] = ()
 ) -> DataFrame:
-    """Per batch of `assign_batches`: number of rows, first and last key, and nulls in the columns
-    of `null_counts`.
+    """Per batch of a whole result of `assign_batches`: number of rows, first and last key, and nulls
+    in the columns of `null_counts`.
 
     Counting needs numbers only, and the keys come from the two rows at the edges of each batch,
-    so no sort of all rows is needed.
+    so no sort of all rows is needed: two scans, whose few rows per batch are grouped again.
     """
     counts = batched.groupBy("batch_no").agg(
         F.count("*").alias("rows"),
         *[F.count_if(F.col(c).isNull()).alias(f"{c}_nulls") for c in null_counts],
     )
-    end = batched.agg(F.max("row_no")).scalar()
+    end = batched.schema["row_no"].metadata["rows"]
     first = (F.col("row_no") - 1) % size == 0
     last = (F.col("row_no") % size == 0) | (F.col("row_no") == end)
-    for edge, name in ((first, "first"), (last, "last")):
-        edges = batched.filter(edge).select("batch_no", *[F.col(k).alias(f"{name}_{k}") for k in keys])
-        counts = counts.join(edges, "batch_no")
-    return counts.select(
-        "batch_no", "rows", *[f"{name}_{k}" for name in ("first", "last") for k in keys],
-        *[f"{c}_nulls" for c in null_counts],
-    )
+    edge_keys = [
+        F.when(edge, F.col(k)).alias(f"{name}_{k}")
+        for edge, name in ((first, "first"), (last, "last")) for k in keys
+    ]
+    edges = batched.filter(first | last).select("batch_no", *edge_keys)
+    columns = ["rows", *edges.columns[1:], *[f"{c}_nulls" for c in null_counts]]
+    # Each value comes from one row of the union; the others hold nulls there.
+    return counts.unionByName(edges, allowMissingColumns=True).groupBy("batch_no").agg(
+        *[F.max(c).alias(c) for c in columns])
 
 
 def page(
     df: DataFrame, keys: list[str], offset: int, size: int, unique: bool = False
 ) -> DataFrame:
-    """Rows offset+1 … offset+size in the order of `keys`, in that order, with their `row_no`."""
-    numbered = number_rows(df, keys, unique)
-    return numbered.filter(F.col("row_no").between(offset + 1, offset + size)).orderBy("row_no")
+    """Rows offset+1 … offset+size in the order of `keys`, in that order, with their `row_no`.
+
+    The page is one run of places, so row groups outside it are skipped by their statistics. Only
+    the page stays in the shared folder, not the numbered table.
+    """
+    kept = own_folder(df.sparkSession, "page")
+    with released():
+        placed, before = _placed(df, keys, unique)
+        first, end = min(offset, before[-1]), min(offset + size, before[-1])
+        on_page = F.lit(False)
+        if first < end:
+            on_page = F.col("_place").between(_place_of(first, before), _place_of(end - 1, before))
+        rows = placed.filter(on_page).withColumn("row_no", _row_no(before)).drop("_place")
+        rows = write_stage(rows, kept)
+    return rows.orderBy("row_no")
+
+
+def _place_of(index: int, before: list[int]) -> int:
+    """`_place` of the row with `index` rows before it."""
+    number = bisect_right(before, index) - 1
+    return (number << _POSITION_BITS) + index - before[number]

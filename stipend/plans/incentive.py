@@ -23,7 +23,7 @@ from stipend.functions.dates import (
 )
 from stipend.operators.joins import history_for, interval_join, month_join
 from stipend.operators.lookups import band_lookup, previous_month, tariff_lookup, value_as_of
-from stipend.shared import stage
+from stipend.shared import own_folder, released, stage, write_stage
 from stipend.sinks.delimited import export_table
 from stipend.sources.tables import load_payout_inputs
 
@@ -37,11 +37,11 @@ _PERIOD = ["store", "begda", "endda"]
 _EMPLOYEE = ["payee", "role", "date_start", "date_end", "area"]
 
 
-def pair_growth(pairs: DataFrame, sales: DataFrame) -> DataFrame:
+def pair_growth(pairs: DataFrame, sales: DataFrame, zero_as_missing: bool = True) -> DataFrame:
     """Pairs with the sales of store B in their month and a year before, and the growth.
 
     `sales` are those with status 1. Several sales rows of a store and month give several rows; see
-    `duplicate_keys`.
+    `duplicate_keys`. `zero_as_missing` is that of `growth`.
     """
     def named(name):
         return sales.select(
@@ -51,7 +51,8 @@ def pair_growth(pairs: DataFrame, sales: DataFrame) -> DataFrame:
 
     joined = month_join(pairs, named("sales"), "store_b", "_store", "begda", "_date")
     joined = month_join(joined, named("prior_sales"), "store_b", "_store", "begda", "_date", 12)
-    return joined.withColumn("growth", growth(F.col("sales"), F.col("prior_sales")))
+    return joined.withColumn("growth", growth(
+        F.col("sales"), F.col("prior_sales"), zero_as_missing))
 
 
 def pair_focus(pairs: DataFrame, focus: DataFrame) -> DataFrame:
@@ -68,7 +69,7 @@ def pair_focus(pairs: DataFrame, focus: DataFrame) -> DataFrame:
 
 def tariff_stage(
     pairs: DataFrame, sales: DataFrame, focus: DataFrame, tariff: DataFrame, rate: Column,
-    months: Span | None = None,
+    months: Span | None = None, zero_as_missing: bool = True,
 ) -> DataFrame:
     """The store side: valid pairs with growth, focus codes, band and pay rates.
 
@@ -91,7 +92,7 @@ def tariff_stage(
     ).distinct()
     focus = focus.select("store", month_start(F.col("begda")).alias("begda"), "focus").distinct()
 
-    staged = pair_focus(pair_growth(pairs, sales), focus)
+    staged = pair_focus(pair_growth(pairs, sales, zero_as_missing), focus)
     staged = band_lookup(staged, "growth", rate)
     staged = staged.withColumns({c: default(F.col(c), 0) for c in ("sales", "prior_sales")})
     return tariff_lookup(staged, tariff.distinct()).select(*STAGE_COLUMNS).distinct()
@@ -202,19 +203,20 @@ def payout_columns(df: DataFrame) -> DataFrame:
 
 def staged_pairs(
     pairs: DataFrame, sales: DataFrame, focus: DataFrame, tariff: DataFrame,
-    inflation: DataFrame, as_of: Column | None = None,
+    inflation: DataFrame, as_of: Column | None = None, zero_as_missing: bool = True,
 ) -> DataFrame:
     """The store side, written to the shared folder: the employee side and the final join both
     read it, and Spark broadcasts it if its size there allows it.
 
     The inflation valid on `as_of` (default: one month ago) sets the growth bands; without one
-    there is no row.
+    there is no row. `zero_as_missing` says what prior sales of zero mean: see `growth`.
     """
     rate = value_as_of(inflation, previous_month() if as_of is None else as_of, "rate")
     valid = pairs.filter(F.col("ids") == 1)
     months = _extent(valid, "begda", "begda")
     sales, focus = history_for(valid, sales), history_for(valid, focus)
-    return stage(tariff_stage(pairs, sales, focus, tariff, rate, months), "tariff-stage")
+    staged = tariff_stage(pairs, sales, focus, tariff, rate, months, zero_as_missing)
+    return stage(staged, "tariff-stage")
 
 
 def payout_detail(staged: DataFrame, history: DataFrame, absences: DataFrame) -> DataFrame:
@@ -244,9 +246,10 @@ def incentive_payout(
     absences: DataFrame,
     inflation: DataFrame,
     as_of: Column | None = None,
+    zero_as_missing: bool = True,
 ) -> DataFrame:
     """Both sides of the payout in one call; see `staged_pairs` and `payout_detail`."""
-    staged = staged_pairs(pairs, sales, focus, tariff, inflation, as_of)
+    staged = staged_pairs(pairs, sales, focus, tariff, inflation, as_of, zero_as_missing)
     return payout_detail(staged, history, absences)
 
 
@@ -257,21 +260,24 @@ def payout_summary(detail: DataFrame) -> DataFrame:
 
 def run_payout(
     spark: SparkSession, folder: str, out: str, as_of: Column | None = None,
-    stage_out: str | None = None,
+    stage_out: str | None = None, zero_as_missing: bool = True,
 ) -> DataFrame:
     """Load the interchange files of `folder`, write the payout detail to `out` and, if asked for,
     the store side to `stage_out` for review. Returns the detail as written.
 
     The files are parsed once, into tables of the shared folder: their statistics let the date
-    limits skip row groups, which text cannot.
+    limits skip row groups, which text cannot. Only the detail stays in the shared folder.
     """
-    inputs = {name: stage(rows, name) for name, rows in load_payout_inputs(spark, folder).items()}
-    history, absences = inputs.pop("history"), inputs.pop("absences")
-    inputs.pop("absence_types")
-    staged = staged_pairs(**inputs, as_of=as_of)
-    if stage_out:
-        export_table(staged, stage_out)
-    detail = stage(payout_detail(staged, history, absences), "payout-detail")
+    kept = own_folder(spark, "payout-detail")
+    with released():
+        tables = load_payout_inputs(spark, folder)
+        tables.pop("absence_types")
+        inputs = {name: stage(rows, name) for name, rows in tables.items()}
+        history, absences = inputs.pop("history"), inputs.pop("absences")
+        staged = staged_pairs(**inputs, as_of=as_of, zero_as_missing=zero_as_missing)
+        if stage_out:
+            export_table(staged, stage_out)
+        detail = write_stage(payout_detail(staged, history, absences), kept)
     published = detail.select(*[F.col(n).alias(p) for n, p in fixed.PAYOUT_COLUMNS])
     export_table(published, f"{out.rstrip('/')}/{fixed.PAYOUT_FILE}")
     return detail

@@ -11,7 +11,7 @@ from stipend import fixed_values as fixed
 from stipend.functions.amounts import int_trunc, money_text
 from stipend.operators.latest import latest_batch, latest_batch_by
 from stipend.operators.numbering import assign_batches, batch_manifest
-from stipend.shared import stage
+from stipend.shared import own_folder, released, stage, write_stage
 from stipend.sinks.delimited import export_batches
 
 
@@ -44,7 +44,8 @@ def publish_latest_batch(
     """Write the newest batch of a profile below `out`; return the manifest of the files.
 
     The rows are numbered once, and both the files and the manifest come from that numbering, so
-    counts and contents cannot differ. Without any row no file is written.
+    counts and contents cannot differ. Without any row no file is written. Only the manifest, one
+    row per file, stays in the shared folder.
     """
     return _publish(latest_batch(records, profile.category, profile.strict), profile, out)
 
@@ -60,28 +61,32 @@ def publish_profiles(
     """
     profiles = list(profiles)
     newest = {}
-    for strict in {p.strict for p in profiles if p.category is not None}:
-        named = [p.category for p in profiles if p.strict == strict and p.category is not None]
-        scope = records.filter(F.col("LGART").isin(named))
-        newest[strict] = stage(latest_batch_by(scope, strict=strict), "newest")
-    manifests = []
-    for profile in profiles:
-        if profile.category is None:
-            rows = latest_batch(records, None, profile.strict)
-        else:
-            rows = newest[profile.strict].filter(F.col("LGART") == profile.category)
-        manifest = _publish(rows, profile, f"{out.rstrip('/')}/{profile.name}")
-        manifests.append(manifest.select(F.lit(profile.name).alias("profile"), "*"))
-    return reduce(DataFrame.unionByName, manifests)
+    kept = own_folder(spark, "manifests")
+    with released():
+        for strict in {p.strict for p in profiles if p.category is not None}:
+            named = [p.category for p in profiles if p.strict == strict and p.category is not None]
+            scope = records.filter(F.col("LGART").isin(named))
+            newest[strict] = stage(latest_batch_by(scope, strict=strict), "newest")
+        manifests = []
+        for profile in profiles:
+            if profile.category is None:
+                rows = latest_batch(records, None, profile.strict)
+            else:
+                rows = newest[profile.strict].filter(F.col("LGART") == profile.category)
+            manifest = _publish(rows, profile, f"{out.rstrip('/')}/{profile.name}")
+            manifests.append(manifest.select(F.lit(profile.name).alias("profile"), "*"))
+        return write_stage(reduce(DataFrame.unionByName, manifests), kept)
 
 
 def _publish(newest: DataFrame, profile: Profile, out: str) -> DataFrame:
     size = profile.rows_per_file
-    batched = assign_batches(newest.select(*fixed.RECORD_COLUMNS), ["PERNR"], size)
-    manifest = batch_manifest(batched, ["PERNR"], size, tuple(fixed.INTEGER_COLUMNS))
-    export_batches(
-        format_records(batched) if profile.formatted else batched,
-        out, profile.prefix, profile.ext, profile.sep,
-    )
-    name = F.concat(F.lit(f"{profile.prefix}-"), "batch_no", F.lit(f".{profile.ext}"))
-    return manifest.withColumn("file", name)
+    kept = own_folder(newest.sparkSession, "manifest")
+    with released():
+        batched = assign_batches(newest.select(*fixed.RECORD_COLUMNS), ["PERNR"], size)
+        manifest = batch_manifest(batched, ["PERNR"], size, tuple(fixed.INTEGER_COLUMNS))
+        export_batches(
+            format_records(batched) if profile.formatted else batched,
+            out, profile.prefix, profile.ext, profile.sep,
+        )
+        name = F.concat(F.lit(f"{profile.prefix}-"), "batch_no", F.lit(f".{profile.ext}"))
+        return write_stage(manifest.withColumn("file", name), kept)

@@ -5,6 +5,7 @@ from collections.abc import Sequence
 from pyspark.sql import SparkSession
 
 from stipend import fixed_values as fixed
+from stipend.shared import released
 from stipend.sinks.tables import publish_copy
 from stipend.sources.snapshots import newest_snapshot
 
@@ -22,7 +23,8 @@ def publish_newest(
     errors = []
     for family, path in newest.items():
         try:
-            publish_copy(spark, path, out, family)
+            with released():
+                publish_copy(spark, path, out, family)
         except Exception as error:
             error.add_note(f"while publishing {family} from {path}")
             errors.append(error)

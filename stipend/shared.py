@@ -3,10 +3,17 @@
 import atexit
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
 
 
+# Folders of the job that is running, which go when it is done.
+_scope: ContextVar[list | None] = ContextVar("stipend_scope", default=None)
+
+
 def shared_folder(spark: SparkSession) -> str:
     """Folder every executor reaches: `spark.checkpoint.dir`, as the cluster names it.
 
@@ -22,13 +29,36 @@ def shared_folder(spark: SparkSession) -> str:
 
 
 def own_folder(spark: SparkSession, label: str) -> str:
-    """A new path in the shared folder, removed when the application ends."""
+    """A new path in the shared folder, removed at the end of the enclosing `released` block or,
+    without one, of the application."""
     path = f"{shared_folder(spark)}/{label}-{uuid.uuid4().hex}"
     folder = spark._jvm.org.apache.hadoop.fs.Path(path)
-    atexit.register(_remove, folder.getFileSystem(spark._jsc.hadoopConfiguration()), folder)
+    entry = (folder.getFileSystem(spark._jsc.hadoopConfiguration()), folder)
+    scope = _scope.get()
+    if scope is None:
+        atexit.register(_remove, *entry)
+    else:
+        scope.append(entry)
     return path
 
 
+@contextmanager
+def released() -> Iterator[None]:
+    """Remove what is staged inside the block when it ends, also by an error.
+
+    DataFrames built inside must be written before that: a result for the caller goes to a folder
+    named before the block, by `write_stage`. Blocks can be nested.
+    """
+    folders: list = []
+    token = _scope.set(folders)
+    try:
+        yield
+    finally:
+        _scope.reset(token)
+        for entry in folders:
+            _remove(*entry)
+
+
 def stage(df: DataFrame, label: str) -> DataFrame:
     """Write `df` as a table in the shared folder and read it back.
 
@@ -36,7 +66,11 @@ def stage(df: DataFrame, label: str) -> DataFrame:
     the planner sees the true size of the table: it broadcasts the table only if that is below
     `spark.sql.autoBroadcastJoinThreshold`.
     """
-    path = own_folder(df.sparkSession, label)
+    return write_stage(df, own_folder(df.sparkSession, label))
+
+
+def write_stage(df: DataFrame, path: str) -> DataFrame:
+    """`stage` to a path that `own_folder` gave."""
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 

@@ -15,3 +15,11 @@ def spark(tmp_path_factory):
     session.sparkContext.setLogLevel("ERROR")
     yield session
     session.stop()
+
+
+@pytest.fixture
+def shared(tmp_path, monkeypatch):
+    """The shared folder of this test alone."""
+    folder = tmp_path / "shared"
+    monkeypatch.setattr("stipend.shared.shared_folder", lambda _: str(folder))
+    return folder

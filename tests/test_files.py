@@ -185,7 +185,7 @@ def test_publish_newest(spark, tmp_path):
     assert (tmp_path / "XXICMSALDOS2-old.txt").exists()
 
 
-def test_run_payout_from_files(spark, tmp_path):
+def test_run_payout_from_files(spark, tmp_path, shared):
     values = {
         "zMTVINFLACION.csv": "0.0450,2024-01-01,2024-12-31,2024-01-01,2024-12-31",
         "VTA_TDA_MULTI.csv": "S2,2024-04-30,150.00,7,1\nS2,2023-04-30,100.00,7,1",
@@ -203,6 +203,7 @@ def test_run_payout_from_files(spark, tmp_path):
         (source / file).write_text(f"{header}\n{values[file]}\n")
     detail = incentive.run_payout(
         spark, str(source), str(tmp_path / "out"), F.lit("2024-04-15").cast("date"), str(tmp_path / "stage"))
+    assert [p.name.partition("-")[0] for p in shared.iterdir()] == ["payout"]
     assert content(tmp_path / "stage").decode().startswith("store_a,store_b,begda,")
     (row,) = detail.collect()
     assert (row.pay, row.final_pay, row.sales) == (165.0, 154.0, Decimal("150.00"))
@@ -310,6 +311,17 @@ def test_a_failed_rename_leaves_the_earlier_files(spark, tmp_path, monkeypatch,
     assert files(tmp_path) == ["x-1.txt", "x-2.txt"]
 
 
+def test_publishing_leaves_only_the_manifest(spark, tmp_path, shared):
+    rows = records(spark, [record(i) for i in range(30)])
+    publish.publish_latest_batch(spark, rows, publish.PROFILES["categoria"], str(tmp_path / "o"))
+    publish.publish_profiles(spark, rows, [publish.PROFILES["categoria"]], str(tmp_path / "p"))
+    with pytest.raises(Exception, match="not readable"):
+        publish.publish_latest_batch(
+            spark, rows.where("raise_error('not readable') is null"),
+            publish.PROFILES["categoria"], str(tmp_path / "q"))
+    assert sorted(p.name.partition("-")[0] for p in shared.iterdir()) == ["manifest", "manifests"]
+
+
 def test_profiles_published_together_equal_single_runs(spark, tmp_path):
     days = ["2024-05-30", "2024-05-31"]
     categories = ["115K", "118A", "110F", "118B", "1766", None]

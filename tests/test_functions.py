@@ -1,4 +1,5 @@
 import datetime as dt
+import math
 from decimal import Decimal
 
 import pytest
@@ -38,6 +39,16 @@ def test_growth(spark):
     assert got == [-1.0, -1.0, -1.0, 0.0, 0.5, -1.0]
 
 
+def test_growth_over_zero_as_floating_point(spark):
+    rows = [(10.0, 0.0), (-1.0, 0.0), (None, 0.0), (10.0, None), (15.0, 10.0), (0.0, 0.0)]
+    got = values(
+        spark, rows, "c double, p double", amounts.growth(F.col("c"), F.col("p"), zero_as_missing=False))
+    assert got[:-1] == [float("inf"), float("-inf"), -1.0, -1.0, 0.5] and math.isnan(got[-1])
+    bands = codes.growth_band(F.col("g"), F.lit(Decimal("0.0450")))
+    assert values(spark, [(g,) for g in got], "g double", bands)[:2] == [None, 1]
+    assert values(spark, [(got[-1],)], "g double", bands) == [None]
+
+
 def test_growth_of_decimals_is_a_double_division(spark):
     rows = [(Decimal("10.00"), Decimal("3.00"))]
     got = values(

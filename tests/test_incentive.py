@@ -44,9 +44,9 @@ def example():
     }
 
 
-def payout(spark, rows, as_of="2024-04-15"):
+def payout(spark, rows, as_of="2024-04-15", **options):
     tables = {name: spark.createDataFrame(rows[name], schema) for name, schema in SCHEMAS.items()}
-    detail = incentive.incentive_payout(**tables, as_of=F.lit(as_of).cast("date"))
+    detail = incentive.incentive_payout(**tables, as_of=F.lit(as_of).cast("date"), **options)
     assert detail.columns == COLUMNS
     return detail.collect()
 
@@ -118,6 +118,16 @@ def test_no_inflation_and_no_pairs_give_an_empty_result(spark):
     assert payout(spark, rows) == []
 
 
+@pytest.mark.parametrize("zero_as_missing, band, pay", [(True, 1, 350.0), (False, None, 0.0)])
+def test_prior_sales_of_zero(spark, zero_as_missing, band, pay):
+    rows = example()
+    rows["sales"][1] = (2, day("2023-04-30"), Decimal(0), 1)
+    rows["tariff"].append((1, 2, 1, Decimal(300), Decimal(100), Decimal(50)))
+    rows["history"] = [employee(7, 1, "L1")]
+    (row,) = payout(spark, rows, zero_as_missing=zero_as_missing)
+    assert (row.band, row.pay) == (band, pay)
+
+
 def test_two_valid_inflations_are_an_error(spark):
     rows = example()
     rows["inflation"] *= 2

@@ -95,3 +95,27 @@ def test_column_names_with_dots(spark):
     df = spark.createDataFrame([(2, "b"), (1, "a")], "k int, `x.y` string")
     assert [tuple(r) for r in numbering.number_rows(df, ["k"]).orderBy("row_no").collect()] == [
         (1, "a", 1), (2, "b", 2)]
+
+
+def test_pages_join_up_over_the_ranges(spark):
+    """Every page, however the rows fall into ranges, of which some are empty."""
+    df = spark.createDataFrame([(i // 40,) for i in range(120)], "k int").repartition(3)
+    for size in (1, 7, 50, 500):
+        got = [r for at in range(0, 130, size) for r in numbering.page(df, ["k"], at, size).collect()]
+        assert [(r.k, r.row_no) for r in got] == [(i // 40, i + 1) for i in range(120)]
+        if size == 1:
+            assert numbering.page(df, ["k"], 0, 0).isEmpty()
+
+
+def test_a_page_leaves_only_itself(frame, shared):
+    _, df = frame
+    got = numbering.page(df, ["k"], 10, 20)
+    assert [p.name.partition("-")[0] for p in shared.iterdir()] == ["page"]
+    assert got.count() == 20
+
+
+def test_manifest_reads_twice_and_joins_nothing(frame):
+    _, df = frame
+    manifest = numbering.batch_manifest(numbering.assign_batches(df, ["k"], 100), ["k"], 100, ("t",))
+    plan = manifest._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("FileScan") == 2 and "Join" not in plan
