@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 from stipend.llm import lines, mixing, packing, quality, simhash
 from stipend.llm.queries import MAX_DISTANCE, SHINGLE_WORDS, VOCABULARY, table
-from stipend.shared import stage
+from stipend.shared import own_folder, released, write_stage
 
 
 def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -49,8 +49,11 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over `documents`; each result but the last is written and read again."""
+    """All stages over `documents`; each result but the last is written and read again, and what the
+    stage itself wrote on the way goes then."""
     docs = table(spark, sf_dir, "documents")
     for name, apply in STAGES[:-1]:
-        docs = stage(apply(spark, docs, sf_dir), name)
+        kept = own_folder(spark, name)
+        with released():
+            docs = write_stage(apply(spark, docs, sf_dir), kept)
     return STAGES[-1][1](spark, docs, sf_dir)
