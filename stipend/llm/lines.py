@@ -32,7 +32,7 @@ _ALONE = "\u0e00-\u0e7f\u3040-\u30ff\u3400-\u9fff\uac00-\ud7af"
 _WORD_START = (
     rf"(?s)(?:^|\s|(?=[\u0e00-\ud7af])(?=[{_ALONE}]))(?=(\S.{{0,{ANCHORED - 1}}}))"
 )
-_EVERY = r"(?s)(?=(.{%d}))" % SHINGLE
+_EVERY = f"(?s)(?=({'.' * SHINGLE}))"
 _MASKS = [random.Random(n).getrandbits(32) for n in range(BANDS * ROWS)]
 
 
