@@ -141,13 +141,16 @@ def drop_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
         F.array_except(F.sequence(F.lit(0), F.size("_lines") - 1), F.col("_dropped")),
         lambda n: F.get(F.col("_lines"), n))
     text = F.when(F.col("_dropped").isNull(), F.col(f"`{text_col}`")).otherwise(F.array_join(left, "\n"))
+    # Counted in bytes, as splitting every text again would cost more.
+    whole = F.col(f"`{text_col}`")
+    breaks = F.octet_length(whole) - F.octet_length(F.replace(whole, F.lit("\n"), F.lit("")))
     blank = F.translate("_new", " \t\n\x0b\x0c\r", "") == ""
     return joined.withColumn("_lines", F.when(F.col("_dropped").isNotNull(), lines)).withColumn(
         "_new", text
     ).select(
         *[F.col("_new").alias(c) if c == text_col else F.col(f"`{c}`") for c in docs.columns
           if c not in ("n_lines", "n_dropped", "emptied")],
-        F.coalesce(F.size(lines), F.lit(0)).alias("n_lines"),
+        F.coalesce(breaks + 1, F.lit(0)).cast("int").alias("n_lines"),
         F.coalesce(F.size("_dropped"), F.lit(0)).alias("n_dropped"),
         F.coalesce(F.col("_dropped").isNotNull() & blank, F.lit(False)).alias("emptied"),
     )
