@@ -28,9 +28,9 @@ BROADCAST_ROWS = 1_000_000
 # Scripts that write no spaces between words: there every character starts a word.
 _ALONE = "\u0e00-\u0e7f\u3040-\u30ff\u3400-\u9fff\uac00-\ud7af"
 # One range in front of these spares most letters the longer test. A place may be found twice, which
-# changes no minimum.
+# changes no minimum. The line is read behind a space, so that its first word has one before it too.
 _WORD_START = (
-    rf"(?s)(?:^|\s|(?=[\u0e00-\ud7af])(?=[{_ALONE}]))(?=(\S.{{0,{ANCHORED - 1}}}))"
+    rf"(?s)(?:\s|(?=[\u0e00-\ud7af])(?=[{_ALONE}]))(?=(\S.{{0,{ANCHORED - 1}}}))"
 )
 _EVERY = f"(?s)(?=({'.' * SHINGLE}))"
 _MASKS = [random.Random(n).getrandbits(32) for n in range(BANDS * ROWS)]
@@ -55,7 +55,8 @@ def _signatures(lines: DataFrame) -> DataFrame:
     between words), so that an edit moves few of them. The minima are a grouped aggregation of plain
     columns, combined in the task; equal lines fall together in the same step.
     """
-    hashes = lines.select("id", F.explode(F.regexp_extract_all("line", F.lit(_WORD_START), F.lit(1))).alias("s"))
+    hashes = lines.select("id", F.explode(F.regexp_extract_all(
+        F.concat(F.lit(" "), "line"), F.lit(_WORD_START), F.lit(1))).alias("s"))
     hashes = hashes.select("id", F.xxhash64("s").bitwiseAND(F.lit(0xFFFFFFFF)).alias("h"))
     least = hashes.groupBy("id").agg(
         *[F.min(F.col("h").bitwiseXOR(F.lit(mask))).alias(f"m{n}") for n, mask in enumerate(_MASKS)])
