@@ -22,6 +22,13 @@ ANCHORED = 12
 BANDS = 8
 ROWS = 3
 
+#: Buckets of at most so many lines are compared pair by pair.
+SMALL = 8
+
+#: Bands and minima of the signatures that split larger buckets, one round after the other: 98.8 and
+#: 96.7 % of the pairs at THRESHOLD share a bucket, and lines well below it do no longer.
+FINER = [(24, 8), (48, 12)]
+
 #: Rows of narrow tables (ids, line numbers) that may be broadcast: some tens of MB.
 BROADCAST_ROWS = 1_000_000
 
@@ -33,6 +40,9 @@ _WORD_START = (
     rf"(?s)(?:^|\s|(?=[\u0e00-\ud7af])(?=[{_ALONE}]))(?=(\S.{{0,{ANCHORED - 1}}}))"
 )
 _EVERY = f"(?s)(?=({'.' * SHINGLE}))"
+_LOW = 0xFFFFFFFF
+# Odd, below 2³¹: products with 32 bits fit a long.
+_FACTORS = [random.Random(n).getrandbits(30) * 2 + 1 for n in range(BANDS * ROWS)]
 _MASKS = [random.Random(n).getrandbits(32) for n in range(BANDS * ROWS)]
 
 
@@ -48,6 +58,22 @@ def _lines(rows: DataFrame) -> DataFrame:
     return lines.withColumn("id", F.xxhash64("line"))
 
 
+def _shingles(lines: DataFrame) -> DataFrame:
+    """`id` and the 32-bit hash `h` of the shingle at every character, the ones that are compared.
+
+    In UTF-32 all characters are equally wide, so a shingle is found without reading up to it.
+    """
+    coded = lines.select("id", F.encode("line", "UTF-32").alias("code"))
+    last = F.greatest(F.octet_length("code") - 4 * SHINGLE, F.lit(0))
+    places = coded.select("id", "code", F.explode(F.sequence(F.lit(0), last, F.lit(4))).alias("at"))
+    shingle = F.substr("code", F.col("at") + 1, F.lit(4 * SHINGLE))
+    return places.select("id", F.xxhash64(shingle).bitwiseAND(F.lit(_LOW)).alias("h"))
+
+
+def _minimum(factor: int) -> Column:
+    return F.min((F.col("h") * F.lit(factor)).bitwiseAND(F.lit(_LOW)))
+
+
 def _signatures(lines: DataFrame) -> DataFrame:
     """Band keys of every distinct line.
 
@@ -64,23 +90,84 @@ def _signatures(lines: DataFrame) -> DataFrame:
         for band in range(BANDS)]).alias("keys"))
 
 
-def _candidates(signatures: DataFrame) -> DataFrame:
-    """Distinct pairs `a`, `b` of a line and the pivot of one of its buckets.
+def _finer(lines: DataFrame, bands: int, rows: int) -> DataFrame:
+    """`id` and `key` of distinct lines in `bands` bands of `rows` minima, hashed anew for each."""
+    hashes = _shingles(lines).withColumn("band", F.explode(F.sequence(F.lit(1), F.lit(bands))))
+    hashes = hashes.withColumn("h", F.xxhash64("h", "band", F.lit(rows)).bitwiseAND(F.lit(_LOW)))
+    least = hashes.groupBy("id", "band").agg(*[_minimum(_FACTORS[n]).alias(f"m{n}") for n in range(rows)])
+    return least.select("id", F.xxhash64("band", F.lit(rows), *[f"m{n}" for n in range(rows)]).alias("key"))
+
 
-    A bucket of n lines gives n - 1 pairs and not n². Its key decides which line is the pivot, so a
-    group of near lines has another pivot in each bucket, and lines that are not near to one pivot
-    meet others in their other buckets.
+def _shared(members: DataFrame) -> DataFrame:
+    """The rows `id`, `key` of buckets of two lines or more, with their number `n` and `pivot`.
+
+    The key decides which line is the pivot, so a group of near lines has another one in each bucket.
     """
-    members = signatures.select("id", F.explode("keys").alias("key"))
     mixed = F.col("id").bitwiseXOR(F.col("key"))
     buckets = members.groupBy("key").agg(
         F.count("*").alias("n"), F.min(mixed).alias("least")
-    ).where("n > 1").select("key", F.col("least").bitwiseXOR(F.col("key")).alias("pivot"))
-    buckets = broadcast_up_to(stage(buckets, "buckets"), BROADCAST_ROWS)
-    return members.join(buckets, "key").where(F.col("id") != F.col("pivot")).select(
+    ).where("n > 1").select("key", "n", F.col("least").bitwiseXOR(F.col("key")).alias("pivot"))
+    return members.join(broadcast_up_to(stage(buckets, "buckets"), BROADCAST_ROWS), "key")
+
+
+def _pivot_pairs(shared: DataFrame) -> DataFrame:
+    """Distinct pairs `a`, `b` of a line and the pivot of one of its buckets: n - 1 and not n²."""
+    return shared.where(F.col("id") != F.col("pivot")).select(
         F.greatest("id", "pivot").alias("a"), F.least("id", "pivot").alias("b")).distinct()
 
 
+def _candidates(signatures: DataFrame) -> DataFrame:
+    """The pairs of the first pass, of every line with its pivots."""
+    return _pivot_pairs(_shared(signatures.select("id", F.explode("keys").alias("key"))))
+
+
+def _unsettled(shared: DataFrame, labels: DataFrame) -> DataFrame:
+    """The rows of buckets whose lines are in several classes, with the `class`: two lines there may be
+    near and not have been compared. Within a class there is nothing left to find."""
+    classed = shared.where("n > 2").join(
+        broadcast_up_to(labels.withColumnRenamed("node", "id"), BROADCAST_ROWS), "id", "left"
+    ).select("id", "key", "n", F.coalesce("component", "id").alias("class"))
+    several = classed.groupBy("key").agg(F.min("class").alias("x"), F.max("class").alias("y")).where("x < y")
+    return classed.join(several.select("key"), "key", "left_semi")
+
+
+def _cross_pairs(rows: DataFrame) -> DataFrame:
+    """All pairs of lines of one bucket that are in two classes."""
+    other = rows.select("key", F.col("id").alias("b"), F.col("class").alias("class_b"))
+    return rows.withColumnRenamed("id", "a").join(other, "key").where(
+        (F.col("a") > F.col("b")) & (F.col("class") != F.col("class_b"))).select("a", "b").distinct()
+
+
+def near_classes(lines: DataFrame) -> DataFrame:
+    """Classes of near lines as `node`, `component`, without those that are their own.
+
+    Each line is first compared with the pivots of its buckets. Buckets that still hold several
+    classes are compared pair by pair if they are small; the lines of larger ones are dealt again by
+    further minima, with pivots again, and so on; what the last round leaves is compared pair by pair.
+    """
+    signatures = stage(_signatures(lines), "signatures")
+    shared = stage(_shared(signatures.select("id", F.explode("keys").alias("key"))), "shared")
+    links = stage(_links(stage(_pivot_pairs(shared), "pairs"), lines), "links")
+    labels = components(links)
+    for finer in [*FINER, None]:
+        left = stage(_unsettled(shared, labels), "unsettled")
+        if left.isEmpty():
+            break
+        if finer:
+            pairs = _cross_pairs(left.where(F.col("n") <= SMALL))
+            again = stage(left.where(F.col("n") > SMALL).select("id").distinct(), "again")
+            members = _finer(
+                lines.select("id", "line").join(broadcast_up_to(again, BROADCAST_ROWS), "id", "left_semi")
+                .dropDuplicates(["id"]), *finer)
+            shared = stage(_shared(stage(members, "members")), "shared")
+            pairs = pairs.unionByName(_pivot_pairs(shared)).distinct()
+        else:
+            pairs = _cross_pairs(left)
+        links = links.unionByName(stage(_links(stage(pairs, "pairs"), lines), "links"))
+        labels = components(links)
+    return labels
+
+
 def _links(pairs: DataFrame, lines: DataFrame) -> DataFrame:
     """The pairs whose sets of SHINGLE characters have a Jaccard similarity of THRESHOLD."""
     ids = stage(pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct(), "ids")
@@ -110,9 +197,7 @@ def duplicate_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     rows = docs.select("_llm_row", F.col(f"`{id_col}`").alias("_id"), F.col(f"`{text_col}`").alias("_text"))
     # Cut and lower-cased once; the steps below each read the columns they need.
     lines = stage(_lines(rows), "lines")
-    signatures = stage(_signatures(lines), "signatures")
-    pairs = stage(_candidates(signatures), "pairs")
-    labels = components(_links(pairs, lines)).withColumnRenamed("node", "id")
+    labels = near_classes(lines).withColumnRenamed("node", "id")
     places = lines.select("id", "_id", "_llm_row", "line_no")
     classed = places.join(broadcast_up_to(labels, BROADCAST_ROWS), "id", "left").select(
         F.coalesce("component", "id").alias("class"), F.struct("_id", "_llm_row", "line_no").alias("place"))

@@ -225,6 +225,25 @@ def test_line_links_against_brute_force(spark):
                 assert roots[a] == roots[b]
 
 
+def kept_twins(spark, lines_of_text):
+    """How many of the pairs of neighbours in `lines_of_text` keep both lines."""
+    df = spark.createDataFrame([(n, t) for n, t in enumerate(lines_of_text)], "doc_id bigint, text string").coalesce(2)
+    emptied = {r.doc_id for r in lines.drop_lines(df).collect() if r.emptied}
+    assert all(n % 2 for n in emptied)
+    return len(lines_of_text) // 2 - len(emptied)
+
+
+def test_twins_in_crowded_buckets(spark):
+    rng = random.Random(11)
+    def letters(n):
+        return "".join(rng.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(n))
+    opening, texts = letters(120), []
+    for _ in range(400):
+        line = opening + letters(60)  # Jaccard about 0.5 with every other line
+        texts += [line, line[:-1] + "#"]
+    assert kept_twins(spark, texts) <= 4
+
+
 def labelled(spark):
     rng = random.Random(7)
     rows, labels = [], []
