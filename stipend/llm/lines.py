@@ -16,9 +16,7 @@ MIN_CHARS = 20
 SHINGLE = 5
 THRESHOLD = 0.8
 
-#: Characters of the shingles that are sampled for signatures: one at the start of every word.
-ANCHORED = 12
-
+#: Bands and minima per band of the first signatures: 99.7 % of the pairs at THRESHOLD share one.
 BANDS = 8
 ROWS = 3
 
@@ -32,18 +30,10 @@ FINER = [(24, 8), (48, 12)]
 #: Rows of narrow tables (ids, line numbers) that may be broadcast: some tens of MB.
 BROADCAST_ROWS = 1_000_000
 
-# Scripts that write no spaces between words: there every character starts a word.
-_ALONE = "\u0e00-\u0e7f\u3040-\u30ff\u3400-\u9fff\uac00-\ud7af"
-# One range in front of these spares most letters the longer test. A place may be found twice, which
-# changes no minimum.
-_WORD_START = (
-    rf"(?s)(?:^|\s|(?=[\u0e00-\ud7af])(?=[{_ALONE}]))(?=(\S.{{0,{ANCHORED - 1}}}))"
-)
 _EVERY = f"(?s)(?=({'.' * SHINGLE}))"
 _LOW = 0xFFFFFFFF
 # Odd, below 2³¹: products with 32 bits fit a long.
 _FACTORS = [random.Random(n).getrandbits(30) * 2 + 1 for n in range(BANDS * ROWS)]
-_MASKS = [random.Random(n).getrandbits(32) for n in range(BANDS * ROWS)]
 
 
 def normal(line: Column) -> Column:
@@ -75,16 +65,13 @@ def _minimum(factor: int) -> Column:
 
 
 def _signatures(lines: DataFrame) -> DataFrame:
-    """Band keys of every distinct line.
+    """Band keys of every distinct line, from the shingles at every character.
 
-    Signature shingles are taken at word starts (at every character of scripts that write no spaces
-    between words), so that an edit moves few of them. The minima are a grouped aggregation of plain
-    columns, combined in the task; equal lines fall together in the same step.
+    The minima are a grouped aggregation of plain columns, combined in the task; equal lines fall
+    together in the same step.
     """
-    hashes = lines.select("id", F.explode(F.regexp_extract_all("line", F.lit(_WORD_START), F.lit(1))).alias("s"))
-    hashes = hashes.select("id", F.xxhash64("s").bitwiseAND(F.lit(0xFFFFFFFF)).alias("h"))
-    least = hashes.groupBy("id").agg(
-        *[F.min(F.col("h").bitwiseXOR(F.lit(mask))).alias(f"m{n}") for n, mask in enumerate(_MASKS)])
+    least = _shingles(lines).groupBy("id").agg(
+        *[_minimum(factor).alias(f"m{n}") for n, factor in enumerate(_FACTORS)])
     return least.select("id", F.array(*[
         F.xxhash64(F.lit(band), *[F.col(f"m{band * ROWS + n}") for n in range(ROWS)])
         for band in range(BANDS)]).alias("keys"))

@@ -244,6 +244,28 @@ def test_twins_in_crowded_buckets(spark):
     assert kept_twins(spark, texts) <= 4
 
 
+def test_twins_without_spaces_and_with_character_edits(spark):
+    rng = random.Random(12)
+    texts = []
+    for n in range(300):
+        if n % 3 == 0:  # no space, another first character
+            line = "https://www.site.org/" + "".join(rng.choice("abcdefgh/-") for _ in range(80))
+            texts += [line, "H" + "x" + line[2:]]
+        elif n % 3 == 1:  # Khmer
+            line = "".join(chr(0x1780 + rng.randrange(35)) for _ in range(70))
+            texts += [line, chr(0x1780 + 40) + line[1:]]
+        else:  # prose with three characters changed: Jaccard about 0.8 to 0.85
+            line = prose(24, 5000 + n)[:160]
+            other = list(line)
+            for at in rng.sample(range(4, 150), 3):
+                other[at] = "#"
+            texts += [line, "".join(other)]
+    sets = [{t.lower()[n : n + 5] for n in range(len(t) - 4)} for t in texts]
+    near = [len(x & y) >= 0.8 * len(x | y) for x, y in zip(sets[::2], sets[1::2])]
+    texts = [t for n, t in enumerate(texts) if near[n // 2]]
+    assert sum(near) >= 250 and kept_twins(spark, texts) <= 0.05 * sum(near)
+
+
 def labelled(spark):
     rng = random.Random(7)
     rows, labels = [], []
