@@ -8,12 +8,32 @@ ROUNDS = 10
 _DIGIT = "0123456789"
 _OCTET = r"(?:25[0-5]|2[0-4]\d|1\d\d|[1-9]?\d)"
 
+#: Characters of an account number after country and check digits, by country.
+ACCOUNT_CHARS = {
+    11: "NO", 12: "BE BI", 14: "DK FI FO GL NL FK SD", 15: "MK SI", 16: "AT BA EE KZ LT LU XK MN",
+    17: "CH CR HR LI LV", 18: "BG BH DE GB GE IE ME RS VA", 19: "AE GI IL IQ OM TL SO",
+    20: "AD CZ ES MD PK RO SA SE SK TN VG", 21: "PT ST LY", 22: "IS TR", 23: "DJ FR GR IT MC MR SM",
+    24: "AL AZ BY CY DO GT HU LB NI PL SV", 25: "BR EG PS QA UA", 26: "JO KW MU YE", 27: "MT SC", 28: "LC",
+    29: "RU",
+}
+
+
+def _accounts() -> str:
+    """Each country's numbers in groups of four, so that no word or number behind them is taken in; of
+    other countries any length."""
+    known = [
+        rf"(?:{codes.replace(' ', '|')})\d{{2}}(?: ?[A-Z0-9]{{4}}){{{size // 4}}}" + (rf" ?[A-Z0-9]{{{size % 4}}}" if size % 4 else "")
+        for size, codes in ACCOUNT_CHARS.items()]
+    others = rf"(?!{'|'.join(ACCOUNT_CHARS.values()).replace(' ', '|')})[A-Z]{{2}}\d{{2}}(?: ?[A-Z0-9]{{4}}){{2,7}}(?: ?[A-Z0-9]{{1,3}})?"
+    return rf"(?<![A-Za-z0-9])(?=[A-Z]{{2}}\d{{2}})(?:{'|'.join([*known, others])})(?![A-Za-z0-9])"
+
+
 #: What is looked for, in this order where two begin at the same place.
 PATTERNS = {
     "email": r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]++@[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]++)+",
     "key": r"(?<![A-Za-z0-9])AKIA[0-9A-Z]{16}(?![A-Za-z0-9])",
     "secret": r"(?<=\b(?:password|passwd|secret|token|api_key)=)[^\s,;\"'<>]++",
-    "iban": r"(?<![A-Za-z0-9])[A-Z]{2}\d{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?(?![A-Za-z0-9])",
+    "iban": _accounts(),
     "iso_date": r"(?<![\d-])(?:19|20)\d{2}-(?:0[1-9]|1[0-2])-(?:0[1-9]|[12]\d|3[01])(?![\d-])",
     "day_date": r"(?<![\d/.])(?:0[1-9]|[12]\d|3[01])(?:/(?:0[1-9]|[12]\d|3[01])/|\.(?:0[1-9]|1[0-2])\.)(?:19|20)\d{2}(?!\d|[/.]\d)",
     "ip": rf"(?<![\d.]){_OCTET}(?:\.{_OCTET}){{3}}(?!\d|\.\d)",
@@ -42,11 +62,16 @@ def _quotient(x: Column, y: Column) -> Column:
 
 
 def feistel(value: Column, left: Column, right: Column, key: str, tweak: str, back: bool = False) -> Column:
-    """Keyed permutation of the numbers 0 … left · right - 1.
+    """Keyed permutation of the numbers 0 … left · right - 1; `back` undoes it."""
+    halves = _mixed_halves(_quotient(value, right), value % right, left, right, key, tweak, back)
+    return let(halves, lambda s: s["l"] * right + s["r"])
 
-    The halves, numbers below `left` and `right`, are added to each other's keyed hash in turn, so
-    every round, and with it the whole, is one-to-one on exactly this range; `back` undoes it.
-    """
+
+def _mixed_halves(
+    l: Column, r: Column, left: Column, right: Column, key: str, tweak: str, back: bool = False
+) -> Column:
+    """The halves, numbers below `left` and `right`, are added to each other's keyed hash in turn, so
+    every round, and with it the whole, is one-to-one on exactly these ranges."""
     rounds = F.sequence(F.lit(ROUNDS), F.lit(1), F.lit(-1)) if back else F.sequence(F.lit(1), F.lit(ROUNDS))
 
     def mark(n: Column, half: Column) -> Column:
@@ -63,8 +88,7 @@ def feistel(value: Column, left: Column, right: Column, key: str, tweak: str, ba
             F.when(odd, moved(state["l"], state["r"], left)).otherwise(state["l"]).alias("l"),
             F.when(odd, state["r"]).otherwise(moved(state["r"], state["l"], right)).alias("r"))
 
-    start = F.struct(_quotient(value, right).alias("l"), (value % right).alias("r"))
-    return let(F.aggregate(rounds, start, turn), lambda s: s["l"] * right + s["r"])
+    return F.aggregate(rounds, F.struct(l.alias("l"), r.alias("r")), turn)
 
 
 def _digits_of(text: Column) -> Column:
@@ -72,23 +96,29 @@ def _digits_of(text: Column) -> Column:
 
 
 def permuted_digits(digits: Column, key: str, tweak: str, back: bool = False) -> Column:
-    """Another text of as many digits, up to 18."""
+    """Another text of as many digits, up to 30."""
     def power(n: Column) -> Column:
         return F.rpad(F.lit("1"), n + 1, "0").cast("bigint")
 
+    def number(part: Column) -> Column:
+        return F.concat(F.lit("0"), part).cast("bigint")
+
     size = F.length(digits)
     half = F.floor(size / 2).cast("int")
-    number = feistel(digits.cast("bigint"), power(half), power(size - half), key, tweak, back)
-    return F.lpad(number.cast("string"), size, "0")
+    halves = _mixed_halves(
+        number(F.substr(digits, F.lit(1), half)), number(F.substr(digits, half + 1)),
+        power(half), power(size - half), key, tweak, back)
+    return let(halves, lambda s: F.concat(
+        F.lpad(s["l"].cast("string"), half, "0"), F.lpad(s["r"].cast("string"), size - half, "0")))
 
 
-def _filled(shape: Column, digits: Column) -> Column:
-    """`shape` with its digits replaced by `digits`, in order."""
+def _filled(shape: Column, values: Column, first: str = "0", last: str = "9") -> Column:
+    """`shape` with its characters from `first` to `last` replaced by `values`, in order."""
     return F.aggregate(
         F.split(shape, ""), F.struct(F.lit("").alias("out"), F.lit(0).alias("n")),
         lambda s, c: F.when(
-            (c >= "0") & (c <= "9"),
-            F.struct(F.concat(s["out"], F.substr(digits, s["n"] + 1, F.lit(1))).alias("out"), (s["n"] + 1).alias("n")),
+            (c >= first) & (c <= last),
+            F.struct(F.concat(s["out"], F.substr(values, s["n"] + 1, F.lit(1))).alias("out"), (s["n"] + 1).alias("n")),
         ).otherwise(F.struct(F.concat(s["out"], c).alias("out"), s["n"].alias("n"))),
         lambda s: s["out"])
 
@@ -113,13 +143,34 @@ def mod97(text: Column) -> Column:
 
 
 def _card(match: Column, key: str) -> Column:
-    def valid(digits: Column) -> Column:
+    """The longest run of whole digit groups that is a valid number of 13 to 19 digits; other groups,
+    such as an expiry date or a code beside it, stay."""
+    def made(digits: Column) -> Column:
         middle = permuted_digits(F.substr(digits, F.lit(2), F.length(digits) - 2), key, "card")
         body = F.concat(F.substring(digits, 1, 1), middle)
-        check = (10 - luhn_sum(F.concat(body, F.lit("0"))) % 10) % 10
-        return F.when(luhn_sum(digits) % 10 == 0, _filled(match, F.concat(body, check.cast("string")))).otherwise(match)
+        return F.concat(body, ((10 - luhn_sum(F.concat(body, F.lit("0"))) % 10) % 10).cast("string"))
+
+    def runs(groups: Column) -> Column:
+        def run(i: Column, j: Column) -> Column:
+            before = F.slice(groups, F.lit(1), i - 1)
+            digits = F.array_join(F.slice(groups, i, j - i + 1), "")
+            return F.struct(
+                F.length(digits).alias("size"), (-i).alias("order"), digits.alias("digits"),
+                (F.length(F.array_join(before, "")) + i - 1).alias("start"),
+                (F.length(digits) + j - i).alias("width"))
+
+        every = F.flatten(F.transform(F.sequence(F.lit(1), F.size(groups)), lambda i: F.transform(
+            F.sequence(i, F.size(groups)), lambda j: run(i, j))))
+        return F.filter(every, lambda r: r["size"].between(13, 19) & ~r["digits"].startswith("0")
+                        & (luhn_sum(r["digits"]) % 10 == 0))
+
+    def replaced(r: Column) -> Column:
+        inside = F.substr(match, r["start"] + 1, r["width"])
+        return F.concat(F.substr(match, F.lit(1), r["start"]), _filled(inside, made(r["digits"])),
+                        F.substr(match, r["start"] + r["width"] + 1))
 
-    return let(_digits_of(match), valid)
+    longest = F.array_max(let(F.split(match, "[ -]"), runs))
+    return let(longest, lambda r: F.when(r.isNotNull(), replaced(r)).otherwise(match))
 
 
 def _iban(match: Column, key: str) -> Column:
@@ -228,7 +279,7 @@ def pseudonymise(
     calendar dates of 1900 to 2099 are permuted within their form by a keyed Feistel network, with
     check digits made anew, so equal values have equal pseudonyms in all documents and different
     ones stay different. E-mail names, access keys and passwords get keyed hashes of their form.
-    What looks like a number or date and is not valid stays. Texts without a match are untouched;
+    Digit groups beside a card number stay. What looks like a number or date and is not valid stays. Texts without a match are untouched;
     null stays null; rows are independent, without shuffle or Python.
     """
     text = F.col(text_col)

@@ -328,6 +328,20 @@ def test_pseudonyms(spark, none, docs):
     assert pii.pseudonymise(none, "k").count() == 0 and pii.pseudonymise(docs, "k").count() == len(edge_rows())
 
 
+def test_numbers_with_other_digits_and_words_behind_them(spark):
+    number, ibans = "4111 1111 1111 1111", ["ES91 2100 0418 4502 0005 1332", "PL61109010140000071219812874"]
+    texts = [f"card {number} 12/27", "4111111111111111 123", f"no 12 {number}", f"{number.replace(' ', '-')}-12 x",
+             f"{ibans[0]} BIC", f"{ibans[1]} 2024", f"{ibans[0]} 4111 1111 1111 1111"]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id int, text string")
+    got = [r.text for r in pii.pseudonymise(df, "k").orderBy("doc_id").collect()]
+    plain = [t.replace(" ", "").replace("-", "") for t in got]
+    assert not any("4111111111111111" in t or i.replace(" ", "") in t for t in plain for i in ibans)
+    assert all(len(a) == len(b) for a, b in zip(got, texts))
+    assert got[0].endswith(" 12/27") and got[1].endswith(" 123") and got[2].startswith("no 12 ") and got[3].endswith("-12 x")
+    assert got[4].endswith(" BIC") and got[5].endswith(" 2024")
+    assert got[0][5:24] == got[2][6:25] == got[6][-19:] and got[0][5:24].replace(" ", "") == got[1][:16]
+
+
 def test_feistel_is_a_permutation_and_turns_back(spark):
     left, right = F.lit(17).cast("bigint"), F.lit(31).cast("bigint")
     df = spark.range(17 * 31).withColumn("y", pii.feistel(F.col("id"), left, right, "k", "t"))
