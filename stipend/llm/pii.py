@@ -112,6 +112,35 @@ def permuted_digits(digits: Column, key: str, tweak: str, back: bool = False) ->
         F.lpad(s["l"].cast("string"), half, "0"), F.lpad(s["r"].cast("string"), size - half, "0")))
 
 
+def permuted_letters(letters: Column, key: str, tweak: str) -> Column:
+    """Another text of as many capital letters; those after the 24th are permuted apart."""
+    def each(part: Column) -> Column:
+        return F.filter(F.split(part, ""), lambda c: c != "")
+
+    def number(part: Column) -> Column:
+        return F.aggregate(each(part), _long(0), lambda n, c: n * 26 + F.ascii(c) - 65)
+
+    def power(part: Column) -> Column:
+        return F.aggregate(each(part), _long(1), lambda n, _: n * 26)
+
+    def text(value: Column, part: Column) -> Column:
+        return F.aggregate(
+            each(part), F.struct(value.alias("n"), F.lit("").alias("out")),
+            lambda s, _: F.struct(
+                _quotient(s["n"], _long(26)).alias("n"),
+                F.concat(F.char(s["n"] % 26 + 65), s["out"]).alias("out")),
+            lambda s: s["out"])
+
+    def permuted(part: Column, of: str) -> Column:
+        half = F.floor(F.length(part) / 2).cast("int")
+        x, y = F.substr(part, F.lit(1), half), F.substr(part, half + 1)
+        halves = _mixed_halves(number(x), number(y), power(x), power(y), key, of)
+        return let(halves, lambda s: F.concat(text(s["l"], x), text(s["r"], y)))
+
+    return F.concat(permuted(F.substring(letters, 1, 24), tweak),
+                    permuted(F.substr(letters, F.lit(25)), f"{tweak}-rest"))
+
+
 def _filled(shape: Column, values: Column, first: str = "0", last: str = "9") -> Column:
     """`shape` with its characters from `first` to `last` replaced by `values`, in order."""
     return F.aggregate(
@@ -174,15 +203,15 @@ def _card(match: Column, key: str) -> Column:
 
 
 def _iban(match: Column, key: str) -> Column:
+    """All digits and all letters of the account part are permuted, each at their places."""
     def valid(text: Column) -> Column:
-        digits = _digits_of(F.substr(text, F.lit(5)))
-        several = F.least(F.length(digits), F.lit(18))
-        mixed = F.concat(
-            permuted_digits(F.substr(digits, F.lit(1), several), key, "iban"), F.substr(digits, several + 1))
-        body = F.concat(F.substring(text, 1, 2), F.lit("00"), _filled(F.substr(text, F.lit(5)), mixed))
+        account = F.substr(text, F.lit(5))
+        digits = permuted_digits(_digits_of(account), key, "iban")
+        letters = permuted_letters(F.regexp_replace(account, "[^A-Z]", ""), key, "iban-letters")
+        body = F.concat(F.substring(text, 1, 2), F.lit("00"), _filled(_filled(account, digits), letters, "A", "Z"))
         check = F.lpad((98 - mod97(body)).cast("string"), 2, "0")
-        return F.when((mod97(text) == 1) & (F.length(digits) > 1),
-                      _filled(match, F.concat(check, mixed))).otherwise(match)
+        whole = _filled(_filled(match, F.concat(check, digits)), F.concat(F.substring(text, 1, 2), letters), "A", "Z")
+        return F.when(mod97(text) == 1, whole).otherwise(match)
 
     return let(F.regexp_replace(match, " ", ""), valid)
 
@@ -279,7 +308,8 @@ def pseudonymise(
     calendar dates of 1900 to 2099 are permuted within their form by a keyed Feistel network, with
     check digits made anew, so equal values have equal pseudonyms in all documents and different
     ones stay different. E-mail names, access keys and passwords get keyed hashes of their form.
-    Digit groups beside a card number stay. What looks like a number or date and is not valid stays. Texts without a match are untouched;
+    All digits and letters of an account number after its check digits change; digit groups beside a
+    card number stay. What looks like a number or date and is not valid stays. Texts without a match are untouched;
     null stays null; rows are independent, without shuffle or Python.
     """
     text = F.col(text_col)

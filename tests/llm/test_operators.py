@@ -342,6 +342,24 @@ def test_numbers_with_other_digits_and_words_behind_them(spark):
     assert got[0][5:24] == got[2][6:25] == got[6][-19:] and got[0][5:24].replace(" ", "") == got[1][:16]
 
 
+def test_whole_account_numbers_change(spark):
+    given = ["ES9121000418450200051332", "PL61109010140000071219812874", "IT60X0542811101000000123456",
+             "MT84MALT011000012345MTLCAST001S", "HU42117730161111101800000000", "GB82WEST12345698765432"]
+    df = spark.createDataFrame(list(enumerate(given)), "doc_id int, text string")
+    changed = [[set() for _ in g] for g in given]
+    for key in range(6):
+        for r in pii.pseudonymise(df, f"k{key}").collect():
+            old = given[r.doc_id]
+            assert len(r.text) == len(old) and r.text[:2] == old[:2] and r.text != old
+            assert int("".join(str(int(c, 36)) for c in r.text[4:] + r.text[:4])) % 97 == 1
+            for n, (x, y) in enumerate(zip(old, r.text)):
+                assert x.isdigit() == y.isdigit()
+                changed[r.doc_id][n].add(y)
+    assert all(len(seen) > 1 for each in changed for seen in each[4:])
+    digits = spark.range(300).select(pii.permuted_digits(F.lpad(F.col("id").cast("string"), 30, "0"), "k", "t").alias("d")).collect()
+    assert len({r.d for r in digits}) == 300 and {len(r.d) for r in digits} == {30}
+
+
 def test_feistel_is_a_permutation_and_turns_back(spark):
     left, right = F.lit(17).cast("bigint"), F.lit(31).cast("bigint")
     df = spark.range(17 * 31).withColumn("y", pii.feistel(F.col("id"), left, right, "k", "t"))
