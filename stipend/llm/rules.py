@@ -65,38 +65,48 @@ def line_key(line: Column) -> Column:
     return F.xxhash64(F.lower(F.trim(F.regexp_replace(line, r"[\x20\x09-\x0D]+", " "))))
 
 
-def quality_rules(
+def quality_rules(docs: DataFrame, *args, **kwargs) -> DataFrame:
+    """The verdicts of `without_frequent_lines` alone: its arguments and columns, but for `text`."""
+    return without_frequent_lines(docs, *args, **kwargs).drop("text")
+
+
+def without_frequent_lines(
     docs: DataFrame, max_docs_per_line: int = MAX_DOCS_PER_LINE,
     max_lost_percent: int = MAX_LOST_PERCENT, id_col: str = "doc_id",
     text_col: str = "text", source_col: str = "source",
 ) -> DataFrame:
-    """Verdict on every row of `docs`: `doc_id`, the counts, `base_failed`, `lost_words`, `kept`.
+    """Every row of `docs`: `doc_id`, the counts, `base_failed`, `lost_words`, `kept` and the `text` that
+    is left without the lines its host repeats; the counts but `lost_words` are those of the whole text.
 
     Lines are split at line feeds and compared in lower case with single spaces. A line that more
-    than `max_docs_per_line` distinct documents of one host hold is removed there; texts that are
+    than `max_docs_per_line` distinct documents of one host hold is removed there from all of them; texts that are
     equal count as one document, so copies do not condemn each other. A document that loses more
     than `max_lost_percent` of its words, or has fewer than MIN_WORDS left of them, is rejected, and
     so is one that fails the base rules (too short, too repetitive). A null text has no words and
     fails; a null host is a host; repeated rows each get a row; other columns are not read.
 
-    The counts are expressions over one row. The line table is narrow: a hash per distinct line of a
+    A null text stays null, blank lines stay. The counts are expressions over one row. The line table is narrow: a hash per distinct line of a
     text, combined in each task, so hot hosts and hot lines shuffle no more than one row per task and
     line. Every row keeps its own number, written once, so repeated ids stay apart.
     """
     text = F.coalesce(F.col(text_col), F.lit(""))
     rows = docs.select(
-        F.col(id_col).alias("doc_id"), F.col(source_col).alias("host"), text.alias("text")
-    ).select("doc_id", "host", "text", F.regexp_extract_all("text", F.lit(WORD), F.lit(0)).alias("words"))
+        F.col(id_col).alias("doc_id"), F.col(source_col).alias("host"), text.alias("text"),
+        F.col(text_col).alias("given")
+    ).select("doc_id", "host", "text", "given", F.regexp_extract_all("text", F.lit(WORD), F.lit(0)).alias("words"))
     full = F.filter(F.split("text", "\n"), lambda x: F.length(F.translate(x, _SPACES, "")) > 0)
+    numbered = F.filter(
+        F.transform(F.split("text", "\n"), lambda x, n: F.struct(x.alias("x"), n.alias("n"))),
+        lambda e: F.length(F.translate(e["x"], _SPACES, "")) > 0)
     counted = rows.select(
-        "doc_id", "host", F.xxhash64("text").alias("body"),
+        "doc_id", "host", "given", F.xxhash64("text").alias("body"),
         F.size("words").cast("bigint").alias("n_words"),
         F.length(F.translate("text", _SPACES, "")).cast("bigint").alias("word_chars"),
         F.regexp_count("text", F.lit(_SYMBOLS)).cast("bigint").alias("n_symbols"),
         let(full, lambda x: F.size(x) - F.size(F.array_distinct(x))).cast("bigint").alias("n_dup_lines"),
         repeated_words(F.col("words")).alias("n_repeat_words"),
-        F.transform(full, lambda x: F.struct(
-            line_key(x).alias("line"), F.regexp_count(x, F.lit(WORD)).alias("words"))).alias("lines"),
+        F.transform(numbered, lambda e: F.struct(
+            line_key(e["x"]).alias("line"), e["n"].alias("line_no"))).alias("lines"),
     ).withColumn("row", F.monotonically_increasing_id())
     counted = stage(counted, "counted")
 
@@ -110,15 +120,24 @@ def quality_rules(
     )
     lost = lines.join(
         frequent, F.col("host").eqNullSafe(F.col("_h")) & (F.col("line") == F.col("_l")), "left_semi"
-    ).groupBy("row").agg(F.sum("words").cast("bigint").alias("lost_words"))
+    ).groupBy("row").agg(F.collect_list("line_no").alias("gone"))
+    whole = F.split("given", "\n")
+    left = F.transform(
+        F.array_except(F.sequence(F.lit(0), F.size(whole) - 1), F.col("gone")), lambda n: F.get(F.col("whole"), n))
+    cleaned = counted.drop("lines").join(lost, "row", "left").withColumn(
+        "whole", F.when(F.col("gone").isNotNull(), whole)
+    ).withColumn("text", F.when(F.col("gone").isNull(), F.col("given")).otherwise(F.array_join(left, "\n")))
 
     failed = (F.col("n_words") < MIN_WORDS) | (
         100 * F.col("n_repeat_words") > MAX_REPEAT_PERCENT * F.col("n_words"))
-    lost_words = F.coalesce(F.col("lost_words"), F.lit(0).cast("bigint"))
+    lost_words = F.when(
+        F.col("gone").isNotNull(), F.col("n_words") - F.regexp_count("text", F.lit(WORD))
+    ).otherwise(0).cast("bigint")
     depleted = (lost_words > 0) & (
         (100 * lost_words > max_lost_percent * F.col("n_words"))
         | (F.col("n_words") - lost_words < MIN_WORDS))
-    return counted.drop("lines").join(lost, "row", "left").select(
+    return cleaned.select(
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
         failed.alias("base_failed"), (~failed & ~depleted).alias("kept"), lost_words.alias("lost_words"),
+        "text",
     )

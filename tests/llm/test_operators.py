@@ -485,3 +485,14 @@ def test_shared_lines_deplete(spark):
     rows = [(n, common + "\n" + prose(25, 200 + n), "s") for n in range(12)] + [(50, common, "s"), (60, common, "t"), (70, prose(50, 5), "s")]
     got = {r.doc_id: r for r in rules.quality_rules(spark.createDataFrame(rows, "doc_id bigint, text string, source string")).collect()}
     assert not got[0].kept and not got[50].kept and got[60].kept and got[70].kept and got[0].lost_words == 40
+
+
+def test_frequent_lines_leave_the_text(spark):
+    common = prose(5, 78)
+    own = [prose(30, 300 + n) + "\n\n" + prose(20, 400 + n) for n in range(12)]
+    rows = [(n, f"{common}\n{t}\n {common.upper()} ", "s") for n, t in enumerate(own)]
+    rows += [(50, common, "s"), (60, common, "t"), (70, None, "s"), (80, "\n", "s")]
+    df = spark.createDataFrame(rows, "doc_id bigint, text string, source string")
+    got = {r.doc_id: r for r in rules.without_frequent_lines(df).collect()}
+    assert [got[n].text for n in range(12)] == own and all(got[n].kept and got[n].lost_words == 10 for n in range(12))
+    assert got[50].text == "" and got[60].text == common and got[70].text is None and got[80].text == "\n"
