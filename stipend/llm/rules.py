@@ -5,6 +5,7 @@ from functools import partial
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from stipend.llm.sizes import broadcast_up_to
 from stipend.shared import stage
 
 WORD = r"[^\x20\x09-\x0D]+"
@@ -18,6 +19,9 @@ MAX_REPEAT_PERCENT = 30
 #: A line in more distinct documents of a host than this is removed.
 MAX_DOCS_PER_LINE = 10
 
+#: Rows with lines to remove that may be broadcast, as row and line numbers, so that texts stay in place.
+BROADCAST_ROWS = 1_000_000
+
 #: A document that loses more than this share of its words to removed lines is rejected.
 MAX_LOST_PERCENT = 50
 
@@ -124,7 +128,9 @@ def without_frequent_lines(
     whole = F.split("given", "\n")
     left = F.transform(
         F.array_except(F.sequence(F.lit(0), F.size(whole) - 1), F.col("gone")), lambda n: F.get(F.col("whole"), n))
-    cleaned = counted.drop("lines").join(lost, "row", "left").withColumn(
+    cleaned = counted.drop("lines").join(
+        broadcast_up_to(stage(lost, "lost"), BROADCAST_ROWS), "row", "left"
+    ).withColumn(
         "whole", F.when(F.col("gone").isNotNull(), whole)
     ).withColumn("text", F.when(F.col("gone").isNull(), F.col("given")).otherwise(F.array_join(left, "\n")))
 
