@@ -10,7 +10,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import stipend
-from stipend.llm import langid, lines, mixing, packing, pii, quality, rules, simhash, topk, urls
+from stipend.llm import (
+    langid, lexical, lines, minhash, mixing, packing, pii, quality, rules, simhash, spelling, topk, urls,
+)
 
 #: Rank file of the vocabulary of byte_bpe_50k.json.
 VOCABULARY = public_tokenizers.path("byte_bpe_50k.tiktoken")
@@ -20,6 +22,9 @@ PSEUDONYM_KEY = "registered-query"
 
 SHINGLE_WORDS, MAX_DISTANCE = 3, 3
 
+#: The registered query takes a letter from one in so many words of a document.
+TYPO_EVERY = 97
+
 _shipped: set[str] = set()
 
 
@@ -88,12 +93,24 @@ def op10_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
     return rules.quality_rules(table(spark, folder, "documents"))
 
 
+def op11_lexical_search(spark: SparkSession, folder: str) -> DataFrame:
+    return lexical.search(table(spark, folder, "documents"), table(spark, folder, "benchmark"), 20)
+
+
+def op12_spelling_forms(spark: SparkSession, folder: str) -> DataFrame:
+    return spelling.spelling_forms(spelling.word_counts(table(spark, folder, "documents"), TYPO_EVERY))
+
+
+def op13_minhash_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return minhash.near_duplicate_groups(table(spark, folder, "documents"), words=2)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
         op1_simhash_dedup, op2_language_id, op3_exact_topk, op4_url_filter, op5_line_dedup,
         op6_quality_classifier, op7_pii_pseudonyms, op8_best_fit_packing, op9_mixing,
-        op10_quality_rules,
+        op10_quality_rules, op11_lexical_search, op12_spelling_forms, op13_minhash_dedup,
     )
 }
 
@@ -195,3 +212,147 @@ select doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base
        lost_words
 from judged
 """
+
+SQL["op11_lexical_search"] = r"""
+with docs as (
+    select row_number() over () as r, doc_id, list_transform(
+        regexp_extract_all(coalesce(text, ''), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+'),
+        lambda t: translate(t, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')) as terms
+    from documents
+),
+items as (
+    select row_number() over () as i, item_id, unnest(list_transform(
+        regexp_extract_all(coalesce(text, ''), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+'),
+        lambda t: translate(t, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'))) as term
+    from benchmark
+),
+wanted as (select i, item_id, term, cast(count(*) as bigint) as times from items group by all),
+total as (
+    select cast(count(*) filter (len(terms) > 0) as bigint) as nn, cast(sum(len(terms)) as bigint) as ll from docs
+),
+tf as (
+    select r, doc_id, term, cast(count(*) as bigint) as tf, cast(any_value(size) as bigint) as n
+    from (select r, doc_id, len(terms) as size, unnest(terms) as term from docs)
+    where term in (select term from wanted)
+    group by r, doc_id, term
+),
+weights as (
+    select term, cast(floor(1000 * ln((2 * any_value(nn) + 2) / (2 * count(*) + 1))) as bigint) as w
+    from tf, total group by term
+),
+scored as (
+    select i, any_value(item_id) as item_id, r, any_value(doc_id) as doc_id, cast(sum(
+        times * w * ((1000000000 * tf) // (1000 * tf + 12 * (100 - 25 + (25 * n * nn) // ll)))) as bigint) as score
+    from wanted join tf using (term) join weights using (term), total
+    group by i, r
+)
+select item_id, cast(row_number() over (partition by i order by score desc, doc_id) as integer) as "rank", doc_id, score
+from scored where score > 0
+qualify row_number() over (partition by i order by score desc, doc_id) <= 20
+"""
+
+SQL["op12_spelling_forms"] = r"""
+with recursive crc_table as (
+    select list(c order by b) as t from (
+        select b, list_reduce(list_prepend(cast(b as bigint), [cast(k as bigint) for k in range(8)]),
+            lambda c, k: case when c & 1 = 1 then xor(c >> 1, 3988292384) else c >> 1 end) as c
+        from range(256) r(b))
+),
+runs as (
+    select doc_id, run, count(*) as n from (
+        select doc_id, translate(unnest(regexp_extract_all(text, '[A-Za-z\x{C0}-\x{FF}]+')),
+            'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') as run
+        from documents)
+    group by all
+),
+hashed as (
+    select run, n, xor(list_reduce(
+        list_prepend(4294967295, flatten(list_transform(string_split(doc_id || ':' || run, ''),
+            lambda c: case when unicode(c) < 128 then [cast(unicode(c) as bigint)]
+                           else [cast(195 as bigint), cast(unicode(c) - 64 as bigint)] end))),
+        lambda c, b: xor(c >> 8, t[(xor(c, b) & 255) + 1])), 4294967295) as h
+    from runs, crc_table
+),
+words as (
+    select word, cast(sum(n) as bigint) as n from (
+        select n, case when h % 97 = 0
+            then substring(run, 1, cast(h % length(run) as bigint)) || substring(run, cast(h % length(run) as bigint) + 2)
+            else run end as word
+        from hashed)
+    group by word having length(word) >= 5 and sum(n) >= 3
+),
+cut as (
+    select word, n, i, substring(word, 1, i - 1) || substring(word, i + 1) as rest
+    from (select word, n, unnest(range(1, length(word) + 1)) as i from words)
+),
+near as (
+    select distinct * from (
+        select a.word as word, a.n as n, b.word as other, b.n as n_other
+        from cut a join cut b on a.i = b.i and a.rest = b.rest and a.word <> b.word
+        union all
+        select a.word, a.n, b.word, b.n from cut a join words b on a.rest = b.word
+        union all
+        select b.word, b.n, a.word, a.n from cut a join words b on a.rest = b.word)
+),
+best as (
+    select word, any_value(n) as n, count(*) as n_near,
+           first(other order by n_other desc, other) as other, max(n_other) as n_other
+    from near group by word
+),
+formed as (
+    select w.word, w.n, coalesce(n_near, 0) as n_near,
+           case when n_other >= 2 * w.n then other end as form, case when n_other >= 2 * w.n then n_other end as form_n
+    from words w left join best using (word)
+),
+chain as (
+    select word, word as last from formed
+    union all
+    select chain.word, form from chain join formed on chain.last = formed.word where form is not null
+),
+roots as (
+    select chain.word, last as root from chain join formed f on chain.last = f.word where form is null
+)
+select word, form, root, n, cast(n_near as bigint) as n_near, cast(form_n as bigint) as form_n
+from formed join roots using (word)
+"""
+
+SQL["op13_minhash_dedup"] = r"""
+with recursive docs as (
+    select row_number() over () as r, doc_id, regexp_extract_all(
+        translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') as w
+    from documents
+),
+sets as (
+    select r, doc_id, list_sort(list_distinct(case when len(w) < 2 then w else list_transform(
+        range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1]) end)) as s
+    from docs
+),
+nodes as (select min(r) as node, min(doc_id) as least_id, s, len(s) as n from sets where len(s) > 0 group by s),
+held as (select node, n, unnest(s) as h from nodes),
+often as (select h, count(*) as times from held group by h),
+firsts as (
+    select node, n, h from held join often using (h)
+    qualify row_number() over (partition by node order by times, h) <= n - (80 * n + 99) // 100 + 1
+),
+pairs as (
+    select distinct a.node as a, b.node as b from firsts a join firsts b using (h)
+    where a.node < b.node and 100 * least(a.n, b.n) >= 80 * greatest(a.n, b.n)
+),
+links as (
+    select a, b from (
+        select a, b, len(list_intersect(x.s, y.s)) as c, x.n + y.n as sizes
+        from pairs join nodes x on a = x.node join nodes y on b = y.node)
+    where 100 * c >= 80 * (sizes - c)
+),
+edges as (select a, b from links union select b, a from links),
+reached as (
+    select node as a, node as b from nodes
+    union
+    select r.a, e.b from reached r join edges e on r.b = e.a
+),
+components as (select a as node, min(least_id) as component_id from reached join nodes on b = node group by a)
+select doc_id, cast(len(s) as bigint) as n_shingles,
+       case when len(s) > 0 then component_id else doc_id end as component_id,
+       len(s) = 0 or coalesce(doc_id = component_id, false) as kept
+from sets left join nodes using (s) left join components using (node)
+"""

@@ -11,7 +11,7 @@ from stipend.llm import queries
 
 FOLDER = "/root/testdata/sf0.001"
 LARGER = "/root/testdata/sf0.01"
-TABLES = ("documents", "embeddings", "pages", "labels")
+TABLES = ("documents", "embeddings", "pages", "labels", "benchmark")
 
 
 @pytest.mark.parametrize("name", queries.SQL)
@@ -26,7 +26,7 @@ def test_query_equals_sql(spark, name):
 
 
 def test_all_are_registered():
-    assert {n.split("_")[0] for n in __spark_entry__.queries() if n.startswith("op")} >= {f"op{n}" for n in range(1, 11)}
+    assert {n.split("_")[0] for n in __spark_entry__.queries() if n.startswith("op")} >= {f"op{n}" for n in range(1, 14)}
     assert "pipeline" in __spark_entry__.queries()
 
 
