@@ -4,23 +4,25 @@ Dates are returned as ISO text and money as double, so that results compare acro
 """
 
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from checks.derived import Tables
+from stipend import fixed_values as fixed
 from stipend.functions.amounts import int_trunc, money_text, to_decimal
 from stipend.functions.codes import area_default
 from stipend.functions.dates import (
     as_date, clip_end, clip_start, days_in_month, days_inclusive, iso_date, month_start, proration,
     shift_months,
 )
-from stipend.operators import joins, latest, lookups, numbering
+from stipend.operators import joins, latest, lookups, numbering, pages
 from stipend.operators.recode import recode
 from stipend.plans import incentive, publish, recoding, snapshots
 from stipend.shared import own_folder
-from stipend.sinks.delimited import export_batches, export_table
+from stipend.sinks.delimited import export_batches, export_table, move_file
 from stipend.sinks.tables import refresh_tables
 from stipend.sources.tables import load_csv, load_text_csv
 
@@ -175,14 +177,14 @@ def _read_back(t: Tables, folder: str, sep: str) -> DataFrame:
 def _exported_files(t: Tables) -> DataFrame:
     out = own_folder(t.spark, "exported")
     export_batches(numbering.assign_batches(t.items(), ITEM_KEY, 8000), out, "items")
-    return _read_back(t, out, ";")
+    return _read_back(t, f"{out}/items", ";")
 
 
 def _published_files(t: Tables) -> DataFrame:
     out = own_folder(t.spark, "published")
     profile = publish.PROFILES["it15"]
     publish.publish_latest_batch(t.spark, t.pay_records(), profile, out)
-    return _read_back(t, out, profile.sep)
+    return _read_back(t, f"{out}/{profile.prefix}", profile.sep)
 
 
 def _recoded_file(t: Tables) -> DataFrame:
@@ -191,15 +193,56 @@ def _recoded_file(t: Tables) -> DataFrame:
     return load_text_csv(t.spark, recoding.recode_file(t.spark, source, pairs=SEGMENTS))
 
 
-def _published_profiles(t: Tables) -> DataFrame:
-    """The shipped profiles, unchanged, over records whose priorities stand for wage types."""
+def _wage_records(t: Tables) -> DataFrame:
+    """Records whose priorities stand for wage types of the shipped profiles."""
     wage_type = F.get(F.array(*map(F.lit, WAGE_TYPES)), F.substring("LGART", 1, 1).cast("int") - 1)
-    records = t.pay_records().withColumn("LGART", wage_type)
+    return t.pay_records().withColumn("LGART", wage_type)
+
+
+def _published_profiles(t: Tables) -> DataFrame:
+    """The manifests of the shipped profiles, unchanged."""
     out = own_folder(t.spark, "profiles")
-    manifests = publish.publish_profiles(t.spark, records, publish.PROFILES.values(), out)
+    manifests = publish.publish_profiles(t.spark, _wage_records(t), publish.PROFILES.values(), out)
     return manifests.select("profile", "batch_no", "rows", "first_PERNR", "last_PERNR", "file")
 
 
+def _published_profile_rows(t: Tables) -> DataFrame:
+    """The rows of the files that the shipped profiles publish, read back."""
+    out = own_folder(t.spark, "profiles")
+    manifests = publish.publish_profiles(t.spark, _wage_records(t), publish.PROFILES.values(), out)
+    rows = []
+    for name in sorted(r.profile for r in manifests.select("profile").distinct().collect()):
+        profile = publish.PROFILES[name]
+        read = _read_back(t, f"{out}/{name}/{profile.prefix}", profile.sep)
+        rows.append(read.withColumn("profile", F.lit(name)))
+    return reduce(DataFrame.unionByName, rows)
+
+
+def _recoded_names(t: Tables) -> DataFrame:
+    """All customers with the names that the shipped dictionary replaces, and notes over two lines."""
+    source = f"{own_folder(t.spark, 'named')}/customer.csv"
+    old = [pair[0] for pair in fixed.PLACE_NAMES + fixed.DIVISION_NAMES]
+    name = F.get(F.array(*map(F.lit, old)), (F.col("c_custkey") % (len(old) + 1)).cast("int"))
+    note = F.concat(F.lit('said "'), "c_mktsegment", F.lit('",\n'), F.col("c_custkey").cast("string"), F.lit("\n"))
+    export_table(t.customer.select("c_custkey", name.alias("name"), note.alias("note")), source)
+    return load_text_csv(t.spark, recoding.recode_file(t.spark, source))
+
+
+def _typed_csv_breaks(t: Tables) -> DataFrame:
+    out = own_folder(t.spark, "broken")
+    note = F.concat("o_orderpriority", F.lit("\n5,"), "o_orderstatus", F.lit('"\n'))
+    rows = t.orders.select("o_orderkey", note.alias("note"), "o_totalprice")
+    export_table(rows, out)
+    return load_csv(t.spark, out, rows.schema)
+
+
+def _kept_pages(t: Tables) -> DataFrame:
+    """Two far pages of all line items from one index."""
+    items = t.lineitem.withColumn("l_shipdate", F.col("l_shipdate").cast("date"))
+    index = pages.build_page_index(items, ITEM_KEY, own_folder(t.spark, "pages"))
+    return index.page(3000, 2500).unionByName(index.page(index.rows - 700, 1000))
+
+
 def _typed_csv(t: Tables) -> DataFrame:
     out = own_folder(t.spark, "typed")
     export_table(t.orders, out)
@@ -214,14 +257,15 @@ def _refreshed_tables(t: Tables) -> DataFrame:
 
 
 def _published_snapshot(t: Tables) -> DataFrame:
-    """Counts of the orders, published as the newest file of a family that also has an older one."""
-    source, out = own_folder(t.spark, "families"), own_folder(t.spark, "snapshots")
-    total = t.orders.groupBy("o_orderpriority", "o_orderstatus").agg(F.count("*").alias("orders"))
-    for part, rows in (("orders-first", t.region), ("orders-second", total)):
+    """All orders, published as the newest file of a family that also has an older one."""
+    made, source, out = (own_folder(t.spark, name) for name in ("made", "families", "snapshots"))
+    for part, rows in (("orders-first", t.region), ("orders-second", t.orders)):
         whole = rows.withColumns({"row_no": F.lit(1), "batch_no": F.lit(1)})
-        export_batches(whole, source, part)
+        export_batches(whole.withMetadata("batch_no", {"batches": 1}), made, part)
+        move_file(t.spark, f"{made}/{part}/{part}-1.txt", f"{source}/{part}.txt")
     snapshots.publish_newest(t.spark, source, out, ["orders", "absent"])
-    return load_text_csv(t.spark, f"{out}/orders.csv", ";")
+    read = load_csv(t.spark, f"{out}/orders.csv", t.orders.schema, ";")
+    return read.withColumn("o_orderdate", F.col("o_orderdate").cast("date"))
 
 
 _BUILDERS: dict[str, Callable[[Tables], DataFrame]] = {
@@ -314,6 +358,10 @@ _BUILDERS: dict[str, Callable[[Tables], DataFrame]] = {
     ),
     "newest_snapshot": _newest_snapshot,
     "published_profiles": _published_profiles,
+    "published_profile_rows": _published_profile_rows,
+    "recoded_names": _recoded_names,
+    "typed_csv_breaks": _typed_csv_breaks,
+    "kept_pages": _kept_pages,
     "typed_csv": _typed_csv,
     "refreshed_tables": _refreshed_tables,
     "published_snapshot": _published_snapshot,

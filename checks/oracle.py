@@ -276,6 +276,22 @@ _RECORD_IN_FILE = (
     'nullif("ZUTIME", \'\') AS "ZUTIME", nullif("ZUPROC", \'\') AS "ZUPROC", '
     'nullif("ZDESCST", \'\') AS "ZDESCST", "ZINFOTIPO"'
 )
+_TWO_DECIMALS = 'printf(\'%.2f\', CAST("ANZHL" AS DOUBLE)) AS "ANZHL"'
+_PROFILE_ROWS = """
+SELECT {cells}, '{name}' AS profile,
+  '{prefix}-' || CAST((row_no - 1) // {size} + 1 AS VARCHAR) || '.{ext}' AS file
+FROM (SELECT *, row_number() OVER (ORDER BY "PERNR", "LGART", "BEGDA", "ANZHL", "PTZEINH", "BETRG",
+  "WAERS", "ESTDT", "ZUORD") AS row_no FROM ({newest}))
+"""
+_NAMES = fixed.PLACE_NAMES + fixed.DIVISION_NAMES
+_OLD_NAMES = "[" + ", ".join(f"'{old}'" for old, _ in _NAMES) + "]"
+
+
+def _renamed() -> str:
+    """The new name of each old one; no new name is an old one."""
+    return "CASE name " + " ".join(f"WHEN '{old}' THEN '{new}'" for old, new in _NAMES) + " ELSE name END"
+
+
 _RECODED = """
 SELECT CAST(c_custkey AS VARCHAR) AS c_custkey, c_name, CAST(c_nationkey AS VARCHAR) AS c_nationkey,
   CAST(c_acctbal AS VARCHAR) AS c_acctbal,
@@ -463,12 +479,33 @@ WHERE strftime(ts, '%Y-%m-%d %H') = (SELECT max(strftime(n.ts, '%Y-%m-%d %H')) F
         _PROFILE.format(name=name, size=size, prefix=prefix, ext=ext,
                         newest=_latest("wage_records", category, strict))
         for name, category, strict, size, _, _, prefix, ext in fixed.PROFILES),
+    "published_profile_rows": "UNION ALL".join(
+        _PROFILE_ROWS.format(
+            name=name, size=size, prefix=prefix, ext=ext, newest=_latest("wage_records", category, strict),
+            cells=_RECORD_IN_FILE if formatted else _RECORD_IN_FILE.replace(_TWO_DECIMALS, '"ANZHL"'))
+        for name, category, strict, size, _, formatted, prefix, ext in fixed.PROFILES),
+    "recoded_names": f"""
+SELECT CAST(c_custkey AS VARCHAR) AS c_custkey, {_renamed()} AS name,
+  'said "' || c_mktsegment || '",' || chr(10) || CAST(c_custkey AS VARCHAR) || chr(10) AS note
+FROM (SELECT *, ({_OLD_NAMES})[c_custkey % {len(_NAMES) + 1} + 1] AS name FROM customer)
+""".strip(),
+    "typed_csv_breaks": """
+SELECT o_orderkey, o_orderpriority || chr(10) || '5,' || o_orderstatus || '"' || chr(10) AS note, o_totalprice
+FROM orders
+""".strip(),
+    "kept_pages": f"""
+SELECT {_ITEM}, l_discount, l_tax, l_returnflag, l_linestatus, {_iso("l_shipdate")}, row_no
+FROM (SELECT *, row_number() OVER (
+  ORDER BY {_ITEM}, l_discount, l_tax, l_returnflag, l_linestatus, l_shipdate) AS row_no FROM lineitem)
+WHERE row_no BETWEEN 3001 AND 5500 OR row_no > (SELECT count(*) FROM lineitem) - 700
+""".strip(),
     "typed_csv": f"""
 SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice, {_iso("o_orderdate")}, o_orderpriority
 FROM orders
 """.strip(),
     "refreshed_tables": "SELECT * FROM customer",
-    "published_snapshot": """
-SELECT o_orderpriority, o_orderstatus, CAST(count(*) AS VARCHAR) AS orders FROM orders GROUP BY ALL
+    "published_snapshot": f"""
+SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice, {_iso("o_orderdate")}, o_orderpriority
+FROM orders
 """.strip(),
 }

@@ -1,10 +1,17 @@
 """Delimited text with a header: quotes only where needed, doubled inside, null as empty."""
 
-import re
 import uuid
-from concurrent.futures import ThreadPoolExecutor
+from collections.abc import Callable, Iterator, Sequence
+from dataclasses import dataclass
+from itertools import accumulate
+from urllib.parse import quote, urlsplit
 
-from pyspark.sql import DataFrame, SparkSession
+import pyarrow as pa
+from pyarrow import fs as arrow_fs
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from stipend.operators.numbering import one_of
 
 _FORMAT = {
     "header": True,
@@ -13,15 +20,12 @@ _FORMAT = {
     "emptyValue": "",
     "ignoreLeadingWhiteSpace": False,
     "ignoreTrailingWhiteSpace": False,
-    # One file per task and batch, whatever the session says.
-    "maxRecordsPerFile": 0,
 }
-_RENAMES_AT_ONCE = 16
 
 
 def write_delimited(df: DataFrame, path: str, sep: str = ",") -> None:
     """Write `df` as a folder of delimited files, replacing what is there."""
-    df.write.mode("overwrite").options(sep=sep, **_FORMAT).csv(path)
+    df.write.mode("overwrite").options(sep=sep, maxRecordsPerFile=0, **_FORMAT).csv(path)
 
 
 def export_table(df: DataFrame, path: str) -> None:
@@ -29,73 +33,195 @@ def export_table(df: DataFrame, path: str) -> None:
     write_delimited(df, path, ",")
 
 
+@dataclass(frozen=True)
+class FileSet:
+    """The files `<folder>/<prefix>/<prefix>-<batch_no>.<ext>`, which are replaced together."""
+
+    folder: str
+    prefix: str
+    ext: str = "txt"
+    sep: str = ";"
+
+    @property
+    def path(self) -> str:
+        return f"{self.folder.rstrip('/')}/{self.prefix}"
+
+    @property
+    def replaced(self) -> str:
+        """Where the files of the earlier run are while those of the new one take their place."""
+        return f"{self.folder.rstrip('/')}/_{self.prefix}-replaced"
+
+
+def csv_line(columns: Sequence[Column], sep: str) -> Column:
+    """A row as the text that `write_delimited` writes."""
+    return F.to_csv(F.struct(*columns), {k: str(v).lower() for k, v in _FORMAT.items()} | {"sep": sep})
+
+
 def export_batches(
     batched: DataFrame, folder: str, prefix: str, ext: str = "txt", sep: str = ";"
 ) -> int:
-    """Write every batch as `<folder>/<prefix>-<batch_no>.<ext>` and return how many there are.
+    """Write every batch as `<folder>/<prefix>/<prefix>-<batch_no>.<ext>`; return how many there are.
 
-    `batched` comes from `assign_batches`; its two numbering columns are not written. A batch is
-    bounded, so each is written whole by one task, and many by many tasks. Files of an earlier run
-    with the same prefix are replaced, also those beyond the new number of batches; they are put
-    aside first and come back if any of the new files cannot be put in place.
+    `batched` comes from `assign_batches`; its two numbering columns are not written. The folder
+    `<folder>/<prefix>` is replaced as a whole: see `export_file_sets`.
     """
-    spark = batched.sparkSession
     columns = [c for c in batched.columns if c not in ("batch_no", "row_no")]
-    fs, root = _file_system(spark, folder)
-    parts = root.suffix(f"/_{prefix}-parts")
-    (
-        batched.repartition("batch_no")
-        .sortWithinPartitions("batch_no", "row_no")
-        .select("batch_no", *columns)
-        .write.mode("overwrite")
-        .partitionBy("batch_no")
-        .options(sep=sep, **_FORMAT)
-        .csv(parts.toString())
-    )
-
-    own = re.compile(re.escape(prefix) + r"-\d+\." + re.escape(ext))
-    old = [
-        s.getPath() for s in fs.listStatus(root) if s.isFile() and own.fullmatch(s.getPath().getName())
-    ]
-    batches = [s.getPath() for s in fs.listStatus(parts) if s.isDirectory()]
-    aside = root.suffix(f"/_{prefix}-replaced-{uuid.uuid4().hex}")
-    fs.mkdirs(aside)
-    done = []
-
-    def put_aside(path):
-        _rename(fs, path, aside.suffix(f"/{path.getName()}"), done)
-
-    def put_in_place(batch_dir):
-        number = batch_dir.getName().partition("=")[2]
-        (part,) = [
-            s.getPath() for s in fs.listStatus(batch_dir)
-            if s.getPath().getName().startswith("part-")
-        ]
-        _rename(fs, part, root.suffix(f"/{prefix}-{number}.{ext}"), done)
-
+    batches = batched.schema["batch_no"].metadata["batches"]
+    lines = batched.select(
+        F.lit(0).alias("set_no"), "batch_no", "row_no",
+        csv_line([F.col(f"`{c}`") for c in columns], sep).alias("line"))
+    export_file_sets(lines, [FileSet(folder, prefix, ext, sep)], [batches], columns)
+    return batches
+
+
+def export_file_sets(
+    lines: DataFrame, sets: Sequence[FileSet], batches: Sequence[int], columns: Sequence[str]
+) -> None:
+    """Write `lines` (`set_no`, `batch_no`, `row_no`, `line`) as the files of several sets, the n-th of
+    `batches[n]` files, each with the header `columns`.
+
+    One shuffle sends each batch whole to one task, and neighbouring batches to the same, by their
+    numbers and not by a hash, so that tasks are even. Tasks name their files themselves, in a new
+    folder: a file is written beside its name and then moved there, so an attempt that is lost or
+    runs twice leaves one whole file. Only if all are there, the new folder takes the place of the
+    old one, by two renames per set however many files it has. A driver that is killed at any point
+    leaves one whole set: the old one in place or, between the renames, in `FileSet.replaced`, from
+    where `recover` and the next export bring it back. A set without batches ends without a folder.
+    """
+    spark = lines.sparkSession
+    for one in sets:
+        recover(spark, one)
+    version = uuid.uuid4().hex
+    new = [f"{one.folder.rstrip('/')}/_{one.prefix}-new-{version}" for one in sets]
+    total = sum(batches)
     try:
-        with ThreadPoolExecutor(_RENAMES_AT_ONCE) as pool:
-            list(pool.map(put_aside, old))
-        with ThreadPoolExecutor(_RENAMES_AT_ONCE) as pool:
-            list(pool.map(put_in_place, batches))
+        if total:
+            tasks = min(total, int(spark.conf.get("spark.sql.shuffle.partitions")))
+            index = one_of([0, *accumulate(batches)], F.col("set_no")) + F.col("batch_no") - 1
+            written = (
+                lines.repartitionById(tasks, F.floor(index * tasks / total).cast("int"))
+                .sortWithinPartitions("set_no", "batch_no", "row_no")
+                .select("set_no", "batch_no", "line")
+                .mapInArrow(_writer(spark, sets, new, columns), "files bigint")
+            ).agg(F.sum("files")).first()[0]
+            if written != total:
+                raise RuntimeError(f"{written} files were written instead of {total}")
+        for one, path, files in zip(sets, new, batches):
+            _replace(spark, one, path if files else None)
     except Exception:
-        # Back to the files of the earlier run; what cannot be moved back stays aside.
-        if all([fs.rename(target, source) for source, target in reversed(done)]):
-            fs.delete(aside, True)
+        for path in new:
+            _delete(spark, path)
         raise
-    fs.delete(parts, True)
-    fs.delete(aside, True)
-    return len(batches)
 
 
-def _rename(fs, source, target, done: list) -> None:
-    if not fs.rename(source, target):
+def recover(spark: SparkSession, one: FileSet) -> None:
+    """Bring back the files of a set whose replacement was cut off between its two renames."""
+    if _exists(spark, one.replaced):
+        if _exists(spark, one.path):
+            _delete(spark, one.replaced)
+        else:
+            _rename(spark, one.replaced, one.path)
+
+
+def _replace(spark: SparkSession, one: FileSet, new: str | None) -> None:
+    if _exists(spark, one.path):
+        _rename(spark, one.path, one.replaced)
+    if new:
+        _rename(spark, new, one.path)
+    _delete(spark, one.replaced)
+
+
+def _writer(
+    spark: SparkSession, sets: Sequence[FileSet], folders: Sequence[str], columns: Sequence[str]
+) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """Writes sorted lines, one file after the other, in an executor; counts the files."""
+    headers = {
+        sep: spark.range(1).select(csv_line([F.lit(c).alias(f"_{n}") for n, c in enumerate(columns)], sep)).first()[0]
+        for sep in {one.sep for one in sets}
+    }
+    targets = [
+        (_qualified(spark, path), one.prefix, one.ext, headers[one.sep]) for one, path in zip(sets, folders)
+    ]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        files, current, out = 0, None, None
+        for batch in batches:
+            set_nos, numbers = batch["set_no"].to_pylist(), batch["batch_no"].to_pylist()
+            texts = batch["line"].to_pylist()
+            first = 0
+            while first < len(texts):
+                key, end = (set_nos[first], numbers[first]), first + 1
+                while end < len(texts) and (set_nos[end], numbers[end]) == key:
+                    end += 1
+                if key != current:
+                    if out:
+                        out.close()
+                    folder, prefix, ext, header = targets[key[0]]
+                    out, current = _File(folder, f"{prefix}-{key[1]}.{ext}", header), key
+                    files += 1
+                out.write(texts[first:end])
+                first = end
+        if out:
+            out.close()
+        yield pa.RecordBatch.from_arrays([pa.array([files], pa.int64())], ["files"])
+
+    return run
+
+
+class _File:
+    """A text file that appears under its name when it is closed."""
+
+    def __init__(self, folder: str, name: str, header: str):
+        self.fs, root = _arrow_file_system(folder)
+        self.fs.create_dir(root)
+        self.path, self.aside = f"{root}/{name}", f"{root}/.{name}-{uuid.uuid4().hex}"
+        self.stream = self.fs.open_output_stream(self.aside)
+        self.write([header])
+
+    def write(self, lines: list[str]) -> None:
+        self.stream.write("".join(f"{line}\n" for line in lines).encode())
+
+    def close(self) -> None:
+        self.stream.close()
+        self.fs.move(self.aside, self.path)
+
+
+def _arrow_file_system(folder: str):
+    """File system and path of a qualified Hadoop path, as executors open it."""
+    scheme, host, path, _, _ = urlsplit(folder)
+    if scheme in ("", "file"):
+        return arrow_fs.LocalFileSystem(), path
+    return arrow_fs.FileSystem.from_uri(f"{scheme}://{host}{quote(path)}")
+
+
+def _hadoop(spark: SparkSession, path: str):
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return at.getFileSystem(spark._jsc.hadoopConfiguration()), at
+
+
+def _qualified(spark: SparkSession, path: str) -> str:
+    fs, at = _hadoop(spark, path)
+    return fs.makeQualified(at).toString()
+
+
+def _exists(spark: SparkSession, path: str) -> bool:
+    fs, at = _hadoop(spark, path)
+    return fs.exists(at)
+
+
+def _rename(spark: SparkSession, source: str, target: str) -> None:
+    fs, at = _hadoop(spark, source)
+    if not fs.rename(at, spark._jvm.org.apache.hadoop.fs.Path(target)):
         raise OSError(f"cannot rename {source} to {target}")
-    done.append((source, target))
 
 
-def _file_system(spark: SparkSession, folder: str):
-    root = spark._jvm.org.apache.hadoop.fs.Path(folder.rstrip("/"))
-    fs = root.getFileSystem(spark._jsc.hadoopConfiguration())
-    fs.mkdirs(root)
-    return fs, root
+def move_file(spark: SparkSession, source: str, target: str) -> None:
+    """Move one file; the folder of the target is made."""
+    fs, at = _hadoop(spark, target)
+    fs.mkdirs(at.getParent())
+    _rename(spark, source, target)
+
+
+def _delete(spark: SparkSession, path: str) -> None:
+    fs, at = _hadoop(spark, path)
+    fs.delete(at, True)
