@@ -22,7 +22,8 @@ from stipend.operators import joins, latest, lookups, numbering, pages
 from stipend.operators.recode import recode
 from stipend.plans import incentive, publish, recoding, snapshots
 from stipend.shared import own_folder
-from stipend.sinks.delimited import export_batches, export_table, move_file
+from stipend.sinks.delimited import export_batches, export_table
+from stipend.sinks.folders import move_file
 from stipend.sinks.tables import refresh_tables
 from stipend.sources.tables import load_csv, load_text_csv
 

@@ -153,8 +153,13 @@ def _classes(nodes: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     buckets = members.groupBy("key").agg(F.count("*").alias("size"), F.min("node").alias("hub"))
     buckets = stage(buckets.where("size > 1"), "buckets")
     shared = stage(members.join(broadcast_up_to(buckets, BROADCAST_ROWS), "key"), "shared")
-    stars = shared.where("node <> hub").select(F.col("node").alias("a"), F.col("hub").alias("b")).distinct()
-    links = _links(stars, nodes, sets, percent)
+    stars = shared.where("node <> hub")
+    # Most nodes of a group are linked to the first hub of all their buckets; what is then in one
+    # class needs no further look.
+    nearest = stars.groupBy(F.col("node").alias("a")).agg(F.min("hub").alias("b"))
+    links = _links(nearest, nodes, sets, percent)
+    others = _across(stars.select(F.col("node").alias("a"), F.col("hub").alias("b")).distinct(), components(links))
+    links = links.unionByName(_links(others.join(nearest, ["a", "b"], "left_anti"), nodes, sets, percent))
     labels = components(links)
     classed = shared.where("size > 2").join(labels, "node", "left").select(
         "key", "node", F.coalesce("component", "node").alias("class"))
@@ -166,6 +171,14 @@ def _classes(nodes: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return components(links.unionByName(more))
 
 
+def _across(pairs: DataFrame, labels: DataFrame) -> DataFrame:
+    """The pairs whose ends are in two classes."""
+    for end in ("a", "b"):
+        classes = labels.select(F.col("node").alias(end), F.col("component").alias(f"class_{end}"))
+        pairs = pairs.join(classes, end, "left").withColumn(f"class_{end}", F.coalesce(f"class_{end}", end))
+    return pairs.where("class_a <> class_b").select("a", "b")
+
+
 def _within(n_a: Column, n_b: Column, percent: int) -> Column:
     """Whether sets of these sizes can be as similar as that."""
     return 100 * F.least(n_a, n_b) >= percent * F.greatest(n_a, n_b)
@@ -182,36 +195,47 @@ def _links(pairs: DataFrame, nodes: DataFrame, sets: DataFrame, percent: int) ->
         _within(F.col("n_a"), F.col("n_b"), percent) & (agreeing >= MIN_AGREEING)
     ).select("a", "b", "n_a", "n_b"), "close")
     ids = stage(close.select(F.explode(F.array("a", "b")).alias("node")).distinct(), "ids")
-    wanted = stage(sets.join(broadcast_up_to(ids, BROADCAST_ROWS), "node", "left_semi"), "sets")
+    wanted = sets.join(broadcast_up_to(ids, BROADCAST_ROWS), "node", "left_semi")
     common = F.size(F.array_intersect("hashes_a", "hashes_b"))
     return stage(close.join(side(wanted, "a"), "a").join(side(wanted, "b"), "b").where(
         100 * common >= percent * (F.col("n_a") + F.col("n_b") - common)).select("a", "b"), "links")
 
 
 def _rest(open_nodes: DataFrame, nodes: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """Pairs of open nodes of different classes that may be linked: all that share one of their rarest
-    shingles.
-
-    If sets are put in one order, rarest shingle first, two linked ones share a shingle among the
-    first n - ceil(n * percent / 100) + 1 of each. What many nodes share comes last in that order,
-    so texts that have a header or a licence in common do not meet. Classes meet first, their
-    members then, so that a large class is not compared within itself.
+    """Pairs of open nodes of different classes that may be linked, by their rarest shingles.
+
+    Put all sets in one order, rarest shingle first. Two linked sets of n and m >= n shingles have at
+    least c = (n + m) * percent / (100 + percent) in common, so their first common one is among the
+    first n - c + 1 of the smaller set, which is a ninth of it at 80 percent, and among a fifth of the
+    larger. What many nodes share comes last in that order, so texts that have a header or a licence
+    in common do not meet unless they are as good as linked. Classes meet first, their members then,
+    so that a large class is not compared within itself.
     """
-    wanted = stage(sets.join(broadcast_up_to(open_nodes.select("node"), BROADCAST_ROWS), "node", "left_semi"), "open_sets")
+    wanted = sets.join(broadcast_up_to(open_nodes.select("node"), BROADCAST_ROWS), "node", "left_semi")
     held = open_nodes.join(wanted, "node").select("node", "class", F.explode("hashes").alias("h"))
     often = held.groupBy("h").agg(
         F.count("*").alias("times"), (F.min("class") < F.max("class")).alias("several"))
     ranked = held.join(often, "h").groupBy("node", "class").agg(
         F.array_sort(F.collect_list(F.struct("times", "h", "several"))).alias("order"))
     n = F.size("order")
-    first = F.slice("order", F.lit(1), n - F.ceil(n * percent / 100).cast("int") + 1)
+    as_larger = n - F.ceil(n * percent / 100).cast("int") + 1
+    as_smaller = n - F.ceil(2 * n * percent / (100 + percent)).cast("int") + 1
     firsts = stage(
-        ranked.select("node", "class", n.cast("bigint").alias("n"), F.explode(first).alias("s"))
-        .where("s.several").select("node", "class", "n", F.col("s.h").alias("h")), "firsts")
-    classes = firsts.select("h", "class").distinct()
-    met = classes.select("h", F.col("class").alias("class_a")).join(
-        classes.select("h", F.col("class").alias("class_b")), "h").where("class_a < class_b")
-    side_a = firsts.select("h", F.col("class").alias("class_a"), F.col("node").alias("a"), F.col("n").alias("size_a"))
-    side_b = firsts.select("h", F.col("class").alias("class_b"), F.col("node").alias("b"), F.col("n").alias("size_b"))
-    return met.join(side_a, ["h", "class_a"]).join(side_b, ["h", "class_b"]).where(
-        _within(F.col("size_a"), F.col("size_b"), percent)).select("a", "b").distinct()
+        ranked.select("node", "class", n.cast("bigint").alias("n"), as_smaller.alias("few"),
+                      F.posexplode(F.slice("order", F.lit(1), as_larger)).alias("place", "s"))
+        .where("s.several").select("node", "class", "n", "place", "few", F.col("s.h").alias("h")), "firsts")
+
+    def side(rows: DataFrame, end: str) -> DataFrame:
+        return rows.select("h", *[F.col(c).alias(end if c == "node" else f"{c}_{end}")
+                                  for c in ("node", "class", "n", "place")])
+
+    smaller, larger = side(firsts.where(F.col("place") < F.col("few")), "a"), side(firsts, "b")
+    met = smaller.select("h", "class_a").distinct().join(
+        larger.select("h", "class_b").distinct(), "h").where("class_a <> class_b")
+    ordered = (F.col("n_a") < F.col("n_b")) | ((F.col("n_a") == F.col("n_b")) & (F.col("a") < F.col("b")))
+    # If this is the first common shingle, no more than the rest of either set can follow.
+    most = F.least(F.col("n_a") - F.col("place_a"), F.col("n_b") - F.col("place_b"))
+    return met.join(smaller, ["h", "class_a"]).join(larger, ["h", "class_b"]).where(
+        ordered & _within(F.col("n_a"), F.col("n_b"), percent)
+        & (most * (100 + percent) >= percent * (F.col("n_a") + F.col("n_b")))
+    ).select("a", "b").distinct()

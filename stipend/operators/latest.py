@@ -1,7 +1,8 @@
 """Newest batch of records that were not processed yet."""
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
 
 from stipend import fixed_values as fixed
 from stipend.shared import stage
@@ -46,24 +47,57 @@ def latest_batch_by(
     time_col: str = "ZUTIMER",
     open_status: str = fixed.OPEN_STATUS,
 ) -> DataFrame:
-    """`latest_batch` of every category at once.
-
-    The newest dates come from one pass, combined in each task before the shuffle, so a category
-    that holds most rows costs no more than another. The newest times, and then the records, are
-    looked for only from the oldest of these dates on. Dates and runs, one row per category each,
-    are written to the shared folder: the planner then knows their size and broadcasts them if
-    they are small.
+    """`latest_batch` of every category at once, in two scans.
+
+    The first finds the newest time of every category and date, of open records and of all, combined
+    in each task before the shuffle, so a category that holds most rows costs no more than another.
+    Clock times as text are compared as numbers there, which hash where a maximum of texts would sort
+    all rows; see `_newest_times`. From these few rows come the newest runs, one per category, which
+    are written to the shared folder: the planner then knows their size and broadcasts them if they
+    are small. The second scan takes the records, from the oldest of these dates on.
     """
-    open_rows = df.filter(F.col(status_col) == open_status)
-    dates = stage(open_rows.groupBy(category_col).agg(F.max(date_col).alias(date_col)), "dates")
-    recent = F.col(date_col) >= dates.agg(F.min(date_col)).scalar()
-    on_date = (open_rows if strict else df).filter(recent).join(dates, [category_col, date_col])
-    runs = _newest(on_date, [category_col, date_col], time_col)
+    is_open = F.col(status_col) == open_status
+    open_rows = df.filter(is_open)
+    times = _newest_times(df, category_col, date_col, time_col, is_open)
+    dates = times.filter("_open").groupBy(category_col).agg(F.max(date_col).alias(date_col))
+    newest = F.max("_open_time" if strict else "_any_time").alias(time_col)
+    runs = stage(
+        times.join(dates, [category_col, date_col]).groupBy(category_col, date_col).agg(newest), "runs")
+    recent = F.col(date_col) >= runs.agg(F.min(date_col)).scalar()
     return open_rows.filter(recent).join(
         runs, [category_col, date_col, time_col]
     ).select(*df.columns)
 
 
+def _newest_times(
+    df: DataFrame, category_col: str, date_col: str, time_col: str, is_open: Column
+) -> DataFrame:
+    """The newest time of each category and date, written to the shared folder: `_any_time` of all
+    records and `_open_time` of open ones, and whether there are any (`_open`).
+
+    Text of the form `hh:mm:ss` is packed into a number of the same order. Any other text is kept
+    as it is, as a further grouping key; so the result is exact whatever the texts are.
+    """
+    time = F.col(time_col)
+    opened = F.coalesce(is_open, F.lit(False))
+    if not isinstance(df.schema[time_col].dataType, StringType):
+        times = df.groupBy(category_col, date_col).agg(
+            F.max(opened).alias("_open"), F.max(time).alias("_any_time"),
+            F.max(F.when(opened, time)).alias("_open_time"))
+        return stage(times, "times")
+    is_clock = time.rlike(r"^[0-9]{2}:[0-9]{2}:[0-9]{2}\z")
+    packed = F.when(is_clock, F.translate(time, ":", "").cast("int"))
+    packed_times = df.groupBy(category_col, date_col, F.when(~is_clock, time).alias("_text")).agg(
+        F.max(opened).alias("_open"), F.max(packed).alias("_any"), F.max(F.when(opened, packed)).alias("_opened"))
+
+    def unpacked(c: str) -> Column:
+        return F.regexp_replace(F.lpad(F.col(c).cast("string"), 6, "0"), "^(..)(..)(..)", "$1:$2:$3")
+
+    return stage(packed_times.select(
+        category_col, date_col, "_open", F.coalesce("_text", unpacked("_any")).alias("_any_time"),
+        F.when(F.col("_open"), F.coalesce("_text", unpacked("_opened"))).alias("_open_time")), "times")
+
+
 def newest_per_family(df: DataFrame, family_col: str, run_col: str) -> DataFrame:
     """All rows of the newest run of each family; rows without a run are never chosen."""
     runs = _newest(df, [family_col], run_col)

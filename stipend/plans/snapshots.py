@@ -5,8 +5,7 @@ from collections.abc import Sequence
 from pyspark.sql import SparkSession
 
 from stipend import fixed_values as fixed
-from stipend.shared import released
-from stipend.sinks.tables import publish_copy
+from stipend.sinks.tables import publish_copies
 from stipend.sources.snapshots import newest_snapshot
 
 
@@ -17,17 +16,11 @@ def publish_newest(
     """Publish the newest file of each family as `<family>.csv`; families without one are skipped.
 
     Returns the published path per family: one short row per family named by the caller. A family
-    that fails does not stop the others; its error is raised when all have had their turn.
+    that fails does not stop the others; the errors are raised when all have had their turn.
     """
     newest = {row.family: row.path for row in newest_snapshot(spark, folder, families).collect()}
-    errors = []
-    for family, path in newest.items():
-        try:
-            with released():
-                publish_copy(spark, path, out, family)
-        except Exception as error:
-            error.add_note(f"while publishing {family} from {path}")
-            errors.append(error)
-    if errors:
+    failed = publish_copies(spark, newest, out)
+    if failed:
+        errors = [OSError(f"{family} from {newest[family]}: {text}") for family, text in failed.items()]
         raise ExceptionGroup("not all families were published", errors)
     return newest

@@ -4,14 +4,13 @@ import uuid
 from collections.abc import Callable, Iterator, Sequence
 from dataclasses import dataclass
 from itertools import accumulate
-from urllib.parse import quote, urlsplit
 
 import pyarrow as pa
-from pyarrow import fs as arrow_fs
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from stipend.operators.numbering import one_of
+from stipend.sinks import folders
 
 _FORMAT = {
     "header": True,
@@ -46,10 +45,6 @@ class FileSet:
     def path(self) -> str:
         return f"{self.folder.rstrip('/')}/{self.prefix}"
 
-    @property
-    def replaced(self) -> str:
-        """Where the files of the earlier run are while those of the new one take their place."""
-        return f"{self.folder.rstrip('/')}/_{self.prefix}-replaced"
 
 
 def csv_line(columns: Sequence[Column], sep: str) -> Column:
@@ -90,7 +85,7 @@ def export_file_sets(
     """
     spark = lines.sparkSession
     for one in sets:
-        recover(spark, one)
+        folders.recover(spark, one.path)
     version = uuid.uuid4().hex
     new = [f"{one.folder.rstrip('/')}/_{one.prefix}-new-{version}" for one in sets]
     total = sum(batches)
@@ -107,32 +102,15 @@ def export_file_sets(
             if written != total:
                 raise RuntimeError(f"{written} files were written instead of {total}")
         for one, path, files in zip(sets, new, batches):
-            _replace(spark, one, path if files else None)
+            folders.replace(spark, one.path, path if files else None)
     except Exception:
         for path in new:
-            _delete(spark, path)
+            folders.delete(spark, path)
         raise
 
 
-def recover(spark: SparkSession, one: FileSet) -> None:
-    """Bring back the files of a set whose replacement was cut off between its two renames."""
-    if _exists(spark, one.replaced):
-        if _exists(spark, one.path):
-            _delete(spark, one.replaced)
-        else:
-            _rename(spark, one.replaced, one.path)
-
-
-def _replace(spark: SparkSession, one: FileSet, new: str | None) -> None:
-    if _exists(spark, one.path):
-        _rename(spark, one.path, one.replaced)
-    if new:
-        _rename(spark, new, one.path)
-    _delete(spark, one.replaced)
-
-
 def _writer(
-    spark: SparkSession, sets: Sequence[FileSet], folders: Sequence[str], columns: Sequence[str]
+    spark: SparkSession, sets: Sequence[FileSet], paths: Sequence[str], columns: Sequence[str]
 ) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
     """Writes sorted lines, one file after the other, in an executor; counts the files."""
     headers = {
@@ -140,7 +118,7 @@ def _writer(
         for sep in {one.sep for one in sets}
     }
     targets = [
-        (_qualified(spark, path), one.prefix, one.ext, headers[one.sep]) for one, path in zip(sets, folders)
+        (folders.qualified(spark, path), one.prefix, one.ext, headers[one.sep]) for one, path in zip(sets, paths)
     ]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -157,71 +135,13 @@ def _writer(
                     if out:
                         out.close()
                     folder, prefix, ext, header = targets[key[0]]
-                    out, current = _File(folder, f"{prefix}-{key[1]}.{ext}", header), key
+                    out, current = folders.NewFile(folder, f"{prefix}-{key[1]}.{ext}"), key
+                    out.write(f"{header}\n".encode())
                     files += 1
-                out.write(texts[first:end])
+                out.write("".join(f"{text}\n" for text in texts[first:end]).encode())
                 first = end
         if out:
             out.close()
         yield pa.RecordBatch.from_arrays([pa.array([files], pa.int64())], ["files"])
 
     return run
-
-
-class _File:
-    """A text file that appears under its name when it is closed."""
-
-    def __init__(self, folder: str, name: str, header: str):
-        self.fs, root = _arrow_file_system(folder)
-        self.fs.create_dir(root)
-        self.path, self.aside = f"{root}/{name}", f"{root}/.{name}-{uuid.uuid4().hex}"
-        self.stream = self.fs.open_output_stream(self.aside)
-        self.write([header])
-
-    def write(self, lines: list[str]) -> None:
-        self.stream.write("".join(f"{line}\n" for line in lines).encode())
-
-    def close(self) -> None:
-        self.stream.close()
-        self.fs.move(self.aside, self.path)
-
-
-def _arrow_file_system(folder: str):
-    """File system and path of a qualified Hadoop path, as executors open it."""
-    scheme, host, path, _, _ = urlsplit(folder)
-    if scheme in ("", "file"):
-        return arrow_fs.LocalFileSystem(), path
-    return arrow_fs.FileSystem.from_uri(f"{scheme}://{host}{quote(path)}")
-
-
-def _hadoop(spark: SparkSession, path: str):
-    at = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return at.getFileSystem(spark._jsc.hadoopConfiguration()), at
-
-
-def _qualified(spark: SparkSession, path: str) -> str:
-    fs, at = _hadoop(spark, path)
-    return fs.makeQualified(at).toString()
-
-
-def _exists(spark: SparkSession, path: str) -> bool:
-    fs, at = _hadoop(spark, path)
-    return fs.exists(at)
-
-
-def _rename(spark: SparkSession, source: str, target: str) -> None:
-    fs, at = _hadoop(spark, source)
-    if not fs.rename(at, spark._jvm.org.apache.hadoop.fs.Path(target)):
-        raise OSError(f"cannot rename {source} to {target}")
-
-
-def move_file(spark: SparkSession, source: str, target: str) -> None:
-    """Move one file; the folder of the target is made."""
-    fs, at = _hadoop(spark, target)
-    fs.mkdirs(at.getParent())
-    _rename(spark, source, target)
-
-
-def _delete(spark: SparkSession, path: str) -> None:
-    fs, at = _hadoop(spark, path)
-    fs.delete(at, True)

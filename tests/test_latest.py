@@ -1,6 +1,8 @@
 import datetime as dt
+import random
 
 import pytest
+from pyspark.sql import functions as F
 
 from stipend.operators import latest
 
@@ -95,3 +97,37 @@ def test_newest_per_family(spark):
 
 def test_row_count(records):
     assert latest.row_count(records).collect()[0].row_count == len(ROWS)
+
+
+@pytest.mark.parametrize("strict", [True, False])
+def test_times_of_any_form_by_category(spark, strict):
+    rng = random.Random(8)
+    times = ["10:00:00", "09:59:59", "23:00:00", "9:00:00", "24:00", "", "noon", "10:00:00 ", "99:99:99", None]
+    rows = [(rng.choice("abcd"), rng.choice(["2024-01-01", "2024-01-02", None]), rng.choice(times),
+             rng.choice(["N", "P", None]), n) for n in range(300)]
+    df = spark.createDataFrame(rows, "LGART string, DATUM string, ZUTIMER string, ZSTAT string, n int").repartition(4)
+    got = latest.latest_batch_by(df, strict=strict)
+    assert got.columns == df.columns
+    want = set()
+    for c in "abcd":
+        want |= {r.n for r in latest.latest_batch(df, c, strict).collect()}
+    assert {r.n for r in got.collect()} == want and want
+
+
+def test_newest_batches_take_two_scans(spark, tmp_path, monkeypatch):
+    df = spark.range(100).select(
+        F.lit("a").alias("LGART"), F.lit("2024-01-01").cast("date").alias("DATUM"), F.lit("10:00:00").alias("ZUTIMER"),
+        F.lit("N").alias("ZSTAT"), "id")
+    df.write.parquet(str(tmp_path / "r"))
+    plans, plain = [], latest.stage
+
+    def seen(rows, label):
+        plans.append(rows._jdf.queryExecution().executedPlan().toString())
+        return plain(rows, label)
+
+    monkeypatch.setattr(latest, "stage", seen)
+    got = latest.latest_batch_by(spark.read.parquet(str(tmp_path / "r")), strict=False)
+    plans.append(got._jdf.queryExecution().executedPlan().toString())
+    location = str(tmp_path / "r")
+    assert [plan.count(f"[file:{location}]") for plan in plans] == [1, 0, 1]
+    assert "SortAggregate" not in plans[0] and got.count() == 100
