@@ -11,7 +11,7 @@ from xxhash import xxh3_128_digest, xxh64_intdigest
 
 from stipend.llm.components import components
 from stipend.llm.sizes import broadcast_up_to
-from stipend.shared import stage
+from stipend.shared import own_folder, stage
 
 #: Bands, and minima in a band: 0.99999 of the pairs at a similarity of 0.8 share one.
 BANDS = 30
@@ -86,6 +86,14 @@ def _prints(docs: DataFrame, words: int, id_col: str, text_col: str) -> DataFram
         run, f"id {kind}, n bigint, k1 bigint, k2 bigint, minima array<int>, hashes array<bigint>")
 
 
+def _written(prints: DataFrame) -> DataFrame:
+    """`stage` for long lists of hashes: without a dictionary, which finds no repeats in them, and in
+    small row groups, which are held in memory until they are whole."""
+    path = own_folder(prints.sparkSession, "prints")
+    prints.write.options(**{"parquet.enable.dictionary": "false", "parquet.block.size": 1 << 25}).parquet(path)
+    return prints.sparkSession.read.schema(prints.schema).parquet(path)
+
+
 def _columns(texts: list[bytes], words: int) -> list[pa.Array]:
     sizes, digests, minima, hashes = [], [], [], []
     for text in texts:
@@ -127,8 +135,8 @@ def near_duplicate_groups(
     """
     if percent < 80:
         raise ValueError("bands are laid out for similarities of 80 percent and more")
-    prints = stage(
-        _prints(docs, words, id_col, text_col).withColumn("row", F.monotonically_increasing_id()), "prints")
+    prints = _written(
+        _prints(docs, words, id_col, text_col).withColumn("row", F.monotonically_increasing_id()))
     nodes = stage(prints.where("n > 0").groupBy("k1", "k2").agg(
         F.min("row").alias("node"), F.min("id").alias("least_id"), F.first("n").alias("n"),
         F.first("minima").alias("minima")), "nodes")
