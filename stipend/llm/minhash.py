@@ -1,5 +1,6 @@
 """Near-duplicate documents by one-permutation MinHash with optimal densification."""
 
+import math
 import random
 from collections.abc import Iterator
 
@@ -21,6 +22,9 @@ BINS = BANDS * ROWS
 #: Pairs that agree in fewer minima are not compared: 6 standard deviations below 0.8 of BINS.
 MIN_AGREEING = 90
 
+#: Ratio of the sizes of two bins of open sets.
+SIZE_STEP = 1.05
+
 #: Rows of narrow tables (numbers of documents) that may be broadcast: some tens of MB.
 BROADCAST_ROWS = 1_000_000
 
@@ -214,10 +218,11 @@ def _rest(open_nodes: DataFrame, nodes: DataFrame, sets: DataFrame, percent: int
 
     Put all sets in one order, rarest shingle first. Two linked sets of n and m >= n shingles have at
     least c = (n + m) * percent / (100 + percent) in common, so their first common one is among the
-    first n - c + 1 of the smaller set, which is a ninth of it at 80 percent, and among a fifth of the
-    larger. What many nodes share comes last in that order, so texts that have a header or a licence
-    in common do not meet unless they are as good as linked. Classes meet first, their members then,
-    so that a large class is not compared within itself.
+    first n - c + 1 of the smaller and the first m - c + 1 of the larger: a ninth of either at 80
+    percent and equal sizes. What many nodes share comes last in that order, so texts that have a
+    header or a licence in common do not meet unless they are as good as linked. A place in the
+    larger set admits a range of smaller sizes, so it looks for these alone, in bins of SIZE_STEP.
+    Classes meet first, their members then, so that a large class is not compared within itself.
     """
     wanted = sets.join(broadcast_up_to(open_nodes.select("node"), BROADCAST_ROWS), "node", "left_semi")
     held = open_nodes.join(wanted, "node").select("node", "class", F.explode("hashes").alias("h"))
@@ -225,25 +230,37 @@ def _rest(open_nodes: DataFrame, nodes: DataFrame, sets: DataFrame, percent: int
         F.count("*").alias("times"), (F.min("class") < F.max("class")).alias("several"))
     ranked = held.join(often, "h").groupBy("node", "class").agg(
         F.array_sort(F.collect_list(F.struct("times", "h", "several"))).alias("order"))
-    n = F.size("order")
-    as_larger = n - F.ceil(n * percent / 100).cast("int") + 1
-    as_smaller = n - F.ceil(2 * n * percent / (100 + percent)).cast("int") + 1
+    as_larger = F.size("order") - F.ceil(F.size("order") * percent / 100).cast("int") + 1
     firsts = stage(
-        ranked.select("node", "class", n.cast("bigint").alias("n"), as_smaller.alias("few"),
+        ranked.select("node", "class", F.size("order").cast("bigint").alias("n"),
                       F.posexplode(F.slice("order", F.lit(1), as_larger)).alias("place", "s"))
-        .where("s.several").select("node", "class", "n", "place", "few", F.col("s.h").alias("h")), "firsts")
-
-    def side(rows: DataFrame, end: str) -> DataFrame:
-        return rows.select("h", *[F.col(c).alias(end if c == "node" else f"{c}_{end}")
-                                  for c in ("node", "class", "n", "place")])
-
-    smaller, larger = side(firsts.where(F.col("place") < F.col("few")), "a"), side(firsts, "b")
-    met = smaller.select("h", "class_a").distinct().join(
-        larger.select("h", "class_b").distinct(), "h").where("class_a <> class_b")
+        .where("s.several").select("node", "class", "n", (F.col("n") - F.col("place")).alias("left"),
+                                   F.col("s.h").alias("h")), "firsts")
+
+    def enough(n_a: str, n_b: str, left_a: str, left_b: str) -> Column:
+        """Whether this can be the first common shingle of linked sets: no more can follow than is left."""
+        least = F.least(left_a, left_b) * (100 + percent)
+        return least >= percent * (F.col(n_a) + F.col(n_b))
+
+    def bin_of(n: Column) -> Column:
+        return F.floor(F.log(n) / math.log(SIZE_STEP)).cast("int")
+
+    smallest = F.col("n") * percent / 100
+    greatest = F.least(F.col("n"), F.col("left") * (100 + percent) / percent - F.col("n"))
+    smaller = firsts.where(F.col("left") * (100 + percent) >= 2 * percent * F.col("n")).select(
+        "h", bin_of(F.col("n")).alias("bin"), F.col("class").alias("class_a"), F.col("node").alias("a"),
+        F.col("n").alias("n_a"), F.col("left").alias("left_a"))
+    larger = firsts.where(smallest <= greatest).select(
+        "h", F.explode(F.sequence(bin_of(smallest), bin_of(greatest))).alias("bin"), F.col("class").alias("class_b"),
+        F.col("node").alias("b"), F.col("n").alias("n_b"), F.col("left").alias("left_b"))
+    # At best, the members of two classes are as small and have as much left as any of them.
+    class_a = smaller.groupBy("h", "bin", "class_a").agg(F.min("n_a").alias("some_n_a"), F.max("left_a").alias("some_left_a"))
+    class_b = larger.groupBy("h", "bin", "class_b").agg(F.min("n_b").alias("some_n_b"), F.max("left_b").alias("some_left_b"))
+    met = class_a.join(class_b, ["h", "bin"]).where(
+        (F.col("class_a") != F.col("class_b")) & enough("some_n_a", "some_n_b", "some_left_a", "some_left_b"))
+    some = met.drop("some_n_a", "some_left_a").join(smaller, ["h", "bin", "class_a"]).where(
+        enough("n_a", "some_n_b", "left_a", "some_left_b"))
     ordered = (F.col("n_a") < F.col("n_b")) | ((F.col("n_a") == F.col("n_b")) & (F.col("a") < F.col("b")))
-    # If this is the first common shingle, no more than the rest of either set can follow.
-    most = F.least(F.col("n_a") - F.col("place_a"), F.col("n_b") - F.col("place_b"))
-    return met.join(smaller, ["h", "class_a"]).join(larger, ["h", "class_b"]).where(
-        ordered & _within(F.col("n_a"), F.col("n_b"), percent)
-        & (most * (100 + percent) >= percent * (F.col("n_a") + F.col("n_b")))
+    return some.join(larger, ["h", "bin", "class_b"]).where(
+        ordered & _within(F.col("n_a"), F.col("n_b"), percent) & enough("n_a", "n_b", "left_a", "left_b")
     ).select("a", "b").distinct()
