@@ -18,7 +18,7 @@ from stipend.functions.dates import (
     as_date, clip_end, clip_start, days_in_month, days_inclusive, iso_date, month_start, proration,
     shift_months,
 )
-from stipend.operators import joins, latest, lookups, numbering, pages
+from stipend.operators import intervals, joins, latest, lookups, numbering, pages
 from stipend.operators.recode import recode
 from stipend.plans import incentive, publish, recoding, snapshots
 from stipend.shared import own_folder
@@ -237,6 +237,22 @@ def _typed_csv_breaks(t: Tables) -> DataFrame:
     return load_csv(t.spark, out, rows.schema)
 
 
+def _long_intervals(t: Tables) -> DataFrame:
+    """Orders and line items under way at the same time, of one in a hundred groups of both."""
+    day = F.col("o_orderdate").cast("date")
+    orders = t.orders.select(
+        (F.col("o_custkey") % 100).alias("group"), "o_orderkey", day.alias("ordered"),
+        F.date_add(day, (F.col("o_orderkey") % 40).cast("int")).alias("closed"))
+    sent = F.col("l_shipdate").cast("date")
+    items = t.lineitem.select(
+        (F.col("l_suppkey") % 100).alias("_group"), F.col("l_orderkey"), "l_linenumber", sent.alias("sent"),
+        F.date_add(sent, F.col("l_linenumber")).alias("arrived"))
+    joined = intervals.binned_interval_join(
+        orders, items, "group", "_group", ("ordered", "closed"), ("sent", "arrived"))
+    return joined.groupBy("group", "o_orderkey", "ordered", "closed").agg(
+        F.count("*").alias("items"), F.sum("l_orderkey").alias("order_sum"), F.min("sent").alias("first_sent"))
+
+
 def _kept_pages(t: Tables) -> DataFrame:
     """Two far pages of all line items from one index."""
     items = t.lineitem.withColumn("l_shipdate", F.col("l_shipdate").cast("date"))
@@ -363,6 +379,7 @@ _BUILDERS: dict[str, Callable[[Tables], DataFrame]] = {
     "recoded_names": _recoded_names,
     "typed_csv_breaks": _typed_csv_breaks,
     "kept_pages": _kept_pages,
+    "long_intervals": _long_intervals,
     "typed_csv": _typed_csv,
     "refreshed_tables": _refreshed_tables,
     "published_snapshot": _published_snapshot,

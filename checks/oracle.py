@@ -492,6 +492,16 @@ FROM (SELECT *, ({_OLD_NAMES})[c_custkey % {len(_NAMES) + 1} + 1] AS name FROM c
     "typed_csv_breaks": """
 SELECT o_orderkey, o_orderpriority || chr(10) || '5,' || o_orderstatus || '"' || chr(10) AS note, o_totalprice
 FROM orders
+""".strip(),
+    "long_intervals": f"""
+SELECT "group", o_orderkey, {_iso("ordered", "closed")}, count(*) AS items,
+  CAST(sum(l_orderkey) AS BIGINT) AS order_sum, strftime(min(sent), '%Y-%m-%d') AS first_sent
+FROM (SELECT o_custkey % 100 AS "group", o_orderkey, CAST(o_orderdate AS DATE) AS ordered,
+    CAST(o_orderdate AS DATE) + CAST(o_orderkey % 40 AS INTEGER) AS closed FROM orders) o
+JOIN (SELECT l_suppkey % 100 AS g, l_orderkey, CAST(l_shipdate AS DATE) AS sent,
+    CAST(l_shipdate AS DATE) + l_linenumber AS arrived FROM lineitem) i
+  ON g = "group" AND ordered <= arrived AND closed >= sent
+GROUP BY 1, 2, ordered, closed
 """.strip(),
     "kept_pages": f"""
 SELECT {_ITEM}, l_discount, l_tax, l_returnflag, l_linestatus, {_iso("l_shipdate")}, row_no
