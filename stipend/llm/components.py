@@ -57,3 +57,11 @@ def _small_star(stars: DataFrame) -> DataFrame:
     return rest.select(
         F.col("component").alias("node"), F.col("_least").alias("component")
     ).unionByName(least.withColumnRenamed("_least", "component")).distinct()
+
+
+def across(pairs: DataFrame, labels: DataFrame) -> DataFrame:
+    """The pairs whose ends are in two classes."""
+    for end in ("a", "b"):
+        classes = labels.select(F.col("node").alias(end), F.col("component").alias(f"class_{end}"))
+        pairs = pairs.join(classes, end, "left").withColumn(f"class_{end}", F.coalesce(f"class_{end}", end))
+    return pairs.where("class_a <> class_b").select("a", "b")

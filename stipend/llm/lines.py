@@ -1,39 +1,41 @@
 """Fuzzy line deduplication by MinHash, exact Jaccard similarity and distributed union-find."""
 
 import random
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from stipend.llm.components import components
+from stipend.llm.components import across, components
+from stipend.llm.prefixes import rare_pairs
 from stipend.llm.sizes import broadcast_up_to
-from stipend.shared import stage
+from stipend.shared import own_folder, stage
 
-#: Shorter lines always stay: headings, list marks, single words.
+#: Shorter lines are only compared for equality: a character more or less is a fifth of their shingles.
 MIN_CHARS = 20
 
-#: Characters of the shingles that are compared exactly, and the similarity that links two lines.
+#: Characters of the shingles that are compared exactly, and the similarity in percent that links lines.
 SHINGLE = 5
-THRESHOLD = 0.8
+PERCENT = 80
 
-#: Bands and minima per band of the first signatures: 99.7 % of the pairs at THRESHOLD share one.
-BANDS = 8
-ROWS = 3
+#: Bands, and minima in a band: 98 % of the pairs at a similarity of 0.8 share one, 99.99 % at 0.9.
+BANDS = 10
+ROWS = 5
 
-#: Buckets of at most so many lines are compared pair by pair.
-SMALL = 8
+#: Bits, one of each minimum, in which a pair may differ to be compared: 5 standard deviations above
+#: what is expected at 0.8. Less than 1 in 100 of unlike pairs differs in so few.
+MAX_APART = 16
 
-#: Bands and minima of the signatures that split larger buckets, one round after the other: 98.8 and
-#: 96.7 % of the pairs at THRESHOLD share a bucket, and lines well below it do no longer.
-FINER = [(24, 8), (48, 12)]
+#: Lines of a bucket that are all compared with each other; crowds are met by their rarest shingles.
+PAIRWISE = 32
 
 #: Rows of narrow tables (ids, line numbers) that may be broadcast: some tens of MB.
 BROADCAST_ROWS = 1_000_000
 
-_EVERY = f"(?s)(?=({'.' * SHINGLE}))"
 _LOW = 0xFFFFFFFF
 # Odd, below 2³¹: products with 32 bits fit a long.
 _FACTORS = [random.Random(n).getrandbits(30) * 2 + 1 for n in range(BANDS * ROWS)]
+_SKETCH_BIT = 7
 
 
 def normal(line: Column) -> Column:
@@ -42,187 +44,178 @@ def normal(line: Column) -> Column:
 
 
 def _lines(rows: DataFrame) -> DataFrame:
-    """Comparable lines of `_llm_row`, `_id`, `_text`: also `line_no`, `line` and its hash `id`."""
-    lines = rows.select("_llm_row", "_id", F.posexplode(F.split("_text", "\n")).alias("line_no", "line"))
-    lines = lines.withColumn("line", normal(F.col("line"))).where(F.length("line") >= MIN_CHARS)
+    """Lines of `_row`, `_id`, `_text` that are not blank: also `line_no`, `line` and its hash `id`."""
+    lines = rows.select("_row", "_id", F.posexplode(F.split("_text", "\n")).alias("line_no", "line"))
+    lines = lines.withColumn("line", normal(F.col("line"))).where("line <> ''")
     return lines.withColumn("id", F.xxhash64("line"))
 
 
-def _shingles(lines: DataFrame) -> DataFrame:
-    """`id` and the 32-bit hash `h` of the shingle at every character, the ones that are compared.
+def _places(code: Column) -> Column:
+    """Where the shingles of a line in UTF-32 begin; in that code all characters are equally wide, so a
+    shingle is found without reading up to it."""
+    return F.sequence(F.lit(0), F.greatest(F.octet_length(code) - 4 * SHINGLE, F.lit(0)), F.lit(4))
 
-    In UTF-32 all characters are equally wide, so a shingle is found without reading up to it.
-    """
-    coded = lines.select("id", F.encode("line", "UTF-32").alias("code"))
-    last = F.greatest(F.octet_length("code") - 4 * SHINGLE, F.lit(0))
-    places = coded.select("id", "code", F.explode(F.sequence(F.lit(0), last, F.lit(4))).alias("at"))
-    shingle = F.substr("code", F.col("at") + 1, F.lit(4 * SHINGLE))
-    return places.select("id", F.xxhash64(shingle).bitwiseAND(F.lit(_LOW)).alias("h"))
 
-
-def _minimum(factor: int) -> Column:
-    return F.min((F.col("h") * F.lit(factor)).bitwiseAND(F.lit(_LOW)))
+def _shingle(code: Column, at: Column) -> Column:
+    return F.xxhash64(F.substr(code, at + 1, F.lit(4 * SHINGLE)))
 
 
 def _signatures(lines: DataFrame) -> DataFrame:
-    """Band keys of every distinct line, from the shingles at every character.
+    """Band `keys` and the `sketch`, a bit of each minimum, of every distinct line.
 
-    The minima are a grouped aggregation of plain columns, combined in the task; equal lines fall
-    together in the same step.
+    The minima are over the shingle at every character, the ones that are compared: a grouped
+    aggregation of plain columns, combined in the task; equal lines fall together in the same step.
     """
-    least = _shingles(lines).groupBy("id").agg(
-        *[_minimum(factor).alias(f"m{n}") for n, factor in enumerate(_FACTORS)])
-    return least.select("id", F.array(*[
+    coded = lines.select("id", F.encode("line", "UTF-32").alias("code"))
+    places = coded.select("id", "code", F.explode(_places(F.col("code"))).alias("at"))
+    hashes = places.select("id", _shingle(F.col("code"), F.col("at")).bitwiseAND(F.lit(_LOW)).alias("h"))
+    least = hashes.groupBy("id").agg(*[
+        F.min((F.col("h") * F.lit(factor)).bitwiseAND(F.lit(_LOW))).alias(f"m{n}")
+        for n, factor in enumerate(_FACTORS)])
+    bits = [F.shiftleft(F.shiftright(f"m{n}", _SKETCH_BIT).bitwiseAND(F.lit(1).cast("bigint")), n)
+            for n in range(len(_FACTORS))]
+    return least.select("id", reduce(Column.bitwiseOR, bits).alias("sketch"), F.array(*[
         F.xxhash64(F.lit(band), *[F.col(f"m{band * ROWS + n}") for n in range(ROWS)])
         for band in range(BANDS)]).alias("keys"))
 
 
-def _finer(lines: DataFrame, bands: int, rows: int) -> DataFrame:
-    """`id` and `key` of distinct lines in `bands` bands of `rows` minima, hashed anew for each."""
-    hashes = _shingles(lines).withColumn("band", F.explode(F.sequence(F.lit(1), F.lit(bands))))
-    hashes = hashes.withColumn("h", F.xxhash64("h", "band", F.lit(rows)).bitwiseAND(F.lit(_LOW)))
-    least = hashes.groupBy("id", "band").agg(*[_minimum(_FACTORS[n]).alias(f"m{n}") for n in range(rows)])
-    return least.select("id", F.xxhash64("band", F.lit(rows), *[f"m{n}" for n in range(rows)]).alias("key"))
+def _alike(a: str, b: str) -> Column:
+    return F.bit_count(F.col(a).bitwiseXOR(F.col(b))) <= MAX_APART
 
 
-def _shared(members: DataFrame) -> DataFrame:
-    """The rows `id`, `key` of buckets of two lines or more, with their number `n` and `pivot`.
+def near_classes(lines: DataFrame) -> DataFrame:
+    """Classes of near lines as `node`, `component`, without those that are their own.
 
-    The key decides which line is the pivot, so a group of near lines has another one in each bucket.
+    A line is compared with the first lines of its buckets, the first of these to begin with: pairs
+    grow with the lines. Where a bucket then still holds several classes, its lines are compared
+    pair by pair up to PAIRWISE lines; those of larger ones meet by their rarest shingles, which loses
+    no pair and does not grow with the square of lines that share an opening (`rare_pairs`).
     """
-    mixed = F.col("id").bitwiseXOR(F.col("key"))
-    buckets = members.groupBy("key").agg(
-        F.count("*").alias("n"), F.min(mixed).alias("least")
-    ).where("n > 1").select("key", "n", F.col("least").bitwiseXOR(F.col("key")).alias("pivot"))
-    return members.join(broadcast_up_to(stage(buckets, "buckets"), BROADCAST_ROWS), "key")
-
-
-def _pivot_pairs(shared: DataFrame) -> DataFrame:
-    """Distinct pairs `a`, `b` of a line and the pivot of one of its buckets: n - 1 and not n²."""
-    return shared.where(F.col("id") != F.col("pivot")).select(
-        F.greatest("id", "pivot").alias("a"), F.least("id", "pivot").alias("b")).distinct()
-
-
-def _candidates(signatures: DataFrame) -> DataFrame:
-    """The pairs of the first pass, of every line with its pivots."""
-    return _pivot_pairs(_shared(signatures.select("id", F.explode("keys").alias("key"))))
-
-
-def _unsettled(shared: DataFrame, labels: DataFrame) -> DataFrame:
-    """The rows of buckets whose lines are in several classes, with the `class`: two lines there may be
-    near and not have been compared. Within a class there is nothing left to find."""
+    signatures = stage(_signatures(lines.where(F.char_length("line") >= MIN_CHARS)), "signatures")
+    members = signatures.select("id", "sketch", F.explode("keys").alias("key"))
+    buckets = members.groupBy("key").agg(F.count("*").alias("n"), F.min("id").alias("hub")).where("n > 1")
+    shared = stage(members.join(broadcast_up_to(stage(buckets, "buckets"), BROADCAST_ROWS), "key"), "shared")
+    hubs = shared.where("id = hub").select("key", F.col("sketch").alias("hub_sketch"))
+    stars = stage(shared.where("id <> hub").join(hubs, "key").where(_alike("sketch", "hub_sketch")).select(
+        F.col("id").alias("a"), F.col("hub").alias("b")).distinct(), "star_pairs")
+    nearest = stars.groupBy("a").agg(F.min("b").alias("b"))
+    links = _links(nearest, lines)
+    others = across(stars, components(links)).join(nearest, ["a", "b"], "left_anti")
+    links = links.unionByName(_links(others, lines))
+    labels = components(links)
     classed = shared.where("n > 2").join(
         broadcast_up_to(labels.withColumnRenamed("node", "id"), BROADCAST_ROWS), "id", "left"
-    ).select("id", "key", "n", F.coalesce("component", "id").alias("class"))
+    ).select("key", "id", "sketch", "n", "hub", F.coalesce("component", "id").alias("class"))
     several = classed.groupBy("key").agg(F.min("class").alias("x"), F.max("class").alias("y")).where("x < y")
-    return classed.join(several.select("key"), "key", "left_semi")
+    open_lines = stage(classed.join(several.select("key"), "key", "left_semi"), "open")
+    crowd = stage(open_lines.where(F.col("n") > PAIRWISE).select(
+        F.col("id").alias("node"), "class").distinct(), "crowd")
+    pairs = _pairs_in(open_lines.where(F.col("n") <= PAIRWISE))
+    if not crowd.isEmpty():
+        pairs = pairs.unionByName(rare_pairs(crowd, _sets(lines, crowd.select(F.col("node").alias("id"))), PERCENT))
+    more = _links(pairs.distinct(), lines)
+    return labels if more.isEmpty() else components(links.unionByName(more))
+
+
+def _pairs_in(rows: DataFrame) -> DataFrame:
+    """The pairs of a bucket's lines in two classes that were not compared with its first line and may
+    be alike."""
+    rows = rows.where("id <> hub")
+    other = rows.select("key", F.col("id").alias("b"), F.col("class").alias("class_b"), F.col("sketch").alias("sketch_b"))
+    return rows.withColumnRenamed("id", "a").join(other, "key").where(
+        (F.col("a") > F.col("b")) & (F.col("class") != F.col("class_b")) & _alike("sketch", "sketch_b")
+    ).select("a", "b").distinct()
 
 
-def _cross_pairs(rows: DataFrame) -> DataFrame:
-    """All pairs of lines of one bucket that are in two classes."""
-    other = rows.select("key", F.col("id").alias("b"), F.col("class").alias("class_b"))
-    return rows.withColumnRenamed("id", "a").join(other, "key").where(
-        (F.col("a") > F.col("b")) & (F.col("class") != F.col("class_b"))).select("a", "b").distinct()
+def _texts(lines: DataFrame, ids: DataFrame) -> DataFrame:
+    """`id` and `code`, the text in UTF-32, of the wanted distinct lines."""
+    ids = stage(ids, "ids")
+    return _compressed(
+        lines.select("id", "line").join(broadcast_up_to(ids, BROADCAST_ROWS), "id", "left_semi")
+        .dropDuplicates(["id"]).select("id", F.encode("line", "UTF-32").alias("code")), "texts")
 
 
-def near_classes(lines: DataFrame) -> DataFrame:
-    """Classes of near lines as `node`, `component`, without those that are their own.
+def _compressed(df: DataFrame, label: str) -> DataFrame:
+    """`stage` for texts, which take most of the disk."""
+    path = own_folder(df.sparkSession, label)
+    df.write.option("compression", "zstd").parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
-    Each line is first compared with the pivots of its buckets. Buckets that still hold several
-    classes are compared pair by pair if they are small; the lines of larger ones are dealt again by
-    further minima, with pivots again, and so on; what the last round leaves is compared pair by pair.
-    """
-    signatures = stage(_signatures(lines), "signatures")
-    shared = stage(_shared(signatures.select("id", F.explode("keys").alias("key"))), "shared")
-    links = stage(_links(stage(_pivot_pairs(shared), "pairs"), lines), "links")
-    labels = components(links)
-    for finer in [*FINER, None]:
-        left = stage(_unsettled(shared, labels), "unsettled")
-        if left.isEmpty():
-            break
-        if finer:
-            pairs = _cross_pairs(left.where(F.col("n") <= SMALL))
-            again = stage(left.where(F.col("n") > SMALL).select("id").distinct(), "again")
-            members = _finer(
-                lines.select("id", "line").join(broadcast_up_to(again, BROADCAST_ROWS), "id", "left_semi")
-                .dropDuplicates(["id"]), *finer)
-            shared = stage(_shared(stage(members, "members")), "shared")
-            pairs = pairs.unionByName(_pivot_pairs(shared)).distinct()
-        else:
-            pairs = _cross_pairs(left)
-        links = links.unionByName(stage(_links(stage(pairs, "pairs"), lines), "links"))
-        labels = components(links)
-    return labels
 
+def _grams(code: str) -> Column:
+    return F.array_distinct(F.transform(_places(F.col(code)), lambda at: _shingle(F.col(code), at)))
 
-def _links(pairs: DataFrame, lines: DataFrame) -> DataFrame:
-    """The pairs whose sets of SHINGLE characters have a Jaccard similarity of THRESHOLD."""
-    ids = stage(pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct(), "ids")
-    texts = stage(
-        lines.select("id", "line").join(broadcast_up_to(ids, BROADCAST_ROWS), "id", "left_semi")
-        .dropDuplicates(["id"]), "texts")
 
-    def grams(line: str) -> Column:
-        found = F.regexp_extract_all(line, F.lit(_EVERY), F.lit(1))
-        return F.array_distinct(F.transform(found, lambda s: F.xxhash64(s)))
+def _sets(lines: DataFrame, ids: DataFrame) -> DataFrame:
+    return _texts(lines, ids).select(F.col("id").alias("node"), _grams("code").alias("hashes"))
+
 
-    both = pairs.join(texts.select(F.col("id").alias("a"), F.col("line").alias("line_a")), "a").join(
-        texts.select(F.col("id").alias("b"), F.col("line").alias("line_b")), "b")
-    sets = both.select("a", "b", grams("line_a").alias("x"), grams("line_b").alias("y"))
+def _links(pairs: DataFrame, lines: DataFrame) -> DataFrame:
+    """The pairs whose sets of SHINGLE characters have a Jaccard similarity of PERCENT."""
+    pairs = stage(pairs, "pairs")
+    texts = _texts(lines, pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct())
+    both = pairs.join(texts.select(F.col("id").alias("a"), F.col("code").alias("code_a")), "a").join(
+        texts.select(F.col("id").alias("b"), F.col("code").alias("code_b")), "b")
+    sets = both.select("a", "b", _grams("code_a").alias("x"), _grams("code_b").alias("y"))
     common = F.size(F.array_intersect("x", "y"))
     union = F.size("x") + F.size("y") - common
-    return sets.where(common >= THRESHOLD * union).select("a", "b")
+    return stage(sets.where(100 * common >= PERCENT * union).select("a", "b"), "links")
 
 
-def duplicate_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """Lines to remove, as `_llm_row` and the `_dropped` line numbers of the row.
+def duplicate_lines(docs: DataFrame, row: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """Lines to remove, as `_row` and the `_dropped` line numbers of the row.
 
-    `docs` numbers its rows in the column `_llm_row`. Lines are split at line feeds; equal lines and
-    lines linked through any chain of near ones form a class, of which the first line stays: of the
-    smallest id, null ids first, then of the first row and line.
+    `docs` numbers its rows in the column `row`. Lines are split at line feeds; equal lines, however
+    short, and lines linked through any chain of near ones form a class, of which the first line
+    stays: of the smallest id, null ids first, then of the first row and line. Blank lines stay.
     """
-    rows = docs.select("_llm_row", F.col(f"`{id_col}`").alias("_id"), F.col(f"`{text_col}`").alias("_text"))
+    rows = docs.select(F.col(f"`{row}`").alias("_row"), F.col(f"`{id_col}`").alias("_id"),
+                       F.col(f"`{text_col}`").alias("_text"))
     # Cut and lower-cased once; the steps below each read the columns they need.
-    lines = stage(_lines(rows), "lines")
+    lines = _compressed(_lines(rows), "lines")
     labels = near_classes(lines).withColumnRenamed("node", "id")
-    places = lines.select("id", "_id", "_llm_row", "line_no")
+    places = lines.select("id", "_id", "_row", "line_no")
     classed = places.join(broadcast_up_to(labels, BROADCAST_ROWS), "id", "left").select(
-        F.coalesce("component", "id").alias("class"), F.struct("_id", "_llm_row", "line_no").alias("place"))
+        F.coalesce("component", "id").alias("class"), F.struct("_id", "_row", "line_no").alias("place"))
     firsts = stage(
         classed.groupBy("class").agg(F.count("*").alias("n"), F.min("place").alias("first"))
         .where("n > 1").select("class", "first"), "firsts")
     return classed.join(broadcast_up_to(firsts, BROADCAST_ROWS), "class").where(
         F.col("place") != F.col("first")
-    ).groupBy(F.col("place._llm_row").alias("_llm_row")).agg(
-        F.collect_list("place.line_no").alias("_dropped"))
+    ).groupBy(F.col("place._row").alias("_row")).agg(F.collect_list("place.line_no").alias("_dropped"))
 
 
 def drop_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """`docs` with the duplicate lines taken out of its texts, and `n_lines`, `n_dropped` and
-    `emptied`: had a line that is not blank, and has none left. Columns of these names are replaced.
+    `emptied`: had a line that is not blank, and has none left. Columns of these names are replaced,
+    all others, whatever their names, are kept.
 
     Rows of `docs` must come in the same order whenever it is read, as from files. Null texts stay
     null, empty and blank ones as they are; repeated rows count as separate documents, so the later
     ones lose their lines. Every step in between reads written tables.
     """
-    numbered = docs.withColumn("_llm_row", F.monotonically_increasing_id())
-    dropped = stage(duplicate_lines(numbered, id_col, text_col), "dropped")
-    joined = numbered.join(broadcast_up_to(dropped, BROADCAST_ROWS), "_llm_row", "left")
-    lines = F.split(F.col(f"`{text_col}`"), "\n")
-    left = F.transform(
-        F.array_except(F.sequence(F.lit(0), F.size("_lines") - 1), F.col("_dropped")),
-        lambda n: F.get(F.col("_lines"), n))
-    text = F.when(F.col("_dropped").isNull(), F.col(f"`{text_col}`")).otherwise(F.array_join(left, "\n"))
+    row, dropped = unused("_row", docs), unused("_dropped", docs)
+    numbered = docs.withColumn(row, F.monotonically_increasing_id())
+    lost = stage(duplicate_lines(numbered, row, id_col, text_col), "dropped").withColumnsRenamed(
+        {"_row": row, "_dropped": dropped})
+    joined = numbered.join(broadcast_up_to(lost, BROADCAST_ROWS), row, "left")
+    whole, gone = F.col(f"`{text_col}`"), F.col(f"`{dropped}`")
+    left = F.filter(F.split(whole, "\n"), lambda line, n: ~F.array_contains(gone, n))
+    text = F.when(gone.isNull(), whole).otherwise(F.array_join(left, "\n"))
     # Counted in bytes, as splitting every text again would cost more.
-    whole = F.col(f"`{text_col}`")
     breaks = F.octet_length(whole) - F.octet_length(F.replace(whole, F.lit("\n"), F.lit("")))
-    blank = F.translate("_new", " \t\n\x0b\x0c\r", "") == ""
-    return joined.withColumn("_lines", F.when(F.col("_dropped").isNotNull(), lines)).withColumn(
-        "_new", text
-    ).select(
-        *[F.col("_new").alias(c) if c == text_col else F.col(f"`{c}`") for c in docs.columns
+    blank = F.translate(text, " \t\n\x0b\x0c\r", "") == ""
+    return joined.select(
+        *[text.alias(c) if c == text_col else F.col(f"`{c}`") for c in docs.columns
           if c not in ("n_lines", "n_dropped", "emptied")],
         F.coalesce(breaks + 1, F.lit(0)).cast("int").alias("n_lines"),
-        F.coalesce(F.size("_dropped"), F.lit(0)).alias("n_dropped"),
-        F.coalesce(F.col("_dropped").isNotNull() & blank, F.lit(False)).alias("emptied"),
+        F.coalesce(F.size(gone), F.lit(0)).alias("n_dropped"),
+        F.coalesce(gone.isNotNull() & blank, F.lit(False)).alias("emptied"),
     )
+
+
+def unused(name: str, df: DataFrame) -> str:
+    """`name`, with underscores in front until no column of `df` has it."""
+    while name in map(str.lower, df.columns):
+        name = f"_{name}"
+    return name

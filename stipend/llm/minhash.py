@@ -1,6 +1,5 @@
 """Near-duplicate documents by one-permutation MinHash with optimal densification."""
 
-import math
 import random
 from collections.abc import Iterator
 
@@ -10,7 +9,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from xxhash import xxh3_128_digest, xxh64_intdigest
 
-from stipend.llm.components import components
+from stipend.llm.components import across, components
+from stipend.llm.prefixes import rare_pairs, sizes_within
 from stipend.llm.sizes import broadcast_up_to
 from stipend.shared import own_folder, stage
 
@@ -22,9 +22,6 @@ BINS = BANDS * ROWS
 #: Pairs that agree in fewer minima are not compared: 6 standard deviations below 0.8 of BINS.
 MIN_AGREEING = 90
 
-#: Ratio of the sizes of two bins of open sets.
-SIZE_STEP = 1.05
-
 #: Rows of narrow tables (numbers of documents) that may be broadcast: some tens of MB.
 BROADCAST_ROWS = 1_000_000
 
@@ -134,7 +131,7 @@ def near_duplicate_groups(
 
     Equal sets are one node. In a bucket of equal band only the pairs with its first node are
     compared, so pairs grow with the members and not with their square. Buckets whose nodes are
-    then still in several classes are settled by `_rest`, which loses none. Pairs are compared by
+    then still in several classes are settled by `rare_pairs`, which loses none. Pairs are compared by
     signature, then on the full sets.
     """
     if percent < 80:
@@ -170,7 +167,7 @@ def _classes(nodes: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     # class needs no further look.
     nearest = stars.groupBy(F.col("node").alias("a")).agg(F.min("hub").alias("b"))
     links = _links(nearest, nodes, sets, percent)
-    others = _across(stars.select(F.col("node").alias("a"), F.col("hub").alias("b")).distinct(), components(links))
+    others = across(stars.select(F.col("node").alias("a"), F.col("hub").alias("b")).distinct(), components(links))
     links = links.unionByName(_links(others.join(nearest, ["a", "b"], "left_anti"), nodes, sets, percent))
     labels = components(links)
     classed = shared.where("size > 2").join(labels, "node", "left").select(
@@ -179,23 +176,11 @@ def _classes(nodes: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     open_nodes = stage(classed.join(split.select("key"), "key", "left_semi").select("node", "class").distinct(), "open")
     if open_nodes.isEmpty():
         return labels
-    more = _links(_rest(open_nodes, nodes, sets, percent), nodes, sets, percent)
+    wanted = sets.join(broadcast_up_to(open_nodes.select("node"), BROADCAST_ROWS), "node", "left_semi")
+    more = _links(rare_pairs(open_nodes, wanted, percent), nodes, sets, percent)
     return components(links.unionByName(more))
 
 
-def _across(pairs: DataFrame, labels: DataFrame) -> DataFrame:
-    """The pairs whose ends are in two classes."""
-    for end in ("a", "b"):
-        classes = labels.select(F.col("node").alias(end), F.col("component").alias(f"class_{end}"))
-        pairs = pairs.join(classes, end, "left").withColumn(f"class_{end}", F.coalesce(f"class_{end}", end))
-    return pairs.where("class_a <> class_b").select("a", "b")
-
-
-def _within(n_a: Column, n_b: Column, percent: int) -> Column:
-    """Whether sets of these sizes can be as similar as that."""
-    return 100 * F.least(n_a, n_b) >= percent * F.greatest(n_a, n_b)
-
-
 def _links(pairs: DataFrame, nodes: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """The linked ones of the pairs `a`, `b`, by their minima and then by their sets."""
     def side(df: DataFrame, end: str) -> DataFrame:
@@ -204,63 +189,10 @@ def _links(pairs: DataFrame, nodes: DataFrame, sets: DataFrame, percent: int) ->
     signed = pairs.join(side(nodes, "a"), "a").join(side(nodes, "b"), "b")
     agreeing = F.size(F.filter(F.zip_with("minima_a", "minima_b", lambda x, y: x == y), lambda same: same))
     close = stage(signed.where(
-        _within(F.col("n_a"), F.col("n_b"), percent) & (agreeing >= MIN_AGREEING)
+        sizes_within(F.col("n_a"), F.col("n_b"), percent) & (agreeing >= MIN_AGREEING)
     ).select("a", "b", "n_a", "n_b"), "close")
     ids = stage(close.select(F.explode(F.array("a", "b")).alias("node")).distinct(), "ids")
     wanted = sets.join(broadcast_up_to(ids, BROADCAST_ROWS), "node", "left_semi")
     common = F.size(F.array_intersect("hashes_a", "hashes_b"))
     return stage(close.join(side(wanted, "a"), "a").join(side(wanted, "b"), "b").where(
         100 * common >= percent * (F.col("n_a") + F.col("n_b") - common)).select("a", "b"), "links")
-
-
-def _rest(open_nodes: DataFrame, nodes: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """Pairs of open nodes of different classes that may be linked, by their rarest shingles.
-
-    Put all sets in one order, rarest shingle first. Two linked sets of n and m >= n shingles have at
-    least c = (n + m) * percent / (100 + percent) in common, so their first common one is among the
-    first n - c + 1 of the smaller and the first m - c + 1 of the larger: a ninth of either at 80
-    percent and equal sizes. What many nodes share comes last in that order, so texts that have a
-    header or a licence in common do not meet unless they are as good as linked. A place in the
-    larger set admits a range of smaller sizes, so it looks for these alone, in bins of SIZE_STEP.
-    Classes meet first, their members then, so that a large class is not compared within itself.
-    """
-    wanted = sets.join(broadcast_up_to(open_nodes.select("node"), BROADCAST_ROWS), "node", "left_semi")
-    held = open_nodes.join(wanted, "node").select("node", "class", F.explode("hashes").alias("h"))
-    often = held.groupBy("h").agg(
-        F.count("*").alias("times"), (F.min("class") < F.max("class")).alias("several"))
-    ranked = held.join(often, "h").groupBy("node", "class").agg(
-        F.array_sort(F.collect_list(F.struct("times", "h", "several"))).alias("order"))
-    as_larger = F.size("order") - F.ceil(F.size("order") * percent / 100).cast("int") + 1
-    firsts = stage(
-        ranked.select("node", "class", F.size("order").cast("bigint").alias("n"),
-                      F.posexplode(F.slice("order", F.lit(1), as_larger)).alias("place", "s"))
-        .where("s.several").select("node", "class", "n", (F.col("n") - F.col("place")).alias("left"),
-                                   F.col("s.h").alias("h")), "firsts")
-
-    def enough(n_a: str, n_b: str, left_a: str, left_b: str) -> Column:
-        """Whether this can be the first common shingle of linked sets: no more can follow than is left."""
-        least = F.least(left_a, left_b) * (100 + percent)
-        return least >= percent * (F.col(n_a) + F.col(n_b))
-
-    def bin_of(n: Column) -> Column:
-        return F.floor(F.log(n) / math.log(SIZE_STEP)).cast("int")
-
-    smallest = F.col("n") * percent / 100
-    greatest = F.least(F.col("n"), F.col("left") * (100 + percent) / percent - F.col("n"))
-    smaller = firsts.where(F.col("left") * (100 + percent) >= 2 * percent * F.col("n")).select(
-        "h", bin_of(F.col("n")).alias("bin"), F.col("class").alias("class_a"), F.col("node").alias("a"),
-        F.col("n").alias("n_a"), F.col("left").alias("left_a"))
-    larger = firsts.where(smallest <= greatest).select(
-        "h", F.explode(F.sequence(bin_of(smallest), bin_of(greatest))).alias("bin"), F.col("class").alias("class_b"),
-        F.col("node").alias("b"), F.col("n").alias("n_b"), F.col("left").alias("left_b"))
-    # At best, the members of two classes are as small and have as much left as any of them.
-    class_a = smaller.groupBy("h", "bin", "class_a").agg(F.min("n_a").alias("some_n_a"), F.max("left_a").alias("some_left_a"))
-    class_b = larger.groupBy("h", "bin", "class_b").agg(F.min("n_b").alias("some_n_b"), F.max("left_b").alias("some_left_b"))
-    met = class_a.join(class_b, ["h", "bin"]).where(
-        (F.col("class_a") != F.col("class_b")) & enough("some_n_a", "some_n_b", "some_left_a", "some_left_b"))
-    some = met.drop("some_n_a", "some_left_a").join(smaller, ["h", "bin", "class_a"]).where(
-        enough("n_a", "some_n_b", "left_a", "some_left_b"))
-    ordered = (F.col("n_a") < F.col("n_b")) | ((F.col("n_a") == F.col("n_b")) & (F.col("a") < F.col("b")))
-    return some.join(larger, ["h", "bin", "class_b"]).where(
-        ordered & _within(F.col("n_a"), F.col("n_b"), percent) & enough("n_a", "n_b", "left_a", "left_b")
-    ).select("a", "b").distinct()

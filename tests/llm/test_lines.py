@@ -1,0 +1,82 @@
+"""Line deduplication as a whole: recall, crowds just below the threshold, odd columns."""
+
+import random
+
+from stipend.llm import lines
+
+WORDS = "the of river stone cloud paper window garden light music winter seven apple green water house".split()
+
+
+def sentence(rng, n):
+    return " ".join(rng.choice(WORDS) + str(rng.randrange(50)) for _ in range(n))
+
+
+def frame(spark, texts):
+    return spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string").coalesce(2)
+
+
+def shingles(text):
+    return {text[n : n + 5] for n in range(max(1, len(text) - 4))}
+
+
+def similarity(a, b):
+    x, y = shingles(a), shingles(b)
+    return len(x & y) / len(x | y)
+
+
+def test_recall_through_drop_lines(spark):
+    """Pairs with character edits, among them lines without spaces: the second of each must go."""
+    rng = random.Random(3)
+    texts, wanted = [], []
+    while len(wanted) < 400:
+        base = sentence(rng, rng.randrange(6, 25))
+        if rng.random() < 0.3:
+            base = base.replace(" ", "/")
+        chars = list(base)
+        for place in rng.sample(range(len(chars)), rng.randrange(1, max(2, len(chars) // 40))):
+            chars[place] = rng.choice("xyzq")
+        other = "".join(chars)
+        if similarity(base, other) >= 0.8 and base != other:
+            wanted.append(len(texts) + 1)
+            texts += [base, other]
+    gone = {r.doc_id for r in lines.drop_lines(frame(spark, texts)).collect() if r.emptied}
+    assert not gone - set(wanted) and len(gone) >= 0.95 * len(wanted)
+
+
+def test_crowds_below_the_threshold_stay_linear(spark, monkeypatch):
+    seen, plain = [], lines._links
+
+    def links(pairs, *args):
+        seen.append(pairs.count())
+        return plain(pairs, *args)
+
+    monkeypatch.setattr(lines, "_links", links)
+    made = []
+    for n in (100, 200, 400):
+        rng = random.Random(7)
+        opening = sentence(rng, 22)
+        texts = [opening + " " + "".join(rng.choice("bcdfghjklm") for _ in range(24)) for _ in range(n)]
+        assert 0.7 < similarity(*texts[:2]) < 0.8
+        texts += [texts[5] + "e", texts[9][:-1]]
+        seen.clear()
+        gone = [r.doc_id for r in lines.drop_lines(frame(spark, texts)).collect() if r.emptied]
+        assert gone == [n, n + 1]
+        made.append(sum(seen))
+    assert made[1] <= 2.5 * made[0] + 20 and made[2] <= 2.5 * made[1] + 20
+
+
+def test_short_lines_go_if_they_are_equal(spark):
+    texts = ["- item\nno\n\n \n", "No \nyes", "yes", "nope", None, ""]
+    got = {r.doc_id: r for r in lines.drop_lines(frame(spark, texts)).collect()}
+    assert [got[n].text for n in range(6)] == [texts[0], "yes", "", "nope", None, ""]
+    assert [got[n].emptied for n in range(6)] == [False, False, True, False, False, False]
+    assert [got[n].n_lines for n in range(6)] == [5, 2, 1, 1, 0, 1]
+
+
+def test_columns_of_any_name_are_kept(spark):
+    line = sentence(random.Random(1), 12)
+    names = ["_row", "_dropped", "__ROW", "_llm_row", "_lines", "_new", "_id", "_text", "key", "line", "a.b"]
+    rows = [(n, text, *(f"{name}{n}" for name in names)) for n, text in enumerate([line, line, None])]
+    schema = "doc_id bigint, text string, " + ", ".join(f"`{name}` string" for name in names)
+    got = sorted(lines.drop_lines(spark.createDataFrame(rows, schema).coalesce(1)).collect())
+    assert [tuple(r)[: len(names) + 2] for r in got] == [rows[0], (1, "", *rows[1][2:]), rows[2]]

@@ -105,8 +105,8 @@ def test_crowd_below_the_threshold(spark, monkeypatch):
     """Texts that share a long header are in the same buckets and not near; the pairs that are left to
     compare must not grow with their square, and near ones among them must not be lost."""
     seen = []
-    rest = minhash._rest
-    monkeypatch.setattr(minhash, "_rest", lambda *args: seen.append(rest(*args)) or seen[-1])
+    rest = minhash.rare_pairs
+    monkeypatch.setattr(minhash, "rare_pairs", lambda *args: seen.append(rest(*args)) or seen[-1])
     sizes = []
     for n in (40, 80):
         rows = crowd(random.Random(1), n, 200, 30)
