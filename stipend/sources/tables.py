@@ -64,7 +64,7 @@ def load_text_csv(spark: SparkSession, path: str, sep: str = ",", multiline: boo
     # Spark's reader took the names from the first record alone.
     records = whole_records(spark, path, sep).where(~F.col("is_first"))
     cells = ", ".join(f"_{n} string" for n in range(len(rows.columns)))
-    return parse_records(records, cells, sep).toDF(*rows.columns)
+    return parse_records(records, cells, sep).toDF(*[c.removesuffix("\r") for c in rows.columns])
 
 
 def load_payout_inputs(spark: SparkSession, folder: str) -> dict[str, DataFrame]:
