@@ -503,12 +503,12 @@ JOIN (SELECT l_suppkey % 100 AS g, l_orderkey, CAST(l_shipdate AS DATE) AS sent,
   ON g = "group" AND ordered <= arrived AND closed >= sent
 GROUP BY 1, 2, ordered, closed
 """.strip(),
-    "kept_pages": f"""
+    "kept_pages": "UNION ALL".join(f"""
 SELECT {_ITEM}, l_discount, l_tax, l_returnflag, l_linestatus, {_iso("l_shipdate")}, row_no
 FROM (SELECT *, row_number() OVER (
   ORDER BY {_ITEM}, l_discount, l_tax, l_returnflag, l_linestatus, l_shipdate) AS row_no FROM lineitem)
-WHERE row_no BETWEEN 3001 AND 5500 OR row_no > (SELECT count(*) FROM lineitem) - 700
-""".strip(),
+WHERE {page}
+""" for page in ("row_no BETWEEN 3001 AND 5500", "row_no > (SELECT count(*) FROM lineitem) - 700")),
     "typed_csv": f"""
 SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice, {_iso("o_orderdate")}, o_orderpriority
 FROM orders

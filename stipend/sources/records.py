@@ -111,10 +111,10 @@ def whole_records(spark: SparkSession, path: str, sep: str) -> DataFrame:
 
     begins = states.groupBy("file", "split").agg(F.max("began").alias("began"), F.min("at").alias("first_at"))
     earlier = of_file.rowsBetween(Window.unboundedPreceding, -1)
-    begins = begins.select(
+    begins = stage(begins.select(
         "file", "split", F.last(F.when(F.col("began").isNotNull(), F.struct("split", "began")),
                                 ignorenulls=True).over(earlier).alias("carried"),
-        F.min(F.struct("split", "first_at")).over(of_file).alias("first"))
+        F.min(F.struct("split", "first_at")).over(of_file).alias("first")), "begins")
     begun = states.join(begins, ["file", "split"]).select(
         "value", "file", "split", "at", "before", "after", "first",
         F.when(F.col("began").isNotNull(), F.struct("split", "began")).otherwise(F.col("carried")).alias("record_at"))
