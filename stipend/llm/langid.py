@@ -1,15 +1,18 @@
 """Language identification: scripts narrow the candidates, Viterbi labels spans of words."""
 
 import re
+import sys
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from stipend.shared import stage
+
 #: Script blocks as (name, first code point, last code point).
 SCRIPTS = [
     ("latin", 0x0041, 0x024F),
@@ -34,7 +37,7 @@ SCRIPTS = [
 #: Name of a document that has no letter.
 UNDETERMINED = "und"
 
-#: Letter groups, over all languages, that a model keeps at most, most frequent first.
+#: Letter groups that a model keeps at most, in equal parts for all languages, most frequent first.
 MODEL_ROWS = 200_000
 
 #: Log-probability lost by a change of language between two words.
@@ -47,7 +50,9 @@ WORD_LIMIT = 10.0
 SCRIPT_SHARE = 0.02
 
 _GROUP = 3
-_WORD = re.compile(r"[^\W\d_]+")
+# Signs such as ½ or Ⅷ are numbers, not letters, though part of words to `re`.
+_NO_LETTERS = "".join(c for c in map(chr, range(sys.maxunicode + 1)) if c.isalnum() and not c.isalpha() and not c.isdecimal())
+_WORD = re.compile(rf"[^\W\d_{_NO_LETTERS}]+")
 _FIRSTS = np.array([first for _, first, _ in SCRIPTS])
 _REMEMBERED = 300_000
 _CELLS = 2_000_000
@@ -73,8 +78,10 @@ class Model:
 def train(docs: DataFrame, text_col: str = "text", lang_col: str = "lang") -> Model:
     """Learn from all rows of `docs` that have a text and a language.
 
-    Groups of three letters, with the edges of words, are counted in the tasks and summed; the model
-    keeps the MODEL_ROWS most frequent, so its size is bounded.
+    Groups of three letters, with the edges of words, are counted in the tasks and summed. Of each
+    language the model keeps the most frequent, all that are as frequent or none, up to its part of
+    MODEL_ROWS, so its size is bounded and no language crowds out another; its chances are shares of
+    all groups of the language, kept or not.
     """
     rows = docs.where(F.col(text_col).isNotNull() & F.col(lang_col).isNotNull()).select(
         F.col(text_col).alias("text"), F.col(lang_col).alias("lang"))
@@ -96,11 +103,19 @@ def train(docs: DataFrame, text_col: str = "text", lang_col: str = "lang") -> Mo
             [*[pa.array([k[n] for k in keys], pa.string()) for n in range(3)],
              pa.array([groups[k] for k in keys], pa.int64())], ["lang", "kind", "item", "n"])
 
-    counts = rows.mapInArrow(count, "lang string, kind string, item string, n bigint").groupBy(
-        "lang", "kind", "item").agg(F.sum("n").alias("n"))
-    # Scripts first: they are few and never left out.
-    found = counts.orderBy(F.col("kind").desc(), F.col("n").desc(), "lang", "item").limit(
-        MODEL_ROWS).collect()
+    counts = stage(rows.mapInArrow(count, "lang string, kind string, item string, n bigint").groupBy(
+        "lang", "kind", "item").agg(F.sum("n").alias("n")), "groups")
+    every = counts.where("kind = 'group'")
+    # A row per language: their number is that of the labels.
+    totals = {r["lang"]: r["n"] for r in every.groupBy("lang").agg(F.sum("n").alias("n")).collect()}
+    quota = MODEL_ROWS // max(1, len(totals))
+    # Groups by how often they occur, a few rows per language, give the least count that is kept.
+    down = Window.partitionBy("lang").orderBy(F.col("n").desc())
+    least = every.groupBy("lang", "n").agg(F.count("*").alias("groups")).withColumn(
+        "so_far", F.sum("groups").over(down)).where(F.col("so_far") <= quota).groupBy("lang").agg(
+        F.min("n").alias("least"))
+    found = counts.join(F.broadcast(least), "lang", "left").where(
+        (F.col("kind") == "script") | (F.col("n") >= F.col("least"))).collect()
     langs = sorted({row["lang"] for row in found})
     at = {lang: n for n, lang in enumerate(langs)}
     groups = {"": 0}
@@ -113,7 +128,7 @@ def train(docs: DataFrame, text_col: str = "text", lang_col: str = "lang") -> Mo
             seen[groups[row["item"]], at[row["lang"]]] += row["n"]
         else:
             letters.setdefault(row["item"], np.zeros(len(langs)))[at[row["lang"]]] += row["n"]
-    total = seen.sum(axis=0)
+    total = np.array([totals.get(lang, 0) for lang in langs], float)
     scores = np.log((seen + 0.5) / (total + 0.5 * len(groups)))
     scores[0] = 0
     written = sum(letters.values(), np.zeros(len(langs)))

@@ -1,5 +1,9 @@
 """Format-preserving pseudonyms for personal data, by a keyed Feistel network."""
 
+import hashlib
+import hmac
+import re
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -39,10 +43,18 @@ PATTERNS = {
     "ip": rf"(?<![\d.]){_OCTET}(?:\.{_OCTET}){{3}}(?!\d|\.\d)",
     "ssn": r"(?<![\d-])(?!000|666|9)\d{3}-(?!00)\d{2}-(?!0000)\d{4}(?![\d-])",
     "phone": r"(?<![\w.])(?:\+\d{1,3}[ .-]?)?(?:\([2-9]\d{2}\) ?|[2-9]\d{2}[.-])[2-9]\d{2}[ .-]\d{4}(?!\d)|(?<![\w.])\+\d{1,3}(?:[ .-]?\d{2,4}){2,4}(?!\d)",
-    "card": r"(?<![\d.-])[1-9](?:[ -]?\d){12,18}(?![\d-])",
 }
+# A run of 13 digits or more, in groups of any length, up to where something else begins.
+_OTHERS = "|".join(PATTERNS[k] for k in ("iso_date", "day_date", "ip", "ssn", "phone"))
+PATTERNS["card"] = rf"(?<![\d.-])\d(?:(?:[ -](?!{_OTHERS}))?\d){{12,}}+"
 PATTERN = "|".join(f"(?:{p})" for p in PATTERNS.values())
 
+#: First digits and lengths of the numbers of the large card networks: looked for inside longer numbers, too.
+NETWORKS = [
+    ("4", 16), ("5[1-5]", 16), ("222[1-9]", 16), ("22[3-9]", 16), ("2[3-6]", 16), ("27[01]", 16), ("2720", 16),
+    ("6011", 16), ("64[4-9]", 16), ("65", 16), ("62", 16), ("35", 16), ("3[47]", 15), ("30[0-5]", 14), ("3[68]", 14),
+]
+
 #: First day and number of days of the dates that are permuted: 1900-01-01 to 2099-12-31.
 FIRST_DAY = "1900-01-01"
 _DAY_PARTS = (17, 4297)
@@ -61,6 +73,13 @@ def _quotient(x: Column, y: Column) -> Column:
     return F.call_function("div", x, y)
 
 
+def derived(key: str, use: str) -> str:
+    """A key for one use alone, made on the driver by a keyed one-way hash. Only derived keys are part of
+    a plan, so `explain` and event logs never hold `key` itself; who reads them can undo the
+    pseudonyms of that use, so plans of this operator are to be kept like its input."""
+    return hmac.new(key.encode(), use.encode(), hashlib.sha256).hexdigest()
+
+
 def feistel(value: Column, left: Column, right: Column, key: str, tweak: str, back: bool = False) -> Column:
     """Keyed permutation of the numbers 0 … left · right - 1; `back` undoes it."""
     halves = _mixed_halves(_quotient(value, right), value % right, left, right, key, tweak, back)
@@ -74,8 +93,10 @@ def _mixed_halves(
     every round, and with it the whole, is one-to-one on exactly these ranges."""
     rounds = F.sequence(F.lit(ROUNDS), F.lit(1), F.lit(-1)) if back else F.sequence(F.lit(1), F.lit(ROUNDS))
 
+    keys = F.array(*[F.lit(derived(key, f"{tweak}:{n}")) for n in range(1, ROUNDS + 1)])
+
     def mark(n: Column, half: Column) -> Column:
-        digest = F.sha2(F.concat_ws(":", F.lit(key), F.lit(tweak), n.cast("string"), half.cast("string")), 256)
+        digest = F.sha2(F.concat_ws(":", F.element_at(keys, n), half.cast("string")), 256)
         return F.conv(F.substring(digest, 1, 14), 16, 10).cast("bigint")
 
     def turn(state: Column, n: Column) -> Column:
@@ -171,35 +192,47 @@ def mod97(text: Column) -> Column:
         .otherwise((s * 100 + F.ascii(c) - 55) % 97))
 
 
+def _numbers_in(run: Column) -> Column:
+    """The valid card numbers in a run of digit groups, each as it is written there: first those of the
+    networks that begin and end with a group, then others of 13 to 19 digits that do, both in groups
+    of four digits or more but for the last, then those of the networks inside one longer group."""
+    def found(pattern: str) -> Column:
+        # Looking ahead finds the numbers of every place, overlapping ones, too.
+        return F.regexp_extract_all(run, F.lit(pattern), F.lit(1))
+
+    def networks(separator: str) -> str:
+        sizes = [(first, size - len(re.sub(r"\[[^]]*\]", "x", first))) for first, size in NETWORKS]
+        return "|".join(rf"{first}(?:{separator}\d){{{rest}}}" for first, rest in sizes)
+
+    grouped = F.concat(
+        found(rf"(?<!\d)(?=({networks('[ -]?')})(?!\d))"),
+        *[found(rf"(?<!\d)(?=([1-9](?:[ -]?\d){{{size - 1}}})(?!\d))") for size in range(19, 12, -1)])
+    grouped = F.filter(grouped, lambda x: x.rlike(r"^\d{4,}(?:[ -]\d{4,})*(?:[ -]\d+)?$"))
+    every = F.array_distinct(F.concat(grouped, found(f"(?=({networks('')}))")))
+    return F.filter(every, lambda x: luhn_sum(_digits_of(x)) % 10 == 0)
+
+
 def _card(match: Column, key: str) -> Column:
-    """The longest run of whole digit groups that is a valid number of 13 to 19 digits; other groups,
-    such as an expiry date or a code beside it, stay."""
+    """The run with every valid card number in it replaced; other digits, such as an expiry date, a year
+    or a code beside it, stay. Of numbers that overlap the first of `_numbers_in` counts."""
     def made(digits: Column) -> Column:
         middle = permuted_digits(F.substr(digits, F.lit(2), F.length(digits) - 2), key, "card")
         body = F.concat(F.substring(digits, 1, 1), middle)
         return F.concat(body, ((10 - luhn_sum(F.concat(body, F.lit("0"))) % 10) % 10).cast("string"))
 
-    def runs(groups: Column) -> Column:
-        def run(i: Column, j: Column) -> Column:
-            before = F.slice(groups, F.lit(1), i - 1)
-            digits = F.array_join(F.slice(groups, i, j - i + 1), "")
-            return F.struct(
-                F.length(digits).alias("size"), (-i).alias("order"), digits.alias("digits"),
-                (F.length(F.array_join(before, "")) + i - 1).alias("start"),
-                (F.length(digits) + j - i).alias("width"))
+    # Numbers are first taken out by their place in the list, so that no pseudonym is replaced again.
+    def taken(run: Column, n: Column, x: Column) -> Column:
+        return F.replace(run, x, F.concat(F.lit("<"), n.cast("string"), F.lit(">")))
 
-        every = F.flatten(F.transform(F.sequence(F.lit(1), F.size(groups)), lambda i: F.transform(
-            F.sequence(i, F.size(groups)), lambda j: run(i, j))))
-        return F.filter(every, lambda r: r["size"].between(13, 19) & ~r["digits"].startswith("0")
-                        & (luhn_sum(r["digits"]) % 10 == 0))
+    def replaced(numbers: Column) -> Column:
+        places = F.sequence(F.lit(1), F.size(numbers))
+        gaps = F.aggregate(places, match, lambda run, n: taken(run, n, F.element_at(numbers, n)))
+        return F.aggregate(places, gaps, lambda run, n: F.replace(
+            run, F.concat(F.lit("<"), n.cast("string"), F.lit(">")),
+            let(F.element_at(numbers, n), lambda x: _filled(x, made(_digits_of(x))))))
 
-    def replaced(r: Column) -> Column:
-        inside = F.substr(match, r["start"] + 1, r["width"])
-        return F.concat(F.substr(match, F.lit(1), r["start"]), _filled(inside, made(r["digits"])),
-                        F.substr(match, r["start"] + r["width"] + 1))
-
-    longest = F.array_max(let(F.split(match, "[ -]"), runs))
-    return let(longest, lambda r: F.when(r.isNotNull(), replaced(r)).otherwise(match))
+    return let(_numbers_in(match), lambda numbers: F.when(
+        F.size(numbers) > 0, replaced(numbers)).otherwise(match))
 
 
 def _iban(match: Column, key: str) -> Column:
@@ -269,7 +302,17 @@ def _ssn(match: Column, key: str) -> Column:
 
 
 def _keyed_text(value: Column, key: str, kind: str) -> Column:
-    return F.sha2(F.concat_ws(":", F.lit(key), F.lit(kind), value), 256)
+    return F.sha2(F.concat_ws(":", F.lit(derived(key, kind)), value), 256)
+
+
+def _secret(match: Column, key: str) -> Column:
+    """As many hexadecimal digits as the secret has characters."""
+    size = F.length(match)
+    return let(_keyed_text(match, key, "secret"), lambda first: F.substr(F.concat(first, F.when(
+        size > 64, F.array_join(F.transform(
+            F.sequence(F.lit(1), _quotient(size - 1, _long(64)).cast("int")),
+            lambda n: _keyed_text(F.concat_ws(":", first, n.cast("string")), key, "secret-rest")), "")
+    ).otherwise("")), F.lit(1), size))
 
 
 def kind_of(match: Column) -> Column:
@@ -282,12 +325,12 @@ def kind_of(match: Column) -> Column:
 
 def pseudonym(match: Column, kind: Column, key: str) -> Column:
     """The value that stands for `match`, of the same form; what is not valid stays as it is."""
-    local = F.concat(F.lit("user"), F.conv(F.substring(_keyed_text(match, key, "email"), 1, 12), 16, 10))
+    local = F.concat(F.lit("user"), F.substring(_keyed_text(match, key, "email"), 1, 20))
     slashed = F.coalesce(_date(match, "dd/MM/yyyy", key), _date(match, "MM/dd/yyyy", key))
     return F.coalesce(
         F.when(kind == "email", F.concat(local, F.lit("@"), F.substring_index(match, "@", -1)))
         .when(kind == "key", F.concat(F.lit("AKIA"), F.upper(F.substring(_keyed_text(match, key, "key"), 1, 16))))
-        .when(kind == "secret", F.substr(F.rpad(_keyed_text(match, key, "secret"), 64, "0"), F.lit(1), F.least(F.length(match), F.lit(64))))
+        .when(kind == "secret", _secret(match, key))
         .when(kind == "iban", _iban(match, key))
         .when(kind == "iso_date", _date(match, "yyyy-MM-dd", key))
         .when((kind == "day_date") & F.contains(match, F.lit("/")), slashed)
@@ -307,10 +350,13 @@ def pseudonymise(
     Card numbers (Luhn), account numbers (mod 97), addresses, phone and social security numbers and
     calendar dates of 1900 to 2099 are permuted within their form by a keyed Feistel network, with
     check digits made anew, so equal values have equal pseudonyms in all documents and different
-    ones stay different. E-mail names, access keys and passwords get keyed hashes of their form.
-    All digits and letters of an account number after its check digits change; digit groups beside a
-    card number stay. What looks like a number or date and is not valid stays. Texts without a match are untouched;
-    null stays null; rows are independent, without shuffle or Python.
+    ones stay different. E-mail names (80 bits), access keys and passwords (of any length) get keyed
+    hashes of their form, so equality is kept and a collision is not to be expected.
+    All digits and letters of an account number after its check digits change; digits beside a
+    card number stay, in runs of any length. What looks like a number or date and is not valid stays. Texts without a match are untouched;
+    null stays null, an empty text empty, long texts are read whole; rows, repeated ones too, are
+    independent, without shuffle or Python; an empty table gives no rows. Plans hold derived keys, not
+    `key`: see `derived`.
     """
     text = F.col(text_col)
     rows = docs.select(

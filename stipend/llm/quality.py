@@ -104,7 +104,7 @@ def bad_labels(labels: DataFrame, id_col: str = "doc_id") -> DataFrame:
 def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Evidence:
     """Fit the document classifier on SAMPLE labelled documents at most, chosen by the hash of
     their id. One half gives the signs, the other the weights, so the signs' strength is not judged
-    on the documents it was learned from. One class alone gives a classifier that knows nothing.
+    on the documents it was learned from. Equal texts count once, as bad if one of them is. One class alone gives a classifier that knows nothing.
     """
     chosen = stage(bad_labels(labels, id_col).orderBy(F.xxhash64("_label_id"), "_label_id").limit(SAMPLE),
                    "chosen")
@@ -112,8 +112,8 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
     sample = stage(
         docs.select(F.col(id_col).alias("_label_id"), F.col(text_col).alias("text")).where("text is not null")
         .join(F.broadcast(chosen), "_label_id")
-        .select("text", F.col("_bad").alias("bad"), (F.xxhash64("text") % 2 == 0).alias("half"))
-        .dropDuplicates(["text"]), "sample")
+        .groupBy("text").agg(F.max("_bad").alias("bad"))
+        .select("text", "bad", (F.xxhash64("text") % 2 == 0).alias("half")), "sample")
     totals = {(r["half"], r["bad"]): r["count"] for r in sample.groupBy("half", "bad").count().collect()}
     if len({bad for _, bad in totals}) < 2:
         return Evidence()

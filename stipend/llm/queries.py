@@ -178,14 +178,14 @@ repeated as (
     select n, count(distinct i + k) as n_repeat_words from twice, range(8) r(k) group by n
 ),
 lines as (
-    select n, source, text, line,
+    select n, source, line,
            len(regexp_extract_all(line, '[^\x20\x09-\x0D]+')) as words,
            lower(trim(regexp_replace(line, '[\x20\x09-\x0D]+', ' ', 'g'))) as norm
-    from (select n, source, text, unnest(string_split(text, chr(10))) as line from docs)
+    from (select n, source, unnest(string_split(text, chr(10))) as line from docs)
     where regexp_matches(line, '[^\x20\x09-\x0D]')
 ),
 frequent as (
-    select source, norm from lines group by source, norm having count(distinct text) > 10
+    select source, norm from lines group by source, norm having count(distinct n) > 10
 ),
 lost as (
     select n, sum(words) as lost_words

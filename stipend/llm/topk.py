@@ -20,20 +20,19 @@ QUERY_ROWS = 256
 #: Lowest bits of each component that the slices leave out; the boundary is resolved exactly.
 DROPPED_BITS = 2
 
-#: Largest absolute component after scaling: products of thousands of dimensions fit in 64 bits.
-LIMIT = 1 << 24
+#: Largest absolute component after scaling; greater ones, of 2^52 and more before, count as this.
+LIMIT = 1 << 62
 
 
 def quantised(vectors: DataFrame, id_col: str = "vec_id", vec_col: str = "embedding") -> DataFrame:
     """`vec_id` and `v`, floor(SCALE · x) of each component. Vectors that are null or empty, or hold
-    a null or non-finite component, are left out; a component beyond LIMIT is an error."""
+    a null or non-finite component, are left out; a component beyond LIMIT counts as LIMIT."""
     x = F.transform(F.col("v"), lambda c: c.cast("double"))
     finite = F.forall("v", lambda c: c.isNotNull() & ~F.isnan(c) & (F.abs(c) != float("inf")))
     rows = vectors.select(F.col(id_col).cast("bigint").alias("vec_id"), F.col(vec_col).alias("v"))
     rows = rows.where(F.col("vec_id").isNotNull() & F.col("v").isNotNull()).withColumn("v", x)
-    scaled = F.transform("v", lambda c: F.when(
-        F.abs(c) * SCALE <= LIMIT, F.floor(c * SCALE).cast("int")
-    ).otherwise(F.raise_error(F.lit("component beyond the limit of the index")).cast("int")))
+    top = F.lit(float(LIMIT))
+    scaled = F.transform("v", lambda c: F.floor(F.least(F.greatest(c * SCALE, -top), top)))
     return rows.where((F.size("v") > 0) & finite).withColumn("v", scaled)
 
 
@@ -45,8 +44,7 @@ def _blocks(rows: DataFrame, size: int, sliced: bool) -> DataFrame:
         waiting: dict[int, list[tuple[np.ndarray, np.ndarray]]] = {}
 
         def block(dim: int, ids: np.ndarray, data: np.ndarray):
-            return (dim, ids.tobytes(), data.astype(np.int32).tobytes(),
-                    *(slice_block(data) if sliced else ()))
+            return (dim, ids.tobytes(), packed(data), *(slice_block(data) if sliced else ()))
 
         def batch_of(made: list[tuple]) -> pa.RecordBatch:
             return pa.RecordBatch.from_pylist([dict(zip(names, x)) for x in made], schema)
@@ -74,6 +72,27 @@ def _blocks(rows: DataFrame, size: int, sliced: bool) -> DataFrame:
     return rows.select("vec_id", "v").mapInArrow(run, fields)
 
 
+def packed(data: np.ndarray) -> bytes:
+    """Components in 32 bits each, if they all fit, else in 64."""
+    narrow = data.astype(np.int32)
+    return (narrow if (narrow == data).all() else data.astype(np.int64)).tobytes()
+
+
+def unpacked(data: bytes, rows: int, dim: int) -> np.ndarray:
+    kind = np.int32 if len(data) == 4 * rows * dim else np.int64
+    return np.frombuffer(data, kind).reshape(rows, dim).astype(np.int64)
+
+
+def products(data: np.ndarray, query: np.ndarray) -> np.ndarray:
+    """Inner products; where 64 bits may not hold them, by whole numbers of any size, and those that
+    do not fit then count as the largest or least that does."""
+    most = max(int(data.max()), -int(data.min())) if data.size else 0
+    if most * sum(map(abs, query.tolist())) < 1 << 63:
+        return data @ query
+    exact = data.astype(object) @ query.astype(object)
+    return np.array([max(-(1 << 63), min((1 << 63) - 1, x)) for x in exact], np.int64)
+
+
 def slice_block(data: np.ndarray) -> tuple[bytes, bytes, int]:
     """Bitmaps of the components without their lowest bits, above the least of each dimension:
     the slices of each dimension in turn, the least values, and the number of slices."""
@@ -81,8 +100,9 @@ def slice_block(data: np.ndarray) -> tuple[bytes, bytes, int]:
     low = coarse.min(axis=0)
     above = coarse - low
     width = max(1, int(above.max()).bit_length())
-    bits = (above.T[:, None, :] >> np.arange(width)[None, :, None]) & 1
-    return np.packbits(bits.astype(np.uint8), axis=2, bitorder="little").tobytes(), low.tobytes(), width
+    shifts = np.arange(width)[:, None]
+    maps = [np.packbits(((x >> shifts) & 1).astype(np.uint8), axis=1, bitorder="little") for x in above.T]
+    return b"".join(m.tobytes() for m in maps), low.tobytes(), width
 
 
 class Index:
@@ -90,7 +110,7 @@ class Index:
 
     def __init__(self, ids: bytes, data: bytes, slices: bytes, low: bytes, width: int, dim: int):
         self.ids = np.frombuffer(ids, np.int64)
-        self.data = np.frombuffer(data, np.int32).reshape(-1, dim).astype(np.int64)
+        self.data = unpacked(data, len(self.ids), dim)
         self.low = np.frombuffer(low, np.int64)
         self.rows = len(self.ids)
         self.every = (1 << self.rows) - 1
@@ -154,7 +174,7 @@ class Index:
                 better = found
                 equal &= ~slices[n]
         # A score is (coarse << DROPPED_BITS) + rest, and rests differ by at most this much.
-        slack = int(np.abs(query).sum()) * ((1 << DROPPED_BITS) - 1)
+        slack = sum(map(abs, query.tolist())) * ((1 << DROPPED_BITS) - 1)
         bound = least - -(-slack >> DROPPED_BITS)
         return np.nonzero(self._at_least(slices, max(0, bound)))[0]
 
@@ -173,8 +193,8 @@ class Index:
         """Ids and exact scores of the k best rows other than the query's own."""
         rows = self.candidates(query, k + int((self.ids == query_id).sum()))
         rows = rows[self.ids[rows] != query_id]
-        scores = self.data[rows] @ query
-        best = np.lexsort((self.ids[rows], -scores))[:k]
+        scores = products(self.data[rows], query)
+        best = np.lexsort((self.ids[rows], ~scores))[:k]
         return self.ids[rows][best], scores[best]
 
 
@@ -188,15 +208,18 @@ def top_k(
     Components count as floor(SCALE · x); only vectors of the query's length take part. Both sides
     may be of any size: vectors become index blocks where they lie, queries become blocks too, and
     each pair of blocks meets once, spread over as many groups as there are shuffle partitions. A
-    pair of blocks gives at most k rows per query, and the best of these are ranked per query.
-    Repeated vectors count each; an empty side gives no rows.
+    pair of blocks gives at most k rows per query, and the best of these are ranked per query row.
+    Repeated vectors count each, and repeated query rows get a ranking each; an empty side gives no
+    rows. Scores that 64 bits do not hold count as the largest or least number that fits.
     """
     spark = vectors.sparkSession
     groups = int(spark.conf.get("spark.sql.shuffle.partitions"))
     index = stage(_blocks(quantised(vectors, id_col, vec_col), BLOCK_ROWS, True), "index")
     index = index.withColumn("group", F.pmod(F.xxhash64("ids"), F.lit(groups)).cast("int"))
-    asked = _blocks(quantised(queries, id_col, vec_col).coalesce(1 + groups // 8), QUERY_ROWS, False)
-    asked = asked.select("dim", F.col("ids").alias("q_ids"), F.col("data").alias("q_data"),
+    # Written first: all tasks scan for queries, and few build full blocks of them.
+    asked = stage(quantised(queries, id_col, vec_col), "queries").coalesce(1 + groups // 8)
+    asked = stage(_blocks(asked, QUERY_ROWS, False).withColumn("q_block", F.monotonically_increasing_id()), "asked")
+    asked = asked.select("dim", "q_block", F.col("ids").alias("q_ids"), F.col("data").alias("q_data"),
                          F.explode(F.sequence(F.lit(0), F.lit(groups - 1))).alias("group"))
     pairs = index.join(asked, ["group", "dim"])
 
@@ -207,14 +230,16 @@ def top_k(
                 dim = row["dim"]
                 block = Index(row["ids"], row["data"], row["slices"], row["low"], row["width"], dim)
                 ids = np.frombuffer(row["q_ids"], np.int64)
-                data = np.frombuffer(row["q_data"], np.int32).reshape(-1, dim).astype(np.int64)
+                data = unpacked(row["q_data"], len(ids), dim)
                 found = [block.search(q, x, k) for q, x in zip(ids, data)]
+                sizes = [len(x) for x, _ in found]
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.repeat(ids, [len(x) for x, _ in found])),
+                    [pa.array(np.full(sum(sizes), row["q_block"], np.int64)),
+                     pa.array(np.repeat(np.arange(len(ids), dtype=np.int32), sizes)), pa.array(np.repeat(ids, sizes)),
                      *[pa.array(np.concatenate(side)) for side in zip(*found)]],
-                    ["query_id", "vec_id", "score"])
+                    ["q_block", "place", "query_id", "vec_id", "score"])
 
-    best = pairs.mapInArrow(run, "query_id bigint, vec_id bigint, score bigint")
-    order = Window.partitionBy("query_id").orderBy(F.col("score").desc(), "vec_id")
+    best = pairs.mapInArrow(run, "q_block bigint, place int, query_id bigint, vec_id bigint, score bigint")
+    order = Window.partitionBy("q_block", "place").orderBy(F.col("score").desc(), "vec_id")
     return best.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k).select(
         "query_id", "rank", "vec_id", "score")

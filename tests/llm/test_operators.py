@@ -133,6 +133,24 @@ def test_language_id(spark, docs, none):
     assert langid.predict(docs, model).count() == len(edge_rows())
 
 
+def test_numbers_are_no_letters(spark):
+    model = langid.train(spark.createDataFrame([("some words of it", "en")], "text string, lang string"))
+    df = spark.createDataFrame([(1, "½ ²"), (2, "Ⅷ ①"), (3, "١٢ 3"), (4, "some ½")], "doc_id int, text string")
+    got = {r.doc_id: (r.lang_pred, r.score) for r in langid.predict(df, model).collect()}
+    assert got == {1: ("und", 0), 2: ("und", 0), 3: ("und", 0), 4: ("en", 1)}
+
+
+def test_frequent_languages_leave_room_for_rare_ones(spark, monkeypatch):
+    monkeypatch.setattr(langid, "MODEL_ROWS", 40)
+    rng = random.Random(8)
+    often = [(" ".join("".join(rng.choice("abcd") for _ in range(6)) for _ in range(40)), "aa") for _ in range(300)]
+    df = spark.createDataFrame([*often, ("zuxo " * 100, "zz")], "text string, lang string")
+    model = langid.train(df)
+    assert {" zu", "zux", "uxo", "xo "} <= set(model.groups) and 4 < len(model.groups) <= 41
+    asked = spark.createDataFrame([(1, "zuxo zuxo"), (2, often[0][0])], "doc_id int, text string")
+    assert {r.doc_id: r.lang_pred for r in langid.predict(asked, model).collect()} == {1: "zz", 2: "aa"}
+
+
 def test_viterbi_is_the_best_path():
     rng = np.random.default_rng(1)
     scores = [rng.normal(0, 9, (n, 3)).astype(np.float32) for n in (0, 1, 5, 7, 5)]
@@ -160,6 +178,17 @@ def test_top_k(spark, monkeypatch):
         best = sorted((-int(v[q] @ v[n]), n) for n in range(760) if n != q)[:10]
         want += [(q, rank, n, -s) for rank, (s, n) in enumerate(best, 1)]
     assert got == want
+    # Components beyond 32 bits, scores beyond 64, and query rows of one id.
+    great = [(0, [1e3, 2.0]), (0, [3.0, -5e7]), (1, [1e9, 1.0]), (2, [-1e9, 1.0]), (3, [1e300, 0.0]), (4, [-1e300, 7.0]), (5, [4e15, 4e15])]
+    wide = spark.createDataFrame(great, "vec_id bigint, embedding array<double>").repartition(2)
+    got = Counter(map(tuple, topk.top_k(wide, wide.where("vec_id in (0, 3)"), 4).collect()))
+    whole = [(n, [max(-(1 << 62), min(1 << 62, int(np.floor(min(max(1024 * c, -2.0**62), 2.0**62)))) ) for c in x]) for n, x in great]
+    want = Counter()
+    for q, x in whole:
+        if q in (0, 3):
+            scores = [(-max(-(1 << 63), min((1 << 63) - 1, sum(a * b for a, b in zip(x, y)))), n) for n, y in whole if n != q]
+            want.update((q, rank, n, -score) for rank, (score, n) in enumerate(sorted(scores)[:4], 1))
+    assert got == want
     assert topk.top_k(df.limit(0), df, 3).count() == 0 and topk.top_k(df, df.limit(0), 3).count() == 0
 
 
@@ -295,6 +324,17 @@ def test_quality_classifier(spark, none, docs):
     assert all(r.kept for r in free)
 
 
+def test_equal_texts_with_unlike_labels_are_bad(spark):
+    rows, labels = labelled(spark)
+    twins = [(1000 + n, text, lang, source) for n, text, lang, source in rows]
+    good = [(1000 + n, 1, 0) for n, _, _ in labels]
+    kinds = "doc_id bigint, text string, lang string, source string"
+    plain = quality.fit(spark.createDataFrame(rows, kinds), spark.createDataFrame(labels, "doc_id bigint, quality int, toxic int"))
+    both = spark.createDataFrame([*twins, *rows], kinds).repartition(7)
+    mixed = quality.fit(both, spark.createDataFrame([*good, *labels], "doc_id bigint, quality int, toxic int"))
+    assert plain.signs == mixed.signs and np.allclose(plain.weights, mixed.weights)
+
+
 def test_sparse_sites_shrink_to_the_prior(spark):
     rows = [(n, "x", None, "big" if n < 90 else "small" if n < 92 else None) for n in range(100)]
     labels = [(n, int(n % 10 > 0) if n < 90 else 0, 0) for n in range(100)]
@@ -342,6 +382,36 @@ def test_numbers_with_other_digits_and_words_behind_them(spark):
     assert got[0][5:24] == got[2][6:25] == got[6][-19:] and got[0][5:24].replace(" ", "") == got[1][:16]
 
 
+def test_numbers_in_long_runs(spark):
+    number, other = "4111 1111 1111 1111", "5500-0000-0000-0004"
+    texts = [f"2024 {number}", "41111111111111112222", f"{number} {other}", f"0007 {number} 0008 {number}.", f"{number} 2024-02-28",
+             f"{number} 31/12/1999", f"{number} 123-45-6789", f"{number}- no", " ".join(str(n % 97) for n in range(3000)),
+             "7" * 60_000, "0." + number.replace(" ", ""), f"1234 5678 {number} 9012 " * 300]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id int, text string")
+    got = [r.text for r in pii.pseudonymise(df, "k").orderBy("doc_id").collect()]
+    assert [len(a) for a in got] == [len(a) for a in texts]
+    masked = got[0][5:]
+    assert masked != number and card(masked.replace(" ", "")[:-1]) == masked.replace(" ", "")
+    assert got[0][:5] == "2024 " and got[1] == masked.replace(" ", "") + "2222"
+    assert got[2][:20] == masked + " " and got[2][20:] != other and got[2][20] == "5"
+    assert got[3] == f"0007 {masked} 0008 {masked}." and got[7] == f"{masked}- no"
+    for n, clear in ((4, "2024-02-28"), (5, "31/12/1999"), (6, "123-45-6789")):
+        assert got[n].startswith(masked + " ") and clear not in got[n]
+    assert got[8] == texts[8] and got[10] == texts[10]
+    assert number not in got[11] and got[11].count(masked) == 300
+
+
+def test_keys_stay_out_of_plans_and_secrets_keep_their_length(spark):
+    texts = ["password=" + "x" * 200, "password=" + "x" * 201, "token=ab", "a.b@c.org 4111111111111111 2020-01-01 DE89370400440532013000"]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id int, text string")
+    made = pii.pseudonymise(df, "the-secret-key")
+    assert "the-secret-key" not in made._jdf.queryExecution().toString()
+    got = [r.text for r in made.orderBy("doc_id").collect()]
+    assert [len(t) for t in got[:3]] == [len(t) for t in texts[:3]] and got[0][:73] != got[1][:73]
+    assert len(set(got[0][9:])) > 8 and got[0][9:73] != got[0][73:137]
+    assert len(got[3].split("@")[0]) == 24 and got[3].split("@")[1].startswith("c.org ")
+
+
 def test_whole_account_numbers_change(spark):
     given = ["ES9121000418450200051332", "PL61109010140000071219812874", "IT60X0542811101000000123456",
              "MT84MALT011000012345MTLCAST001S", "HU42117730161111101800000000", "GB82WEST12345698765432"]
@@ -487,6 +557,16 @@ def test_shared_lines_deplete(spark):
     assert not got[0].kept and not got[50].kept and got[60].kept and got[70].kept and got[0].lost_words == 40
 
 
+def test_copies_count_as_documents(spark, none):
+    copy, other = prose(40, 90), prose(30, 91)
+    rows = [(n, copy, "s") for n in range(11)] + [(n, other, None) for n in range(20, 30)] + [(40, copy, "t"), (40, copy, "t")]
+    df = spark.createDataFrame(rows, "doc_id bigint, text string, source string")
+    lost = {r.doc_id: (r.lost_words, r.kept) for r in rules.quality_rules(df).collect()}
+    assert {lost[n] for n in range(11)} == {(40, False)} and {lost[n] for n in (*range(20, 30), 40)} == {(0, True)}
+    assert all(r.kept for r in rules.quality_rules(df, count_texts=True).collect())
+    assert rules.without_frequent_lines(none).count() == 0
+
+
 def test_frequent_lines_leave_the_text(spark):
     common = prose(5, 78)
     own = [prose(30, 300 + n) + "\n\n" + prose(20, 400 + n) for n in range(12)]
@@ -494,5 +574,7 @@ def test_frequent_lines_leave_the_text(spark):
     rows += [(50, common, "s"), (60, common, "t"), (70, None, "s"), (80, "\n", "s")]
     df = spark.createDataFrame(rows, "doc_id bigint, text string, source string")
     got = {r.doc_id: r for r in rules.without_frequent_lines(df).collect()}
+    verdicts = rules.quality_rules(df)
+    assert Counter(map(tuple, verdicts.collect())) == Counter(tuple(r[c] for c in verdicts.columns) for r in got.values())
     assert [got[n].text for n in range(12)] == own and all(got[n].kept and got[n].lost_words == 10 for n in range(12))
     assert got[50].text == "" and got[60].text == common and got[70].text is None and got[80].text == "\n"
