@@ -18,7 +18,7 @@ from stipend.functions.dates import (
     as_date, clip_end, clip_start, days_in_month, days_inclusive, iso_date, month_start, proration,
     shift_months,
 )
-from stipend.operators import intervals, joins, latest, lookups, numbering, pages
+from stipend.operators import hot_keys, intervals, joins, latest, lookups, numbering, pages
 from stipend.operators.recode import recode
 from stipend.plans import incentive, publish, recoding, snapshots
 from stipend.shared import own_folder
@@ -164,7 +164,7 @@ def _null_defaults(t: Tables) -> DataFrame:
 
 def _newest_snapshot(t: Tables) -> DataFrame:
     runs = t.events.select(
-        "event_id", "event_type", "user_id", "value",
+        "event_id", "event_type", "user_id", "value", "props",
         F.date_format("ts", "yyyy-MM-dd HH").alias("run"),
     )
     return latest.newest_per_family(runs, "event_type", "run")
@@ -253,6 +253,22 @@ def _long_intervals(t: Tables) -> DataFrame:
         F.count("*").alias("items"), F.sum("l_orderkey").alias("order_sum"), F.min("sent").alias("first_sent"))
 
 
+def _hot_key_join(t: Tables) -> DataFrame:
+    """Line items, a third of them under one key, sent in a period of each nation's key."""
+    first = F.date_add(F.lit("1994-01-01").cast("date"), 100 * F.col("n_nationkey"))
+    nations = t.nation.withColumns({
+        "k": F.when(F.col("n_nationkey") % 2 == 0, 0).otherwise(F.col("n_nationkey")),
+        "first_day": first, "last_day": F.date_add(first, F.col("n_regionkey") * 30)})
+    items = t.lineitem.select(
+        F.when(F.col("l_orderkey") % 3 == 0, 0).otherwise(F.col("l_suppkey")).alias("_key"),
+        F.col("l_shipdate").cast("date").alias("sent"), "l_orderkey", "l_quantity")
+    joined = hot_keys.salted_left_join(
+        nations, items, {"_key": F.col("k")}, ("sent", F.col("first_day"), F.col("last_day")), rows=1000)
+    return joined.groupBy("n_nationkey", "n_name", "first_day", "last_day").agg(
+        F.count("l_orderkey").alias("items"), F.sum("l_orderkey").alias("order_sum"),
+        F.round(F.sum("l_quantity"), 2).alias("quantity"))
+
+
 def _kept_pages(t: Tables) -> DataFrame:
     """Two far pages of all line items from one index."""
     items = t.lineitem.withColumn("l_shipdate", F.col("l_shipdate").cast("date"))
@@ -289,9 +305,9 @@ _BUILDERS: dict[str, Callable[[Tables], DataFrame]] = {
     "project_17": lambda t: t.pay_records(),
     "filter_status": lambda t: t.pay_records().filter(F.col("ZSTAT") == "N"),
     "paged_read": lambda t: numbering.assign_batches(
-        t.lineitem.select(*ITEM), ITEM_KEY, 10_000
+        t.items(), ITEM_KEY, 10_000
     ).withColumnRenamed("batch_no", "page_no"),
-    "page_at_offset": lambda t: numbering.page(t.lineitem.select(*ITEM), ITEM_KEY, 3000, 2500),
+    "page_at_offset": lambda t: numbering.page(t.items(), ITEM_KEY, 3000, 2500),
     "latest_batch_strict": lambda t: latest.latest_batch(t.pay_records(), "5-LOW"),
     "latest_batch_loose": lambda t: latest.latest_batch(
         t.pay_records_fine(), "1-URGENT", strict=False
@@ -378,6 +394,7 @@ _BUILDERS: dict[str, Callable[[Tables], DataFrame]] = {
     "published_profile_rows": _published_profile_rows,
     "recoded_names": _recoded_names,
     "typed_csv_breaks": _typed_csv_breaks,
+    "hot_key_join": _hot_key_join,
     "kept_pages": _kept_pages,
     "long_intervals": _long_intervals,
     "typed_csv": _typed_csv,

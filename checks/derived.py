@@ -160,5 +160,6 @@ class Tables:
     def items(self) -> DataFrame:
         """The rows the export queries number."""
         return self.lineitem.select(
-            "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_quantity", "l_extendedprice"
+            "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_quantity", "l_extendedprice",
+            "l_discount", "l_tax", "l_returnflag", "l_linestatus", F.col("l_shipdate").cast("date").alias("l_shipdate"),
         )

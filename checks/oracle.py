@@ -23,12 +23,13 @@ FROM pay_records
 """),
     "pay_records_fine": ([], _RECORDS.format(unit="month", hours=12)),
     "items": ([], """
-SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, l_quantity, l_extendedprice
+SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, l_quantity, l_extendedprice,
+  l_discount, l_tax, l_returnflag, l_linestatus, CAST(l_shipdate AS DATE) AS l_shipdate
 FROM lineitem
 """),
     "numbered_items": (["items"], """
 SELECT *, row_number() OVER (ORDER BY l_orderkey, l_linenumber, l_partkey, l_suppkey, l_quantity,
-  l_extendedprice) AS row_no FROM items
+  l_extendedprice, l_discount, l_tax, l_returnflag, l_linestatus, l_shipdate) AS row_no FROM items
 """),
     "pairs": ([], """
 SELECT s_suppkey AS store_a, (s_suppkey + 1) % (SELECT count(*) FROM supplier) AS store_b,
@@ -307,17 +308,18 @@ SELECT '{name}' AS profile, (row_no - 1) // {size} + 1 AS batch_no, count(*) AS
 FROM (SELECT *, row_number() OVER (ORDER BY "PERNR") AS row_no FROM ({newest})) GROUP BY 2
 """
 
+_ITEM_COLUMNS = [*_ITEM.split(", "), "l_discount", "l_tax", "l_returnflag", "l_linestatus", "l_shipdate"]
+_ITEM_TEXT_DATE = f"{', '.join(_ITEM_COLUMNS[:-1])}, {_iso('l_shipdate')}"
+
 QUERIES = {
     "project_17": _with(f"SELECT {_RECORD} FROM pay_records", "pay_records"),
     "filter_status": _with(f"SELECT {_RECORD} FROM pay_records WHERE zstat = 'N'", "pay_records"),
-    "paged_read": f"""
-SELECT {_ITEM}, row_no, (row_no - 1) // 10000 + 1 AS page_no FROM (
-  SELECT {_ITEM}, row_number() OVER (ORDER BY {_ITEM}) AS row_no FROM lineitem)
-""".strip(),
-    "page_at_offset": f"""
-SELECT {_ITEM}, row_number() OVER (ORDER BY {_ITEM}) AS row_no FROM lineitem
-ORDER BY row_no LIMIT 2500 OFFSET 3000
-""".strip(),
+    "paged_read": _with(
+        f"SELECT {_ITEM_TEXT_DATE}, row_no, (row_no - 1) // 10000 + 1 AS page_no FROM numbered_items",
+        "numbered_items"),
+    "page_at_offset": _with(
+        f"SELECT {_ITEM_TEXT_DATE}, row_no FROM numbered_items ORDER BY row_no LIMIT 2500 OFFSET 3000",
+        "numbered_items"),
     "latest_batch_strict": _latest("pay_records", "5-LOW", True),
     "latest_batch_loose": _latest("pay_records_fine", "1-URGENT", False),
     "latest_batch_all": _latest("pay_records", None, True),
@@ -331,7 +333,7 @@ SELECT (row_no - 1) // 8000 + 1 AS batch_no, count(*) AS rows,
 FROM numbered_items GROUP BY 1
 """, "numbered_items"),
     "export_batches": _with(
-        f"SELECT {_ITEM}, row_no, (row_no - 1) // 8000 + 1 AS batch_no FROM numbered_items",
+        f"SELECT {_ITEM_TEXT_DATE}, row_no, (row_no - 1) // 8000 + 1 AS batch_no FROM numbered_items",
         "numbered_items"),
     "sales_same_month": _with(f"""
 SELECT p.store_a, p.store_b, {_iso("p.begda")}, p.ids, CAST(s.amount AS DOUBLE) AS sales
@@ -452,7 +454,7 @@ FROM (SELECT *, CASE WHEN o_orderkey % 10 = 0 THEN 'n/a' ELSE strftime(o_orderda
 SELECT o_orderkey, strftime(o_orderdate, '%Y-%m-%d') AS order_date FROM orders
 """.strip(),
     "exported_files": _with(f"""
-SELECT {", ".join(f"CAST({c} AS VARCHAR) AS {c}" for c in _ITEM.split(", "))},
+SELECT {", ".join(f"CAST({c} AS VARCHAR) AS {c}" for c in _ITEM_COLUMNS)},
   'items-' || CAST((row_no - 1) // 8000 + 1 AS VARCHAR) || '.txt' AS file
 FROM numbered_items
 """, "numbered_items"),
@@ -471,7 +473,7 @@ SELECT CAST(p_partkey AS VARCHAR) AS p_partkey, p_name,
 FROM part
 """.strip(),
     "newest_snapshot": """
-SELECT event_id, event_type, user_id, value, strftime(ts, '%Y-%m-%d %H') AS run FROM events e
+SELECT event_id, event_type, user_id, value, props, strftime(ts, '%Y-%m-%d %H') AS run FROM events e
 WHERE strftime(ts, '%Y-%m-%d %H') = (SELECT max(strftime(n.ts, '%Y-%m-%d %H')) FROM events n
   WHERE n.event_type = e.event_type)
 """.strip(),
@@ -502,6 +504,16 @@ JOIN (SELECT l_suppkey % 100 AS g, l_orderkey, CAST(l_shipdate AS DATE) AS sent,
     CAST(l_shipdate AS DATE) + l_linenumber AS arrived FROM lineitem) i
   ON g = "group" AND ordered <= arrived AND closed >= sent
 GROUP BY 1, 2, ordered, closed
+""".strip(),
+    "hot_key_join": f"""
+SELECT n_nationkey, n_name, {_iso("first_day", "last_day")}, count(l_orderkey) AS items,
+  CAST(sum(l_orderkey) AS BIGINT) AS order_sum, round(sum(l_quantity), 2) AS quantity
+FROM (SELECT *, CASE WHEN n_nationkey % 2 = 0 THEN 0 ELSE n_nationkey END AS k,
+    DATE '1994-01-01' + 100 * n_nationkey AS first_day,
+    DATE '1994-01-01' + 100 * n_nationkey + n_regionkey * 30 AS last_day FROM nation) n
+LEFT JOIN lineitem ON k = CASE WHEN l_orderkey % 3 = 0 THEN 0 ELSE l_suppkey END
+  AND CAST(l_shipdate AS DATE) BETWEEN first_day AND last_day
+GROUP BY 1, 2, first_day, last_day
 """.strip(),
     "kept_pages": "UNION ALL".join(f"""
 SELECT {_ITEM}, l_discount, l_tax, l_returnflag, l_linestatus, {_iso("l_shipdate")}, row_no

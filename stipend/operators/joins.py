@@ -7,6 +7,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from stipend.functions.dates import month_start, overlaps, shift_months
+from stipend.operators.hot_keys import condition, salted_left_join
 
 
 def month_join(
@@ -22,32 +23,15 @@ def month_join(
     """Left join on a key and a month: that of `left_date`, `months_back` months earlier.
 
     Both parts are equalities of computed columns, so rows are hashed on key and month together.
-    See `left_join` for `hot_right`.
+    `hot_right` is for right sides where one key may hold a large part of all rows: see `hot_keys`.
     """
     kept = [c for c in right.columns if c != right_date]
     right = right.select(*kept, month_start(F.col(right_date)).alias("_month_r"))
     wanted = month_start(shift_months(F.col(left_date), -months_back))
-    on = (F.col(left_key) == F.col(right_key)) & (wanted == F.col("_month_r"))
-    return left_join(left, right, on, [right_key, "_month_r"], hot_right).drop(
-        right_key, "_month_r"
-    )
-
-
-def left_join(
-    left: DataFrame, right: DataFrame, on: Column, right_columns: list[str], hot_right: bool
-) -> DataFrame:
-    """Left join on a condition that uses the `right_columns` of the right side.
-
-    Spark can split a frequent key of a left join on the left side only. With `hot_right`, for
-    right sides where one key may hold a large part of all rows, the matches come from an inner
-    join, which is split on both sides, and the left rows without a match are found against the
-    distinct values of the `right_columns`.
-    """
-    if not hot_right:
-        return left.join(right, on, "left")
-    matched = left.join(right, on)
-    unmatched = left.join(right.select(*right_columns).distinct(), on, "left_anti")
-    return matched.unionByName(unmatched, allowMissingColumns=True)
+    keys = {right_key: F.col(left_key), "_month_r": wanted}
+    joined = salted_left_join(left, right, keys) if hot_right else left.join(
+        right, condition(keys), "left")
+    return joined.drop(right_key, "_month_r")
 
 
 def interval_join(
@@ -77,10 +61,10 @@ def point_in_interval(
 ) -> DataFrame:
     """Left join of the right rows with the same key and a `point` inside the left interval.
 
-    One key may have any number of points: see `left_join`.
+    One key may have any number of points: frequent ones are spread over tasks (see `hot_keys`).
     """
-    on = (F.col(left_key) == F.col(right_key)) & F.col(point).between(*map(F.col, interval))
-    return left_join(left, right, on, [right_key, point], hot_right=True).drop(right_key)
+    inside = (point, *map(F.col, interval))
+    return salted_left_join(left, right, {right_key: F.col(left_key)}, inside).drop(right_key)
 
 
 def keep_keys(df: DataFrame, key: str, keys: DataFrame, keys_col: str) -> DataFrame:
