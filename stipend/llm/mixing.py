@@ -3,6 +3,7 @@
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from stipend.llm.rows import columns_of, packed
 from stipend.shared import stage
 
 #: Copies of a document at most.
@@ -158,14 +159,14 @@ def mixed_rows(
 ) -> DataFrame:
     """The rows of `docs` in the mix, each as often as it is taken; texts are not shuffled for it
     unless the sources are too many to broadcast."""
-    hashed = docs.withColumn("_hash", doc_hash(F.col(f"`{id_col}`"), F.col(f"`{text_col}`")))
-    rows = stage(hashed.select(
-        F.col(f"`{source_col}`").alias("source"),
-        word_count(F.col(f"`{text_col}`")).alias("size"), "_hash",
+    text = F.col(f"`{text_col}`")
+    hashed = packed(
+        docs, F.col(f"`{source_col}`").alias("source"), doc_hash(F.col(f"`{id_col}`"), text).alias("_hash"))
+    rows = stage(docs.select(
+        F.col(f"`{source_col}`").alias("source"), word_count(text).alias("size"),
+        doc_hash(F.col(f"`{id_col}`"), text).alias("_hash"),
     ), "sizes")
     limits = thresholds(rows, weights).select(F.col("source").alias("_s"), "_whole", "_below")
-    joined = hashed.join(limits, hashed[f"`{source_col}`"].eqNullSafe(F.col("_s")))
+    joined = hashed.join(limits, F.col("source").eqNullSafe(F.col("_s")))
     times = F.sequence(F.lit(1).cast("bigint"), _copies())
-    return joined.where(_copies() > 0).withColumn("_copy", F.explode(times)).select(
-        *[f"`{c}`" for c in docs.columns]
-    )
+    return joined.where(_copies() > 0).withColumn("_copy", F.explode(times)).select(*columns_of(docs))

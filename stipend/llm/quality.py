@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StructField, StructType
 
+from stipend.llm.rows import columns_of, packed
 from stipend.shared import stage
 
 #: Labelled documents that the document classifier is fitted on at most.
@@ -231,19 +232,20 @@ def classify(
     model = fit(docs, labels, id_col, text_col)
     hosts, paths, p = site_posteriors(docs, labels, id_col, host_col, path_col)
     shared = docs.sparkSession.sparkContext.broadcast(model)
-    schema = StructType([*docs.schema.fields, StructField("_evidence", DoubleType())])
+    whole = packed(docs, F.col(f"`{host_col}`").alias("host"), F.col(f"`{path_col}`").alias("path"))
+    schema = StructType([*whole.schema.fields, StructField("_evidence", DoubleType())])
     at = docs.columns.index(text_col)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         evidence = shared.value
         for batch in batches:
-            numbers = np.array([numbers_of(t.as_py(), evidence.signs) for t in batch.column(at)])
+            numbers = np.array([numbers_of(t.as_py(), evidence.signs) for t in batch["row"].field(at)])
             yield pa.RecordBatch.from_arrays(
                 [*batch.columns, pa.array(evidence.log_odds(numbers.reshape(-1, _NUMBERS)))],
                 schema.names)
 
-    read = docs.mapInArrow(run, schema)
-    host, path = F.col(f"`{host_col}`"), F.col(f"`{path_col}`")
+    read = whole.mapInArrow(run, schema)
+    host, path = F.col("host"), F.col("path")
     sites = paths.withColumnRenamed("_host", "_h").withColumnRenamed("_path", "_p")
     joined = read.join(
         sites, host.eqNullSafe(F.col("_h")) & path.eqNullSafe(F.col("_p")), "left"
@@ -253,4 +255,4 @@ def classify(
     known = bool(model.weights is not None)
     return joined.withColumn("p_bad", chance if known else F.lit(p)).withColumn(
         "kept", F.col("p_bad") <= cut if known else F.lit(True)
-    ).select(*[f"`{c}`" for c in docs.columns if c not in ("p_bad", "kept")], "p_bad", "kept")
+    ).select(*columns_of(docs, "p_bad", "kept"), "p_bad", "kept")

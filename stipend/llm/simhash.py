@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from xxhash import xxh64_intdigest
 
 from stipend.llm.components import components
+from stipend.llm.rows import columns_of, packed
 from stipend.shared import stage
 
 BITS = 64
@@ -141,19 +142,19 @@ def keep_one(
 
     `docs` must give its rows in the same order whenever it is read, as files do.
     """
-    numbered = docs.withColumn("_llm_row", F.monotonically_increasing_id())
+    numbered = packed(docs, F.monotonically_increasing_id().alias("number"))
+    doc_id = F.col("row").getField(id_col)
     place = numbered.select(
-        F.struct(F.col(f"`{id_col}`").isNull().alias("none"), F.col(f"`{id_col}`").alias("id"),
-                 F.col("_llm_row").alias("row")).alias("place"),
-        F.col(f"`{text_col}`").alias("text"),
+        F.struct(doc_id.isNull().alias("none"), doc_id.alias("id"), F.col("number")).alias("place"),
+        F.col("row").getField(text_col).alias("text"),
     )
     prints = stage(fingerprints(place, shingle, "place", "text").select(
         F.col("doc_id").alias("place"), "fp"), "prints")
     classes = near_duplicates(prints.select(F.col("place.id").alias("doc_id"), "fp"), max_distance)
     best = prints.groupBy("fp").agg(F.min("place").alias("place")).join(classes, "fp")
     first = best.groupBy("root").agg(F.min("place").alias("place"))
-    kept = stage(first.select(F.col("place.row").alias("_llm_row")), "kept")
-    return numbered.join(kept, "_llm_row", "left_semi").select(*[f"`{c}`" for c in docs.columns])
+    kept = stage(first.select(F.col("place.number").alias("number")), "kept")
+    return numbered.join(kept, "number", "left_semi").select(*columns_of(docs))
 
 
 def _widths(segments: int) -> list[int]:

@@ -3,6 +3,8 @@
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from stipend.llm.rows import columns_of, packed
+
 #: The rules of the registered query, as (verdict, rule).
 RULES = [
     ("allow", "com/"),
@@ -42,7 +44,9 @@ def url_verdicts(pages: DataFrame, rules: DataFrame, url_col: str = "url") -> Da
     `rules` has `rule` (host and path as one text, split at the first slash) and `verdict`. A rule
     fits its host and all subdomains if the path starts with the rule's; the longest wins, of two
     as long ones the one with the longer host, of repeated ones the smaller verdict. Without a rule
-    that fits the verdict is `allow` and the rule null; so it is for null and malformed urls.
+    that fits the verdict is `allow` and the rule null; so it is for null and malformed urls. Long
+    urls are read whole; repeated rows and all other columns, whatever their names, stay; no pages
+    give no rows, no rules allow everything.
 
     Each distinct url is expanded into the suffixes of its host times the folders its path lies in,
     no more labels and folders than some rule has. Expressions and rules meet in an equality join
@@ -86,9 +90,10 @@ def url_verdicts(pages: DataFrame, rules: DataFrame, url_col: str = "url") -> Da
     order = F.struct(F.length("rule"), F.length("_host"))
     best = hits.groupBy("_url").agg(F.max_by(
         F.struct("rule", "verdict"), F.struct(order, F.col("verdict") == "allow")).alias("_best"))
-    return pages.join(best, pages[url_col] == best["_url"], "left").select(
-        *[pages[c] for c in pages.columns if c not in ("host", "path", "rule", "verdict")],
-        host_of(pages[url_col]).alias("host"), path_of(pages[url_col]).alias("path"),
+    whole = packed(pages, F.col(f"`{url_col}`").alias("url"))
+    return whole.join(best, F.col("url") == F.col("_url"), "left").select(
+        *columns_of(pages, "host", "path", "rule", "verdict"),
+        host_of(F.col("url")).alias("host"), path_of(F.col("url")).alias("path"),
         F.col("_best.rule").alias("rule"),
         F.coalesce(F.col("_best.verdict"), F.lit("allow")).alias("verdict"),
     )

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 from xxhash import xxh64_intdigest
 
+import corpus_pipeline
 from stipend.llm import langid, lines, mixing, packing, pii, quality, queries, rules, simhash, topk, urls
 from stipend.llm.components import components
 
@@ -578,3 +579,43 @@ def test_frequent_lines_leave_the_text(spark):
     assert Counter(map(tuple, verdicts.collect())) == Counter(tuple(r[c] for c in verdicts.columns) for r in got.values())
     assert [got[n].text for n in range(12)] == own and all(got[n].kept and got[n].lost_words == 10 for n in range(12))
     assert got[50].text == "" and got[60].text == common and got[70].text is None and got[80].text == "\n"
+
+
+def test_columns_of_any_name_stay(spark):
+    names = ("row _row number host path url _url _best _best.rule _h _p _host _host_p _path _path_p _evidence _s _f _d _hash _whole "
+             "_below _copy _llm_row _budget size text.x P_bad p kept2 source_size target taken fp place root _dropped _lines").split()
+    given = [(n, prose(30 + n, n), "en", "s") + tuple(f"{c}{n}" for c in names) for n in range(40)]
+    head = ["doc_id bigint", "text string", "lang string", "source string"]
+    df = spark.createDataFrame(given, ", ".join(head + [f"`{c}` string" for c in names]))
+    labels = spark.createDataFrame([(n, n % 2, 0) for n in range(40)], "doc_id bigint, quality int, toxic int")
+    want = {r[0]: r for r in given}
+
+    def same(got, columns, whole=True):
+        assert got.columns[: len(columns)] == columns
+        rows = got.collect()
+        at = [df.columns.index(c) for c in columns]
+        assert rows and all(tuple(r)[: len(columns)] == tuple(want[r[0]][n] for n in at) for r in rows)
+        assert not whole or len(rows) == len(given)
+
+    same(quality.classify(df, labels), [c for c in df.columns if c != "P_bad"])
+    same(mixing.mixed_rows(df), df.columns, False)
+    same(simhash.keep_one(df), df.columns)
+    same(lines.drop_lines(df), df.columns)
+    rule = spark.createDataFrame([("block", "b5/")], "verdict string, rule string")
+    same(urls.url_verdicts(df.withColumn("address", F.lit("x://b5/")), rule, "address"), [c for c in df.columns if c not in ("host", "path")])
+
+
+def test_url_edges(spark):
+    pages = spark.createDataFrame([(1, "http://a.com/x")], "page_id int, url string")
+    rule = spark.createDataFrame([("block", "a.com/")], "verdict string, rule string")
+    assert [r.verdict for r in urls.url_verdicts(pages, rule).collect()] == ["block"]
+    assert [r.verdict for r in urls.url_verdicts(pages, rule.limit(0)).collect()] == ["allow"]
+    assert urls.url_verdicts(pages.limit(0), rule).count() == 0
+
+
+def test_pipeline_on_an_empty_table(spark, none, tmp_path):
+    kinds = {"documents": none.select("doc_id", "text", "lang", "source", "n_chars"),
+             "labels": spark.createDataFrame([], "doc_id bigint, quality int, toxic int")}
+    for name, table in kinds.items():
+        table.write.parquet(str(tmp_path / f"{name}.parquet"))
+    assert corpus_pipeline.run(spark, str(tmp_path)).count() == 0
