@@ -47,7 +47,8 @@ PATTERNS = {
 # A run of 13 digits or more, in groups of any length, up to where something else begins.
 _OTHERS = "|".join(PATTERNS[k] for k in ("iso_date", "day_date", "ip", "ssn", "phone"))
 PATTERNS["card"] = rf"(?<![\d.-])\d(?:(?:[ -](?!{_OTHERS}))?\d){{12,}}+"
-PATTERN = "|".join(f"(?:{p})" for p in PATTERNS.values())
+# Within a word only a digit can begin a match, so most places are passed by one look.
+PATTERN = r"(?:(?<![A-Za-z])|(?=\d))(?:" + "|".join(f"(?:{p})" for p in PATTERNS.values()) + ")"
 
 #: First digits and lengths of the numbers of the large card networks: looked for inside longer numbers, too.
 NETWORKS = [
