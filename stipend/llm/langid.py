@@ -53,12 +53,22 @@ _GROUP = 3
 # Signs such as ½ or Ⅷ are numbers, not letters, though part of words to `re`.
 _NO_LETTERS = "".join(c for c in map(chr, range(sys.maxunicode + 1)) if c.isalnum() and not c.isalpha() and not c.isdecimal())
 _WORD = re.compile(rf"[^\W\d_{_NO_LETTERS}]+")
+_ALNUM = re.compile(r"[^\W\d_]+")
 _FIRSTS = np.array([first for _, first, _ in SCRIPTS])
 _REMEMBERED = 300_000
 _CELLS = 2_000_000
 _TEXT_AT_ONCE = 8 << 20
 
 
+def words_of(text: str) -> list[str]:
+    """Maximal runs of letters. The class without number signs is slow to match, so it only cuts the
+    words that hold such a sign."""
+    found = _ALNUM.findall(text)
+    if not found or "".join(found).isalpha():
+        return found
+    return [part for word in found for part in ([word] if word.isalpha() else _WORD.findall(word))]
+
+
 def _script(word: str) -> str:
     code = ord(word[0])
     n = int(np.searchsorted(_FIRSTS, code, "right")) - 1
@@ -91,7 +101,7 @@ def train(docs: DataFrame, text_col: str = "text", lang_col: str = "lang") -> Mo
         for batch in batches:
             words: dict[str, Counter] = {}
             for text, lang in zip(batch["text"], batch["lang"]):
-                words.setdefault(lang.as_py(), Counter()).update(_WORD.findall(text.as_py().lower()))
+                words.setdefault(lang.as_py(), Counter()).update(words_of(text.as_py().lower()))
             for lang, counts in words.items():
                 for word, n in counts.items():
                     edged = f" {word} "
@@ -231,7 +241,7 @@ def predict(
 
     def label(texts: list[str | None], known: _Words):
         langs = known.model.langs
-        words = [_WORD.findall(text.lower()) if text and langs else [] for text in texts]
+        words = [words_of(text.lower()) if text and langs else [] for text in texts]
         ids = [np.fromiter(map(known.__getitem__, w), np.int64, len(w)) for w in words]
         table = known.settle()
         for w, path in zip(words, viterbi([table[n] for n in ids])):
