@@ -238,7 +238,11 @@ def _typed_csv_breaks(t: Tables) -> DataFrame:
 
 
 def _long_intervals(t: Tables) -> DataFrame:
-    """Orders and line items under way at the same time, of one in a hundred groups of both."""
+    """Orders and line items under way at the same time, of one in a hundred groups of both.
+
+    Only sums over an order's items are asked for, so items of one group and interval are joined as
+    one row with their own sums: an order meets as many rows as there are intervals, not items.
+    """
     day = F.col("o_orderdate").cast("date")
     orders = t.orders.select(
         (F.col("o_custkey") % 100).alias("group"), "o_orderkey", day.alias("ordered"),
@@ -247,10 +251,13 @@ def _long_intervals(t: Tables) -> DataFrame:
     items = t.lineitem.select(
         (F.col("l_suppkey") % 100).alias("_group"), F.col("l_orderkey"), "l_linenumber", sent.alias("sent"),
         F.date_add(sent, F.col("l_linenumber")).alias("arrived"))
+    summed = intervals.equal_intervals(items, "_group", ("sent", "arrived"), {
+        "_items": F.count("*"), "_order_sum": F.sum("l_orderkey")})
     joined = intervals.binned_interval_join(
-        orders, items, "group", "_group", ("ordered", "closed"), ("sent", "arrived"))
+        orders, summed, "group", "_group", ("ordered", "closed"), ("sent", "arrived"))
     return joined.groupBy("group", "o_orderkey", "ordered", "closed").agg(
-        F.count("*").alias("items"), F.sum("l_orderkey").alias("order_sum"), F.min("sent").alias("first_sent"))
+        F.coalesce(F.sum("_items"), F.lit(0)).alias("items"), F.sum("_order_sum").alias("order_sum"),
+        F.min("sent").alias("first_sent"))
 
 
 def _hot_key_join(t: Tables) -> DataFrame:

@@ -1,5 +1,7 @@
 """Interval joins of keys with many intervals, in bins chosen from the data."""
 
+from collections.abc import Mapping
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -40,6 +42,18 @@ def binned_interval_join(
     return joined.select(*[f"`{c}`" for c in [*left.columns, *right.columns]])
 
 
+def equal_intervals(
+    df: DataFrame, key: str, interval: tuple[str, str], sums: Mapping[str, Column]
+) -> DataFrame:
+    """One row per key and interval of `df`, with the aggregates `sums` of the rows that share them.
+
+    Equal intervals of a key overlap the same others. Where a join is only summed up, joining these
+    rows instead and adding up their sums gives the same, and its pairs do not grow with the product
+    of both sides, as a day begins and ends a bounded number of intervals however many rows there are.
+    """
+    return df.groupBy(f"`{key}`", *[f"`{c}`" for c in interval]).agg(*[c.alias(name) for name, c in sums.items()])
+
+
 def with_bins(
     left: DataFrame, right: DataFrame, left_key: str, right_key: str,
     left_interval: tuple[str, str], right_interval: tuple[str, str], crowded: int = CROWDED,
