@@ -34,6 +34,8 @@ SEGMENTS = [
 ]
 #: One wage type of the shipped profiles for each order priority.
 WAGE_TYPES = ["115K", "118A", "110F", "118B", "116W"]
+#: Orders of one file of a snapshot: the task that writes it, or copies it, reads no more.
+SNAPSHOT_ROWS = 500_000
 ROUNDED = {"growth": 6, "share": 6, "pay": 4, "absence_pay": 4, "final_pay": 4}
 
 
@@ -297,14 +299,19 @@ def _refreshed_tables(t: Tables) -> DataFrame:
 
 
 def _published_snapshot(t: Tables) -> DataFrame:
-    """All orders, published as the newest file of a family that also has an older one."""
+    """All orders, published as the newest files of families that also have an older one each."""
     made, source, out = (own_folder(t.spark, name) for name in ("made", "families", "snapshots"))
-    for part, rows in (("orders-first", t.region), ("orders-second", t.orders)):
-        whole = rows.withColumns({"row_no": F.lit(1), "batch_no": F.lit(1)})
-        export_batches(whole.withMetadata("batch_no", {"batches": 1}), made, part)
-        move_file(t.spark, f"{made}/{part}/{part}-1.txt", f"{source}/{part}.txt")
-    snapshots.publish_newest(t.spark, source, out, ["orders", "absent"])
-    read = load_csv(t.spark, f"{out}/orders.csv", t.orders.schema, ";")
+    orders = numbering.assign_batches(t.orders, ["o_orderkey"], SNAPSHOT_ROWS)
+    files = orders.schema["batch_no"].metadata["batches"]
+    older = t.region.crossJoin(t.spark.range(1, files + 1).withColumnRenamed("id", "batch_no"))
+    older = older.withColumn("row_no", F.lit(1)).withMetadata("batch_no", {"batches": files})
+    families = [f"orders-{n:06d}" for n in range(1, files + 1)]
+    for part, rows in (("first", older), ("second", orders)):
+        export_batches(rows, made, part)
+        for n, family in enumerate(families, 1):
+            move_file(t.spark, f"{made}/{part}/{part}-{n}.txt", f"{source}/{family}-{part}.txt")
+    snapshots.publish_newest(t.spark, source, out, [*families, "absent"])
+    read = load_csv(t.spark, f"{out}/orders-*.csv", t.orders.schema, ";")
     return read.withColumn("o_orderdate", F.col("o_orderdate").cast("date"))
 
 

@@ -1,6 +1,9 @@
 """What the registered queries do as their tables grow."""
 
 import datetime as dt
+import os
+
+from pyspark.sql import functions as F
 
 from checks import catalog
 from stipend.operators import intervals
@@ -48,3 +51,14 @@ def test_items_of_one_interval_are_joined_once(spark, monkeypatch):
     assert sorted(map(tuple, got)) == sorted((*at, *sums) for at, sums in want.items())
     # 180 intervals of a group's 200 items are one row each.
     assert joined[0].count() < sum(n for n, _, _ in want.values()) / 2
+
+
+def test_a_snapshot_is_published_in_files_of_bounded_size(spark, monkeypatch):
+    monkeypatch.setattr(catalog, "SNAPSHOT_ROWS", 100)
+    region = spark.createDataFrame([(0, "AFRICA")], "r_regionkey int, r_name string")
+    made = orders(spark, 1050)
+    read = catalog._published_snapshot(Made(spark, orders=made, region=region))
+    files = read.groupBy(F.input_file_name().alias("file")).count().collect()
+    assert len(files) == 11 and max(r["count"] for r in files) == 100
+    assert all(os.path.basename(r.file).startswith("orders-0000") for r in files)
+    assert read.exceptAll(made).isEmpty() and made.exceptAll(read).isEmpty()
