@@ -1,10 +1,12 @@
 """Pages of an ordered table from an index that is built once and kept."""
 
+import json
 from bisect import bisect_right
 from itertools import accumulate
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from stipend.operators.numbering import range_sorted
 
@@ -19,7 +21,10 @@ class PageIndex:
 
     def __init__(self, spark: SparkSession, folder: str):
         self.spark, self.folder = spark, folder.rstrip("/")
-        ranges = spark.read.parquet(f"{self.folder}/ranges").orderBy("range").collect()
+        table = spark.read.parquet(f"{self.folder}/ranges")
+        # An empty table has no file to tell its columns.
+        self.schema = StructType.fromJson(json.loads(table.schema["range"].metadata["rows"]))
+        ranges = table.orderBy("range").collect()
         self.ranges = [r["range"] for r in ranges]
         self.before = list(accumulate((r["rows"] for r in ranges), initial=0))
         self.first_keys = [tuple(r["first"]) for r in ranges]
@@ -31,7 +36,7 @@ class PageIndex:
     def page(self, offset: int, size: int) -> DataFrame:
         """Rows offset+1 … offset+size in order, with their `row_no`."""
         end = min(offset + size, self.rows)
-        rows = self.spark.read.parquet(f"{self.folder}/rows")
+        rows = self.spark.read.schema(self.schema).parquet(f"{self.folder}/rows")
         if offset >= end:
             return rows.where("false").withColumn("row_no", F.col("place")).drop("range", "place")
         first, last = (bisect_right(self.before, n) - 1 for n in (offset, end - 1))
@@ -49,7 +54,7 @@ class PageIndex:
         """The `size` rows that follow the last row of these key values, with their `row_no`; keys
         without nulls. The ranges' first keys say which range to look into."""
         at = max(bisect_right(self.first_keys, tuple(keys)) - 1, 0)
-        rows = self.spark.read.parquet(f"{self.folder}/rows").where(F.col("range") == self.ranges[at])
+        rows = self.spark.read.schema(self.schema).parquet(f"{self.folder}/rows").where(F.col("range") == self.ranges[at])
         later, same = F.lit(False), F.lit(True)
         for column, value in zip(key_columns, keys):
             c = F.col(f"`{column}`")
@@ -68,10 +73,10 @@ def build_page_index(df: DataFrame, keys: list[str], folder: str, unique: bool =
     spark, folder = df.sparkSession, folder.rstrip("/")
     ranged = range_sorted(df, keys, unique)
     position = F.monotonically_increasing_id().bitwiseAND((1 << 33) - 1)
-    ranged.withColumns({"range": F.spark_partition_id(), "place": position}).write.partitionBy("range").parquet(
-        f"{folder}/rows")
+    placed = ranged.withColumns({"place": position, "range": F.spark_partition_id()})
+    placed.write.partitionBy("range").parquet(f"{folder}/rows")
     first = F.min_by(F.struct(*[f"`{k}`" for k in keys]), "place")
-    written = spark.read.parquet(f"{folder}/rows")
-    written.groupBy("range").agg(F.count("*").alias("rows"), first.alias("first")).coalesce(1).write.parquet(
-        f"{folder}/ranges")
+    written = spark.read.schema(placed.schema).parquet(f"{folder}/rows")
+    sizes = written.groupBy("range").agg(F.count("*").alias("rows"), first.alias("first"))
+    sizes.withMetadata("range", {"rows": placed.schema.json()}).coalesce(1).write.parquet(f"{folder}/ranges")
     return PageIndex(spark, folder)

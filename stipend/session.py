@@ -15,6 +15,8 @@ def local_session(
         .config("spark.driver.memory", "8g")
         .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
         .config("spark.sql.session.timeZone", "UTC")
+        # Plans name whole paths, which tests look for, however long these are.
+        .config("spark.sql.maxMetadataStringLength", "1000")
         .config(map=conf or {})
         .getOrCreate()
     )
