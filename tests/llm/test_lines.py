@@ -1,6 +1,9 @@
-"""Line deduplication as a whole: recall, crowds just below the threshold, odd columns."""
+"""Line deduplication as a whole: recall, crowds just below the threshold, long lines, odd columns."""
 
 import random
+import time
+
+from pyspark.sql import functions as F
 
 from stipend.llm import lines
 
@@ -65,6 +68,22 @@ def test_crowds_below_the_threshold_stay_linear(spark, monkeypatch):
     assert made[1] <= 2.5 * made[0] + 20 and made[2] <= 2.5 * made[1] + 20
 
 
+def test_shingles_of_a_line_grow_with_its_length(spark):
+    rng = random.Random(2)
+    texts = ["".join(rng.choice("abcdefghij\U0001f600 é") for _ in range(n)) for n in (20, 30_000, 60_000)]
+    texts += [text[:-1] + "#" for text in texts]
+    rows = frame(spark, texts).select("doc_id", F.encode("text", "UTF-32").alias("code"))
+    got = {r.doc_id: r.n for r in rows.select("doc_id", F.size(lines._grams("code")).alias("n")).collect()}
+    assert got == {n: len(shingles(text)) for n, text in enumerate(texts)}
+    found = lines._lines(frame(spark, texts).select(
+        F.col("doc_id").alias("_row"), F.col("doc_id").alias("_id"), F.col("text").alias("_text"))).localCheckpoint()
+    ids = {r._id: r.id for r in found.collect()}
+    pairs = spark.createDataFrame([(ids[n], ids[n + 3]) for n in range(3)] + [(ids[1], ids[2])], "a bigint, b bigint")
+    began = time.time()
+    links = {(r.a, r.b) for r in lines._links(pairs, found).collect()}
+    assert links == {(ids[n], ids[n + 3]) for n in range(3)} and time.time() - began < 20
+
+
 def test_short_lines_go_if_they_are_equal(spark):
     texts = ["- item\nno\n\n \n", "No \nyes", "yes", "nope", None, ""]
     got = {r.doc_id: r for r in lines.drop_lines(frame(spark, texts)).collect()}
