@@ -6,6 +6,7 @@ import time
 from pyspark.sql import functions as F
 
 from stipend.llm import lines
+from stipend.llm.prefixes import rare_pairs
 
 WORDS = "the of river stone cloud paper window garden light music winter seven apple green water house".split()
 
@@ -68,6 +69,18 @@ def test_crowds_below_the_threshold_stay_linear(spark, monkeypatch):
     assert made[1] <= 2.5 * made[0] + 20 and made[2] <= 2.5 * made[1] + 20
 
 
+def test_rare_is_counted_within_groups(spark):
+    """Sets that share what is common in their group, but rare in all, do not meet by it."""
+    rows = [(n, n, n % 2, [1000 + n % 2, 1001 + n % 2, 1002 + n % 2, *range(n % 20, n % 20 + 7)]) for n in range(40)]
+    rows.append((40, 40, 0, rows[0][3]))
+    nodes = spark.createDataFrame(rows, "node bigint, class bigint, group int, hashes array<bigint>")
+    sets = nodes.select("node", "hashes")
+    pairs = {(r.a, r.b) for r in rare_pairs(nodes.drop("hashes"), sets, 80, within=("group",)).collect()}
+    want = {(a, b) for a, _, g, x in rows for b, _, h, y in rows
+            if a < b and g == h and 10 * len({*x} & {*y}) >= 8 * len({*x} | {*y})}
+    assert want and want <= pairs and all(rows[a][2] == rows[b][2] for a, b in pairs)
+
+
 def test_shingles_of_a_line_grow_with_its_length(spark):
     rng = random.Random(2)
     texts = ["".join(rng.choice("abcdefghij\U0001f600 é") for _ in range(n)) for n in (20, 30_000, 60_000)]
