@@ -1,5 +1,6 @@
 """Exact top-k inner products by a bit-sliced index."""
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -17,6 +18,13 @@ BLOCK_ROWS = 4096
 #: Queries that meet an index block together.
 QUERY_ROWS = 256
 
+#: Queries of a part, which a task holds with their best so far: as many at most, and fewer parts than
+#: one per LEAST_QUERIES, as each part builds the index blocks anew.
+PART_QUERIES, LEAST_QUERIES = 4096, 32
+
+#: Index blocks of a file, so that tasks can share out the index by files.
+FILE_BLOCKS = 8
+
 #: Lowest bits of each component that the slices leave out; the boundary is resolved exactly.
 DROPPED_BITS = 2
 
@@ -198,6 +206,13 @@ class Index:
         return self.ids[rows][best], scores[best]
 
 
+def merged(one: tuple[np.ndarray, np.ndarray], other: tuple[np.ndarray, np.ndarray], k: int):
+    """The k best of two sets of ids and scores."""
+    ids, scores = (np.concatenate(side) for side in zip(one, other))
+    best = np.lexsort((ids, ~scores))[:k]
+    return ids[best], scores[best]
+
+
 def top_k(
     vectors: DataFrame, queries: DataFrame, k: int = 10,
     id_col: str = "vec_id", vec_col: str = "embedding",
@@ -206,38 +221,52 @@ def top_k(
     `query_id`, `rank`, `vec_id`, `score`; ties to the smaller id.
 
     Components count as floor(SCALE · x); only vectors of the query's length take part. Both sides
-    may be of any size: vectors become index blocks where they lie, queries become blocks too, and
-    each pair of blocks meets once, spread over as many groups as there are shuffle partitions. A
-    pair of blocks gives at most k rows per query, and the best of these are ranked per query row.
-    Repeated vectors count each, and repeated query rows get a ranking each; an empty side gives no
-    rows. Scores that 64 bits do not hold count as the largest or least number that fits.
+    may be of any size: vectors become index blocks where they lie, queries become blocks in parts,
+    and every task reads one share of the index and one part of the queries from written tables, about
+    as many tasks as there are shuffle partitions. So neither side is copied into a shuffle or sent
+    through the driver, whatever the planner thinks of their size. A task keeps the k best rows per
+    query, and the best of these are ranked per query row. Repeated vectors count each, and repeated
+    query rows get a ranking each; an empty side gives no rows. Scores that 64 bits do not hold count
+    as the largest or least number that fits.
     """
     spark = vectors.sparkSession
-    groups = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    index = stage(_blocks(quantised(vectors, id_col, vec_col), BLOCK_ROWS, True), "index")
-    index = index.withColumn("group", F.pmod(F.xxhash64("ids"), F.lit(groups)).cast("int"))
+    tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    index = _blocks(quantised(vectors, id_col, vec_col), BLOCK_ROWS, True)
+    index = stage(index.withColumn("block", F.monotonically_increasing_id()), "index", FILE_BLOCKS)
     # Written first: all tasks scan for queries, and few build full blocks of them.
-    asked = stage(quantised(queries, id_col, vec_col), "queries").coalesce(1 + groups // 8)
-    asked = stage(_blocks(asked, QUERY_ROWS, False).withColumn("q_block", F.monotonically_increasing_id()), "asked")
-    asked = asked.select("dim", "q_block", F.col("ids").alias("q_ids"), F.col("data").alias("q_data"),
-                         F.explode(F.sequence(F.lit(0), F.lit(groups - 1))).alias("group"))
-    pairs = index.join(asked, ["group", "dim"])
+    asked = stage(quantised(queries, id_col, vec_col), "queries")
+    count = asked.count()
+    parts = max(1, min(math.isqrt(tasks), count // LEAST_QUERIES), -(-count // PART_QUERIES))
+    asked = _blocks(asked.repartition(parts), QUERY_ROWS, False)
+    asked = asked.select(F.col("dim").alias("q_dim"), F.col("ids").alias("q_ids"), F.col("data").alias("q_data"),
+                         F.monotonically_increasing_id().alias("q_block"), F.spark_partition_id().alias("part"))
+    asked = stage(asked, "asked").repartitionById(parts, "part")
+    # The hint asks for a product of partitions; each index block meets all queries of the part in turn.
+    index = index.coalesce(-(-tasks // parts))
+    pairs = index.join(asked.hint("shuffle_replicate_nl"), F.col("dim") == F.col("q_dim"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        last, best = None, {}
         for batch in batches:
             for n in range(batch.num_rows):
-                row = {name: batch[name][n].as_py() for name in batch.schema.names}
-                dim = row["dim"]
-                block = Index(row["ids"], row["data"], row["slices"], row["low"], row["width"], dim)
-                ids = np.frombuffer(row["q_ids"], np.int64)
-                data = unpacked(row["q_data"], len(ids), dim)
+                number, dim, q_block, q_ids, q_data = (
+                    batch[name][n].as_py() for name in ("block", "dim", "q_block", "q_ids", "q_data"))
+                if number != last:
+                    fields = (batch[name][n].as_py() for name in ("ids", "data", "slices", "low", "width"))
+                    last, block = number, Index(*fields, dim)
+                ids = np.frombuffer(q_ids, np.int64)
+                data = unpacked(q_data, len(ids), dim)
                 found = [block.search(q, x, k) for q, x in zip(ids, data)]
-                sizes = [len(x) for x, _ in found]
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.full(sum(sizes), row["q_block"], np.int64)),
-                     pa.array(np.repeat(np.arange(len(ids), dtype=np.int32), sizes)), pa.array(np.repeat(ids, sizes)),
-                     *[pa.array(np.concatenate(side)) for side in zip(*found)]],
-                    ["q_block", "place", "query_id", "vec_id", "score"])
+                if q_block in best:
+                    found = [merged(x, y, k) for x, y in zip(best[q_block][1], found)]
+                best[q_block] = ids, found
+        for q_block, (ids, found) in best.items():
+            sizes = [len(x) for x, _ in found]
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(np.full(sum(sizes), q_block, np.int64)),
+                 pa.array(np.repeat(np.arange(len(ids), dtype=np.int32), sizes)), pa.array(np.repeat(ids, sizes)),
+                 *[pa.array(np.concatenate(side)) for side in zip(*found)]],
+                ["q_block", "place", "query_id", "vec_id", "score"])
 
     best = pairs.mapInArrow(run, "q_block bigint, place int, query_id bigint, vec_id bigint, score bigint")
     order = Window.partitionBy("q_block", "place").orderBy(F.col("score").desc(), "vec_id")

@@ -193,6 +193,30 @@ def test_top_k(spark, monkeypatch):
     assert topk.top_k(df.limit(0), df, 3).count() == 0 and topk.top_k(df, df.limit(0), 3).count() == 0
 
 
+def test_top_k_copies_no_queries_for_its_tasks(spark, monkeypatch):
+    # Queries were copied once per shuffle partition behind the planner's estimate, and broadcast.
+    for name, value in {"BLOCK_ROWS": 16, "QUERY_ROWS": 4, "PART_QUERIES": 9, "LEAST_QUERIES": 2, "FILE_BLOCKS": 2}.items():
+        monkeypatch.setattr(topk, name, value)
+    rng = np.random.default_rng(5)
+    vectors = [(n % 380, [float(x) for x in rng.integers(-3, 4, 8 if n % 5 else 6)]) for n in range(400)]
+    df = spark.createDataFrame(vectors, "vec_id bigint, embedding array<float>").repartition(3)
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    want = Counter()
+    for q, x in vectors:
+        if q % 10 == 0:
+            scores = sorted((-1024 * 1024 * int(np.dot(x, y)), n) for n, y in vectors if n != q and len(x) == len(y))
+            want.update((q, rank, n, -score) for rank, (score, n) in enumerate(scores[:7], 1))
+    for partitions in (1, 200):
+        try:
+            spark.conf.set("spark.sql.shuffle.partitions", partitions)
+            result = topk.top_k(df, df.where("vec_id % 10 = 0"), 7)
+            assert Counter(map(tuple, result.collect())) == want
+        finally:
+            spark.conf.set("spark.sql.shuffle.partitions", before)
+        plan = result._jdf.queryExecution().executedPlan().toString()
+        assert "CartesianProduct" in plan and "Broadcast" not in plan and "Generate" not in plan
+
+
 def test_url_verdicts(spark):
     given = [("allow", "com/"), ("block", "a.com/x/"), ("allow", "w.a.com/x/y"), ("block", "net"), (None, "org/"), ("block", None), ("block", "b.io/p/q")]
     made = ["http://a.com/x/1", "HTTP://W.A.COM/x/yes", "http://nota.com/x/", "http://a.com", "http://z.net?q", "a.com/x/", None, "",

@@ -22,3 +22,8 @@ def test_shuffles_of_a_written_stage_go(spark):
     assert shuffle_files(spark) <= before
     assert spark.conf.get(_DROP_SHUFFLES) == setting
     assert staged.count() == 1000
+
+
+def test_files_of_a_stage_hold_so_many_rows(spark):
+    staged = stage(spark.range(10).coalesce(1), "few", 4)
+    assert len(staged.inputFiles()) == 3 and staged.count() == 10
